@@ -14,12 +14,23 @@ import re
 from collections.abc import Iterator
 from typing import BinaryIO
 
+import numpy as np
+
 READ_BYTES = 1 << 18
 RECORD_END = "\x00"
 
 _QUOTED = rb'"[^"]*+(?:""[^"]*+)*+"'
 _REGULAR_FIELD = rb"(?:" + _QUOTED + rb'|[^",\r\n]*+)'
 _ANY_FIELD = rb"(?:" + _QUOTED + rb'[^,\n]*+|[^",\n][^,\n]*+|)'
+
+
+def byte_set(members: bytes) -> np.ndarray:
+    """Truth per byte value."""
+    return np.isin(np.arange(256), list(members))
+
+
+BEFORE_QUOTE = byte_set(b',\n"')
+AFTER_QUOTE = byte_set(b',\r\n"')
 REGULAR = re.compile(_REGULAR_FIELD + rb"(?:," + _REGULAR_FIELD + rb")*+\r?\n")
 COMPLETE = re.compile(_ANY_FIELD + rb"(?:," + _ANY_FIELD + rb")*+\n")
 
@@ -35,8 +46,51 @@ def with_regular_quotes(record: bytes) -> list[bytes]:
     return out
 
 
-def cut(data: bytes) -> tuple[list[bytes], bytes]:
-    """Whole records at the start of ``data``, and what is left of it."""
+def cut_regular(data: bytes) -> tuple[int, bytes, bytes] | None:
+    """Number of whole records, their block and what is left of ``data``.
+
+    None if quotes or carriage returns stand where a plain CSV writer puts
+    none; then the quotes seen so far do not tell whether a field is open.
+    """
+    last = data.rfind(b"\n") + 1
+    lines = data[:last]
+    if b'"' not in lines:
+        lines = lines.replace(b"\r\n", b"\n")
+        if b"\r" in lines:
+            return None
+        return lines.count(b"\n"), lines.replace(b"\n", b"\x00"), data[last:]
+    text = np.frombuffer(lines, dtype=np.uint8)
+    # Regular quotes open and close in turn: after an even number of them a
+    # byte lies outside quoted fields.
+    quotes, newlines = np.flatnonzero(text == ord('"')), np.flatnonzero(text == ord("\n"))
+    ends = newlines[outside(newlines, quotes)]
+    if not len(ends):
+        return 0, b"", data
+    size = int(ends[-1]) + 1
+    quotes = quotes[quotes < size]
+    opening, closing = quotes[0::2], quotes[1::2]
+    before = text[opening - 1]
+    before[opening == 0] = ord(",")
+    returns = np.flatnonzero(text[:size] == ord("\r"))
+    returns = returns[outside(returns, quotes)]
+    if not (
+        BEFORE_QUOTE[before].all()
+        and AFTER_QUOTE[text[closing + 1]].all()
+        and (text[returns + 1] == ord("\n")).all()
+    ):
+        return None
+    block = text[:size].copy()
+    block[ends] = 0
+    return len(ends), block.tobytes().replace(b"\r\x00", b"\x00"), data[size:]
+
+
+def outside(places: np.ndarray, quotes: np.ndarray) -> np.ndarray:
+    """Whether each place has an even number of quotes before it."""
+    return np.searchsorted(quotes, places) % 2 == 0
+
+
+def cut_any(data: bytes) -> tuple[int, bytes, bytes]:
+    """The same for any input, one record after the other."""
     records: list[bytes] = []
     at = 0
     while True:
@@ -46,11 +100,15 @@ def cut(data: bytes) -> tuple[list[bytes], bytes]:
         else:
             match = COMPLETE.match(data, at)
             if not match:
-                return records, data[at:]
+                return len(records), joined(records), data[at:]
             records.extend(with_regular_quotes(match.group()))
         at = match.end()
 
 
+def joined(records: list[bytes]) -> bytes:
+    return b"".join(record + b"\x00" for record in records)
+
+
 def record_blocks(source: BinaryIO, read_bytes: int = READ_BYTES) -> Iterator[tuple[int, str]]:
     """``(number of records, records)`` blocks of a CSV stream.
 
@@ -59,29 +117,16 @@ def record_blocks(source: BinaryIO, read_bytes: int = READ_BYTES) -> Iterator[tu
     """
     source.readline()
     left, wanted = b"", read_bytes
-    while True:
-        chunk = source.read(wanted)
+    while chunk := source.read(wanted):
         if RECORD_END.encode() in chunk:
             raise ValueError("NUL character in the extract")
         data = left + chunk
-        if not chunk:
-            records = with_regular_quotes(data) if data else []
-            body = b"\x00".join(records) + b"\x00" if records else b""
-            count, left = len(records), b""
-        else:
-            end = data.rfind(b"\n") + 1
-            lines = data[:end].replace(b"\r\n", b"\n")
-            if b'"' in lines or b"\r" in lines:
-                records, left = cut(data)
-                body = b"\x00".join(records) + b"\x00" if records else b""
-                count = len(records)
-            else:
-                body, left = lines.replace(b"\n", b"\x00"), data[end:]
-                count = body.count(b"\x00")
+        count, block, left = cut_regular(data) or cut_any(data)
         if count:
-            yield count, body.decode("utf-8")
-        if not chunk:
-            return
+            yield count, block.decode("utf-8")
         # A record longer than the buffer is met again from its start: double
         # the read each time so that the work stays linear.
         wanted = read_bytes if count else wanted * 2
+    if left:
+        records = with_regular_quotes(left)
+        yield len(records), joined(records).decode("utf-8")
