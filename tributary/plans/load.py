@@ -89,4 +89,4 @@ def load(
     names = [row["table"] for row in chosen]
     # The tables do not depend on each other; small ones fill the gaps of large ones.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        return dict(zip(names, pool.map(inheritable_thread_target(land), names)))
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(land), names)))
