@@ -89,7 +89,7 @@ def test_field_count_of_a_very_long_field(spark):
 
 
 def test_bad_value_and_null_key_fail(spark, tmp_path):
-    with pytest.raises(Exception, match="column id: not a bigint: x"):
+    with pytest.raises(Exception, match="column id: not a bigint: x,a,b"):
         typed_rows(raw_records(spark, tmp_path, "x,a,b\n"), THREE).collect()
     spec = TableSpec("t", ("id",), THREE)
     with pytest.raises(Exception, match="NULL in key column id"):

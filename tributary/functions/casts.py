@@ -1,12 +1,14 @@
 """Text to typed columns, failing on text the target type cannot hold.
 
 Every cast reports bad text itself, so results do not depend on the
-session's ``spark.sql.ansi.enabled``.
+session's ``spark.sql.ansi.enabled``. The work is spread over several
+projections with one check for all columns: a check per column makes the
+generated code of a wide table too long for the JVM to compile.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,71 +17,86 @@ from pyspark.sql import types as T
 TRUE_WORDS = ["t", "tr", "tru", "true", "y", "ye", "yes", "on", "1"]
 FALSE_WORDS = ["f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0"]
 
+BLANKS = " \t\n\x0b\f\r"
+MICROSECOND = "INTERVAL '0.000001' SECOND"
+FAULT = "_fault"
 
-def empty_to_null(text: Column) -> Column:
-    """An empty field is NULL for every type, text included."""
-    return F.nullif(text, F.lit(""))
 
+def parsed(text: Column, kind: T.DataType) -> Column:
+    """The value of ``text``, NULL if it has none; decimals in a wide type.
 
-def or_fail(value: Column, text: Column, type_name: str, label: str) -> Column:
-    """``value``, or an error where ``text`` is there but ``value`` is NULL."""
-    message = F.concat(F.lit(f"column {label}: not a {type_name}: "), text)
-    return F.when(text.isNull(), F.lit(None)).otherwise(
-        F.coalesce(value, F.raise_error(message))
-    )
+    A zone suffix of a timestamp is ignored, not applied.
+    """
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.BooleanType):
+        words = {**dict.fromkeys(TRUE_WORDS, True), **dict.fromkeys(FALSE_WORDS, False)}
+        known = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
+        return F.try_element_at(known, F.lower(F.trim(text, F.lit(BLANKS))))
+    if isinstance(kind, T.DecimalType):
+        return text.try_cast(wide(kind))
+    return text.try_cast(kind)
 
 
-def to_integer(text: Column, kind: T.DataType, label: str) -> Column:
-    return or_fail(text.try_cast(kind), text, kind.simpleString(), label)
+def wide(kind: T.DecimalType) -> T.DecimalType:
+    """The type with the same digits before the point and all others after it."""
+    return T.DecimalType(38, 38 - kind.precision + kind.scale)
 
 
-def to_boolean(text: Column, label: str) -> Column:
-    word = F.lower(F.trim(text, F.lit(" \t\n\x0b\f\r")))
-    value = F.when(word.isin(TRUE_WORDS), True).when(word.isin(FALSE_WORDS), False)
-    return or_fail(value, text, "boolean", label)
+def fits(value: Column, kind: T.DataType) -> Column:
+    """Whether a parsed value can be had in the type without loss."""
+    if isinstance(kind, T.DecimalType):
+        return value.isNotNull() & (value.cast(kind) == value)
+    return value.isNotNull()
 
 
-def to_decimal(text: Column, kind: T.DecimalType, label: str) -> Column:
-    """Decimal value; text that would be rounded to fit is refused.
+def rounded(text: Column, value: Column) -> Column:
+    """A parsed timestamp to the nearest microsecond.
 
-    The wide type holds the same integer digits and all further fraction
-    digits, so comparing the two shows whether a digit was lost.
+    The cast cuts a fraction of more than six digits.
     """
-    whole_digits = kind.precision - kind.scale
-    wide = text.try_cast(T.DecimalType(38, 38 - whole_digits))
-    value = F.when(wide.cast(kind) == wide, wide.cast(kind))
-    return or_fail(value, text, kind.simpleString(), label)
-
-
-def to_timestamp(text: Column, label: str) -> Column:
-    """Timestamp without zone; a zone suffix is ignored, not applied.
-
-    A fraction of more than six digits is rounded to microseconds, where a
-    plain cast would cut it.
+    fraction = F.regexp_extract(text, r"\.\d{7,}", 0)
+    micros = F.rint(fraction.try_cast("double") * F.lit(1e6))
+    up = micros > F.substring(fraction, 2, 6).try_cast("int")
+    return F.when((F.length(text) > 26) & up, value + F.expr(MICROSECOND)).otherwise(value)
+
+
+def cast_text(
+    rows: DataFrame,
+    schema: T.StructType,
+    fault: Column | None = None,
+    about: str = "",
+    shown: Column | None = None,
+) -> DataFrame:
+    """The text columns of ``schema`` typed; other columns are kept.
+
+    Text that its type cannot hold fails the job, and so does a row where
+    ``fault`` is true, with ``about`` as the message. ``shown`` is what a
+    message quotes of the row.
     """
-    fraction = F.regexp_extract(text, r"(\.\d{7,})", 1)
-    micros = F.rint(fraction.try_cast("double") * F.lit(1e6)).cast("bigint")
-    seconds = (micros / F.lit(1000000)).cast("decimal(18,6)")
-    rounded = F.regexp_replace(text, r"\.\d+", "").try_cast("timestamp_ntz") + F.make_dt_interval(
-        secs=seconds
-    )
-    plain = text.try_cast("timestamp_ntz")
-    value = F.when((F.length(text) > 26) & (fraction != ""), rounded).otherwise(plain)
-    return or_fail(value, text, "timestamp", label)
-
-
-def typed(text: Column, field: T.StructField) -> Column:
-    """``text`` as the field's type, under the field's name."""
-    text = empty_to_null(text)
-    kind = field.dataType
-    if isinstance(kind, T.StringType):
-        value = text
-    elif isinstance(kind, T.BooleanType):
-        value = to_boolean(text, field.name)
-    elif isinstance(kind, T.DecimalType):
-        value = to_decimal(text, kind, field.name)
-    elif isinstance(kind, T.TimestampNTZType):
-        value = to_timestamp(text, field.name)
-    else:
-        value = to_integer(text, kind, field.name)
-    return value.alias(field.name)
+    names = schema.fieldNames()
+    others = [c for c in rows.columns if c not in names]
+    casts = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+
+    def text(name):
+        return F.col(f"`{name}`")
+
+    def value(name):
+        return F.col(f"`_value_{name}`")
+
+    values = rows.select("*", *[parsed(text(f.name), f.dataType).alias(f"_value_{f.name}") for f in casts])
+    times = [f.name for f in casts if isinstance(f.dataType, T.TimestampNTZType)]
+    values = values.withColumns({f"_value_{n}": rounded(text(n), value(n)) for n in times})
+
+    # 1 for the row itself, then the number of the first column at fault.
+    number = F.when(F.lit(False) if fault is None else fault, F.lit(1))
+    for n, f in enumerate(casts, 2):
+        number = number.when(text(f.name).isNotNull() & ~fits(value(f.name), f.dataType), F.lit(n))
+    checked = values.withColumn(FAULT, number)
+
+    messages = [about, *[f"column {f.name}: not a {f.dataType.simpleString()}" for f in casts]]
+    quoted = F.lit("") if shown is None else F.coalesce(F.concat(F.lit(": "), F.left(shown, F.lit(200))), F.lit(""))
+    failed = F.raise_error(F.concat(F.element_at(F.array(*map(F.lit, messages)), F.col(FAULT)), quoted))
+    columns = {f.name: value(f.name).cast(f.dataType) if f in casts else text(f.name) for f in schema.fields}
+    columns[names[0]] = F.when(F.col(FAULT).isNotNull(), failed).otherwise(columns[names[0]])
+    return checked.select(*[columns[n].alias(n) for n in names], *others)

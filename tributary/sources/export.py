@@ -44,8 +44,7 @@ def write_archives(records: DataFrame, folder: str, header: list[str]) -> int:
         ):
             entry.write(first_line)
             for batch in batches:
-                for record in batch.column("record").to_pylist():
-                    entry.write(record.encode() + b"\n")
+                entry.write("".join(f"{record}\n" for record in batch.column("record").to_pylist()).encode())
                 count += batch.num_rows
         system.move(draft, f"{inner}/extract-{number:08d}.zip")
         yield pa.RecordBatch.from_pydict({"rows": [count]})

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.functions.casts import typed
+from tributary.functions.casts import cast_text
 from tributary.operators.keys import require_keys
 from tributary.schemas import TableSpec
 
 MALFORMED = "_malformed"
+RECORD = "_record"
 
 # Comma, double quote doubled inside quotes, no escape character, newlines
 # kept inside quotes, blanks kept.
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}
 READ_OPTIONS = {
     **DIALECT,
+    # An empty field is NULL for every type, quoted or not.
+    "nullValue": "",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": MALFORMED,
     "ignoreLeadingWhiteSpace": "false",
@@ -52,7 +55,7 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def scan_records(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """The same text columns from unpacked records, with their position."""
+    """The same text columns from unpacked records, with position and raw text."""
     fields = F.from_csv("record", text_schema(schema).simpleString(), READ_OPTIONS)
     # An empty record has no fields; the parser gives no row for it.
     malformed = F.when(F.col("record") == "", F.col("record")).otherwise(F.col(f"fields.{MALFORMED}"))
@@ -62,13 +65,13 @@ def scan_records(records: DataFrame, schema: T.StructType) -> DataFrame:
         "row",
         *[F.col("fields").getField(n).alias(n) for n in schema.fieldNames()],
         malformed.alias(MALFORMED),
+        F.col("record").alias(RECORD),
     )
 
 
 def field_count(record: Column) -> Column:
     """Fields of a record: the commas outside quotes, and one."""
-    outside = F.regexp_replace(record, '"[^"]*"', "")
-    return F.length(outside) - F.length(F.replace(outside, F.lit(","))) + 1
+    return F.length(F.regexp_replace(record, '"[^"]*"|[^",]+', "")) + 1
 
 
 def is_short(schema: T.StructType) -> Column:
@@ -93,15 +96,11 @@ def short_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
 def typed_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns; a short row or a value of another type fails the job.
 
-    Columns of ``raw`` that are not in the schema (the position) are kept.
+    The position is kept.
     """
-    names = schema.fieldNames()
-    message = F.concat(F.lit(f"fewer than {len(names)} fields: "), F.col(MALFORMED))
-    columns = {f.name: typed(F.col(f.name), f) for f in schema.fields}
-    first = names[0]
-    columns[first] = F.when(is_short(schema), F.raise_error(message)).otherwise(columns[first])
-    kept = [c for c in raw.columns if c not in names and c != MALFORMED]
-    return raw.select(*[columns[n].alias(n) for n in names], *kept)
+    about = f"fewer than {len(schema.fields)} fields"
+    shown = F.col(RECORD if RECORD in raw.columns else MALFORMED)
+    return cast_text(raw, schema, is_short(schema), about, shown).drop(MALFORMED, RECORD)
 
 
 def keyed_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:

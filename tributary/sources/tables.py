@@ -29,7 +29,7 @@ from tributary.storage import create_json, file_names, folder_bytes, read_json
 SEQUENCE = "_seq"
 TURN = "_turn"
 
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 32 << 20
 # Pending deltas may reach this share of the base before they are merged.
 PENDING_SHARE = 0.1
 

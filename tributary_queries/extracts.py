@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-
-from tributary.functions.casts import to_boolean, to_timestamp
-from tributary.schemas import DIFFERENTIAL, FULL, TableSpec
+from tributary.functions.casts import cast_text
+from tributary.schemas import BOOL, DIFFERENTIAL, FULL, WHEN, TableSpec
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
 from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import scan_csv, scan_records, short_rows, typed_rows, write_csv
@@ -169,7 +169,8 @@ def cast_boolean(spark, sf_dir):
     word = F.coalesce(
         *[F.when(kind == k, F.when(high, yes).otherwise(no)) for k, (yes, no) in spelled.items()]
     )
-    return given(spark, sf_dir, "events").select("event_id", to_boolean(word, "flag").alias("flag"))
+    events = given(spark, sf_dir, "events").select("event_id", word.alias("flag"))
+    return cast_text(events, T.StructType([T.StructField("flag", BOOL)]))
 
 
 def cast_decimal(spark, sf_dir):
@@ -183,7 +184,8 @@ def cast_timestamp(spark, sf_dir):
     """Times as text with a ``T`` and a zone that does not shift them."""
     text = F.regexp_replace(F.col("ts").cast("string"), " ", "T")
     zoned = F.concat(text, F.when(F.col("event_type") == "view", "+05:00").otherwise("Z"))
-    return given(spark, sf_dir, "events").select("event_id", to_timestamp(zoned, "ts").alias("ts"))
+    events = given(spark, sf_dir, "events").select("event_id", zoned.alias("ts"))
+    return cast_text(events, T.StructType([T.StructField("ts", WHEN)]))
 
 
 # --- tables
