@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 TRUE_WORDS = ["t", "tr", "tru", "true", "y", "ye", "yes", "on", "1"]
 FALSE_WORDS = ["f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0"]
 
+BOOLEANS = "map({})".format(
+    ", ".join([f"'{w}', true" for w in TRUE_WORDS] + [f"'{w}', false" for w in FALSE_WORDS])
+)
 BLANKS = " \t\n\x0b\f\r"
 MICROSECOND = "INTERVAL '0.000001' SECOND"
 FAULT = "_fault"
@@ -30,9 +33,7 @@ def parsed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, T.BooleanType):
-        words = {**dict.fromkeys(TRUE_WORDS, True), **dict.fromkeys(FALSE_WORDS, False)}
-        known = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
-        return F.try_element_at(known, F.lower(F.trim(text, F.lit(BLANKS))))
+        return F.try_element_at(F.expr(BOOLEANS), F.lower(F.trim(text, F.lit(BLANKS))))
     if isinstance(kind, T.DecimalType):
         return text.try_cast(wide(kind))
     return text.try_cast(kind)

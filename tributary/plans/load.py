@@ -75,11 +75,12 @@ def load(
     seq = 1 + max(table.state().last_seq for table in tables.values())
 
     archives = chosen_archives(spark, chosen, seq)
-    sizes = {r["table"]: r["bytes"] for r in archives.groupBy("table").agg(F.sum("length").alias("bytes")).collect()}
+    found = archives.groupBy("table").agg(F.sum("length").alias("bytes"), F.count("path").alias("number")).collect()
+    sizes = {r["table"]: r["bytes"] for r in found}
     missing = [row["link"] for row in chosen if row["table"] not in sizes]
     if missing:
         raise FileNotFoundError(f"no archive at {', '.join(missing)}")
-    folder = unpack(archives)
+    folder = unpack(archives, sum(r["number"] for r in found))
 
     def land(name: str) -> State:
         table = tables[name]

@@ -24,8 +24,11 @@ BLOCK_ARROW = pa.schema(
         ("body", pa.string()),
     ]
 )
-BLOCKS_PER_BATCH = 16
-BLOCKS_PER_FILE = 4096
+BLOCKS_PER_BATCH = 64
+BLOCKS_PER_FILE = 16384
+# Text is dear to parse for its size: small row groups let the readers share
+# even one archive's records.
+ROW_GROUP_BYTES = 8 << 20
 
 # The binaryFile source lists files with Spark's own file systems; its content
 # column is never read here.
@@ -65,20 +68,20 @@ def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield pa.RecordBatch.from_arrays(list(zip(*rows)), schema=BLOCK_ARROW)
 
 
-def unpack(archives: DataFrame, out: str | None = None) -> str:
-    """Unpack ``archives`` (``ARCHIVE_COLUMNS``) into a stored block table.
+def unpack(archives: DataFrame, number: int | None = None) -> str:
+    """Unpack the ``number`` archives (``ARCHIVE_COLUMNS``) into a stored block table.
 
     One task streams each archive, all archives at the same time. Inflating a
     zip entry is sequential by its format, so this step does nothing else, and
     its result is written: a lost executor does not inflate again, and all
     later work is split evenly whatever the size of an archive.
     """
-    spark = archives.sparkSession
-    out = out or work_folder(spark, "records")
+    out = work_folder(archives.sparkSession, "records")
     archives = archives.select(*ARCHIVE_COLUMNS)
-    number = max(1, archives.count())
-    blocks = archives.repartitionByRange(number, "path").mapInArrow(unpack_batches, BLOCK_DDL)
-    blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE).partitionBy("table").parquet(out)
+    tasks = max(1, archives.count() if number is None else number)
+    blocks = archives.repartitionByRange(tasks, "path").mapInArrow(unpack_batches, BLOCK_DDL)
+    writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE)
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("table").parquet(out)
     return out
 
 

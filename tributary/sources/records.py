@@ -16,7 +16,7 @@ from typing import BinaryIO
 
 import numpy as np
 
-READ_BYTES = 1 << 18
+READ_BYTES = 1 << 16
 RECORD_END = "\x00"
 
 _QUOTED = rb'"[^"]*+(?:""[^"]*+)*+"'

@@ -16,7 +16,6 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import asdict, dataclass, field, replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,8 @@ from tributary.operators.upsert import drop_stale, last_wins, merge, upsert
 from tributary.schemas import LONG, TableSpec
 from tributary.storage import create_json, file_names, folder_bytes, read_json
 
+# Stored with each row: the number of its extract and, in deltas, the version
+# that landed it, which decides between copies of one extract.
 SEQUENCE = "_seq"
 TURN = "_turn"
 
@@ -103,7 +104,7 @@ class KeyedTable:
     def _rows(self, state: State) -> DataFrame:
         if not state.deltas:
             return self._base(state)
-        return upsert(self._base(state), self._pending(state).drop(TURN), self.keys)
+        return upsert(self._base(state), self._pending(state), self.keys)
 
     def _base(self, state: State) -> DataFrame:
         if state.base is None:
@@ -120,20 +121,16 @@ class KeyedTable:
         return self.spark.table(name)
 
     def _delta_rows(self, state: State) -> DataFrame:
-        """Rows of the pending deltas; a later delta has the higher turn."""
-        reader = self.spark.read.schema(self.stored)
-        parts = [
-            reader.parquet(f"{self.path}/{name}").withColumn(TURN, F.lit(turn))
-            for turn, name in enumerate(state.deltas)
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        """Rows of the pending deltas, each with the version that landed it."""
+        schema = T.StructType([*self.stored.fields, T.StructField(TURN, LONG)])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}" for name in state.deltas])
 
     def _pending(self, state: State) -> DataFrame:
         """One row per key from the pending deltas."""
         rows = self._delta_rows(state)
-        if len(state.deltas) == 1:
-            return rows
-        return last_wins(rows, self.keys, [SEQUENCE, TURN])
+        if len(state.deltas) > 1:
+            rows = last_wins(rows, self.keys, [SEQUENCE, TURN])
+        return rows.drop(TURN)
 
     # --- writing
 
@@ -165,6 +162,9 @@ class KeyedTable:
             return self._merge(landed, rows, input_bytes)
         return self._append(landed, rows, first_seq)
 
+    def _with_turn(self, state: State, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(TURN, F.lit(state.version + 1).cast("bigint"))
+
     def _is_large(self, state: State, more_bytes: int) -> bool:
         return state.delta_bytes + more_bytes > self.pending_share * state.base_bytes
 
@@ -172,7 +172,7 @@ class KeyedTable:
         if first_seq <= state.base_last_seq:
             rows = drop_stale(self._base(state), rows, self.keys, SEQUENCE)
         name = self._new_name(state, "delta")
-        rows.write.parquet(f"{self.path}/{name}")
+        self._with_turn(state, rows).write.parquet(f"{self.path}/{name}")
         state = replace(
             state,
             version=state.version + 1,
@@ -191,10 +191,9 @@ class KeyedTable:
 
     def _merge(self, state: State, rows: DataFrame | None, input_bytes: int) -> State:
         if rows is None:
-            rows = self._pending(state).drop(TURN)
+            rows = self._pending(state)
         elif state.deltas:
-            newest = rows.withColumn(TURN, F.lit(len(state.deltas)))
-            both = self._delta_rows(state).unionByName(newest)
+            both = self._delta_rows(state).unionByName(self._with_turn(state, rows))
             rows = last_wins(both, self.keys, [SEQUENCE, TURN]).drop(TURN)
         if state.base is not None:
             rows = merge(self._base(state), rows, self.keys, SEQUENCE)

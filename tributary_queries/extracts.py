@@ -13,7 +13,7 @@ from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import scan_csv, scan_records, short_rows, typed_rows, write_csv
 from tributary.sources.listing import read_listing, resolve_links, select_data_sets
 from tributary.sources.tables import SEQUENCE, KeyedTable
-from tributary.storage import work_folder
+from tributary.storage import folder_bytes, work_folder
 from tributary_queries.domain import extract_schema, given, plain
 
 ITEMS = "DataSets"
@@ -195,11 +195,12 @@ def snapshot_publish(spark, sf_dir):
     """Orders landed, then landed again where pending, read as the table is now."""
     orders = given(spark, sf_dir, "orders")
     table = KeyedTable(spark, work_folder(spark, "tables"), TableSpec("orders", ("o_orderkey",), orders.schema))
-    table.land(orders.withColumn(SEQUENCE, F.lit(1).cast("bigint")), 1, 1)
+    size = folder_bytes(sf_dir)
+    table.land(orders.withColumn(SEQUENCE, F.lit(1).cast("bigint")), 1, 1, size)
     edited = orders.where("o_orderstatus = 'P'").withColumns(
         {"o_orderpriority": F.lit("0-EDITED"), SEQUENCE: F.lit(2).cast("bigint")}
     )
-    table.land(edited, 2, 2)
+    table.land(edited, 2, 2, size)
     return table.read()
 
 
