@@ -95,3 +95,9 @@ def test_record_longer_than_many_reads():
     text = "1," + '"' + "x\n" * 50_000 + '"\n2,y\n'
     found = records_of(text, 64)
     assert [len(r) for r in found] == [100_004, 3]
+
+
+def test_a_quote_left_open_does_not_gather_the_whole_extract(monkeypatch):
+    monkeypatch.setattr("tributary.sources.records.RECORD_LIMIT", 1000)
+    with pytest.raises(ValueError, match="is a quote left open"):
+        records_of('1,"' + "x\n" * 5000, 64)

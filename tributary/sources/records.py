@@ -18,6 +18,8 @@ import numpy as np
 
 READ_BYTES = 1 << 16
 RECORD_END = "\x00"
+# A quote that is never closed would otherwise gather the rest of the extract.
+RECORD_LIMIT = 256 << 20
 
 _QUOTED = rb'"[^"]*+(?:""[^"]*+)*+"'
 _REGULAR_FIELD = rb"(?:" + _QUOTED + rb'|[^",\r\n]*+)'
@@ -113,7 +115,8 @@ def record_blocks(source: BinaryIO, read_bytes: int = READ_BYTES) -> Iterator[tu
     """``(number of records, records)`` blocks of a CSV stream.
 
     The first line is the header and is left out, whatever it holds. Bytes
-    that are not UTF-8 are an error. Memory is bounded by the longest record.
+    that are not UTF-8 are an error. Memory is bounded by the longest record,
+    which has a limit.
     """
     source.readline()
     left, wanted = b"", read_bytes
@@ -124,6 +127,8 @@ def record_blocks(source: BinaryIO, read_bytes: int = READ_BYTES) -> Iterator[tu
         count, block, left = cut_regular(data) or cut_any(data)
         if count:
             yield count, block.decode("utf-8")
+        if len(left) > RECORD_LIMIT:
+            raise ValueError(f"a record of more than {RECORD_LIMIT} bytes: is a quote left open?")
         # A record longer than the buffer is met again from its start: double
         # the read each time so that the work stays linear.
         wanted = read_bytes if count else wanted * 2

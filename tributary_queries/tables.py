@@ -16,7 +16,7 @@ from tributary.sources.tables import SEQUENCE, KeyedTable
 from tributary.storage import work_folder
 from tributary.streaming.incremental import follow
 from tributary_queries import domain
-from tributary_queries.domain import DOMAIN, conform, given, plain
+from tributary_queries.domain import DOMAIN, conform, extract_schema, given, plain
 from tributary_queries.extracts import ITEMS, archive_number
 
 # Which rows the table holds, which the extract holds, and what is new in them.
@@ -92,20 +92,18 @@ def dedupe_last_wins(spark, sf_dir):
     return last_wins(events, ["user_id", "event_type"], ["event_id"]).drop("event_id")
 
 
-EVENT_STATE = domain.extract_schema  # the loader's types for the event columns
-
-
 def incremental_upsert(spark, sf_dir):
     """Events in extracts by id, landed in any order, applied as a stream."""
     events = given(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id")
-    ordered = events.repartitionByRange(archive_number(events), "event_id").sortWithinPartitions("event_id")
+    number = archive_number(events)
+    ordered = events.repartitionByRange(number, "event_id").sortWithinPartitions("event_id")
     state = events.drop("event_id")
     landing = work_folder(spark, "landing")
     write_archives(csv_records(ordered.drop("event_id")), landing, state.columns)
 
-    spec = TableSpec("event_state", ("user_id", "event_type"), EVENT_STATE(state))
+    spec = TableSpec("event_state", ("user_id", "event_type"), extract_schema(state))
     table = KeyedTable(spark, work_folder(spark, "tables"), spec)
-    follow(table, landing, work_folder(spark, "stream"), archives_per_batch=1).awaitTermination()
+    follow(table, landing, work_folder(spark, "stream"), archives_per_batch=number // 2).awaitTermination()
     return plain(table.read())
 
 
