@@ -12,9 +12,6 @@ SETTINGS = {
     # narrow dimension columns of the reports often are.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    # A shuffled side whose partitions all turn out this small is hashed, which
-    # spares the other side, often a table's base, its sort.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.ui.enabled": "false",
 }
 
