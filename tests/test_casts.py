@@ -56,9 +56,10 @@ def test_decimals(spark, text, wanted):
     assert value(spark, text, NUMBER, "d") == Decimal(wanted)
 
 
-@pytest.mark.parametrize("text", ["0.0000000001", "1e-10", "100000000000", "abc", "NaN"])
-def test_decimals_are_never_rounded(spark, text):
-    with pytest.raises(Exception, match="column d: not a decimal"):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("text", ["0.0000000001", "1e-10", "100000000000", "99999999999.9999999999", "abc", "NaN"])
+def test_decimals_are_never_rounded(spark, text, ansi):
+    with settings(spark, spark__sql__ansi__enabled=ansi), pytest.raises(Exception, match="column d: not a decimal"):
         value(spark, text, NUMBER, "d")
 
 

@@ -2,11 +2,11 @@ import pytest
 
 from tests.helpers import put_pages
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, registry
-from tributary.sources.listing import read_listing, resolve_links, select_data_sets
+from tributary.sources.listing import read_listing, read_pages, require_last_page, resolve_links, select_data_sets
 
 
 def links_of(spark, path):
-    return {r["plugin"]: r["link"] for r in resolve_links(read_listing(spark, path, "Objects")).collect()}
+    return {r["plugin"]: r["link"] for r in resolve_links(read_listing(read_pages(spark, path, "Objects"))).collect()}
 
 
 def test_pages_are_joined_and_the_last_link_wins(spark, tmp_path):
@@ -32,3 +32,11 @@ def test_missing_link_fails(spark):
     links = spark.createDataFrame([(p, "x") for p, _, _ in DATA_SETS[1:]], "plugin string, link string")
     with pytest.raises(Exception, match=f"no link for data set {DATA_SETS[0][0]}"):
         select_data_sets(registry(spark), links, FULL).collect()
+
+
+def test_a_listing_without_its_last_page_fails(spark, tmp_path):
+    path = put_pages(f"{tmp_path}/l", [[("a", "1")], [("b", "1")], []])
+    require_last_page(read_pages(spark, path, "Objects"))
+    (tmp_path / "l/page-0002.json").unlink()
+    with pytest.raises(ValueError, match="not complete: page/2"):
+        require_last_page(read_pages(spark, path, "Objects"))

@@ -1,6 +1,6 @@
 import pytest
 
-from tests.helpers import put_extract, put_pages, put_zip
+from tests.helpers import put_extract, put_pages, put_zip, settings
 from tributary.plans.load import create_tables, load, register_views
 from tributary.plans.reports import enrollment_report, grade_report, preview
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES
@@ -35,7 +35,13 @@ def rows(frame):
     return sorted((tuple(r) for r in frame.collect()), key=str)
 
 
-def test_full_load_and_reports(spark, tmp_path):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_full_load_and_reports(spark, tmp_path, ansi):
+    with settings(spark, spark__sql__ansi__enabled=ansi):
+        full_load_and_reports(spark, tmp_path)
+
+
+def full_load_and_reports(spark, tmp_path):
     t = run(spark, tmp_path)
     assert {n: x.read().count() for n, x in t.items()} == {
         "org_units": 2, "users": 2, "grade_objects": 2, "grade_results": 4, "user_enrollments": 4,

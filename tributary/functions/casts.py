@@ -47,7 +47,7 @@ def wide(kind: T.DecimalType) -> T.DecimalType:
 def fits(value: Column, kind: T.DataType) -> Column:
     """Whether a parsed value can be had in the type without loss."""
     if isinstance(kind, T.DecimalType):
-        return value.isNotNull() & (value.cast(kind) == value)
+        return value.isNotNull() & value.try_cast(kind).eqNullSafe(value)
     return value.isNotNull()
 
 
@@ -98,6 +98,6 @@ def cast_text(
     messages = [about, *[f"column {f.name}: not a {f.dataType.simpleString()}" for f in casts]]
     quoted = F.lit("") if shown is None else F.coalesce(F.concat(F.lit(": "), F.left(shown, F.lit(200))), F.lit(""))
     failed = F.raise_error(F.concat(F.element_at(F.array(*map(F.lit, messages)), F.col(FAULT)), quoted))
-    columns = {f.name: value(f.name).cast(f.dataType) if f in casts else text(f.name) for f in schema.fields}
+    columns = {f.name: value(f.name).try_cast(f.dataType) if f in casts else text(f.name) for f in schema.fields}
     columns[names[0]] = F.when(F.col(FAULT).isNotNull(), failed).otherwise(columns[names[0]])
     return checked.select(*[columns[n].alias(n) for n in names], *others)

@@ -10,8 +10,8 @@ LINK = "DownloadLink"
 NEXT_PAGE = "NextPageUrl"
 
 
-def read_listing(spark: SparkSession, path: str, items: str) -> DataFrame:
-    """Landed JSON pages, one per file, as ``(page, position, plugin, link)``.
+def read_pages(spark: SparkSession, path: str, items: str) -> DataFrame:
+    """Landed JSON pages, one per file, as ``(page, items, next_page)``.
 
     ``items`` names the field that holds a page's array. The path gives the
     page order, so page numbers in it need leading zeros.
@@ -20,12 +20,23 @@ def read_listing(spark: SparkSession, path: str, items: str) -> DataFrame:
     pages = spark.read.schema(f"`{items}` {item}, {NEXT_PAGE} string").json(path, multiLine=True)
     return pages.select(
         F.col("_metadata.file_path").alias("page"),
-        F.posexplode(F.col(f"`{items}`")).alias("position", "item"),
-    ).select(
-        "page",
-        "position",
-        F.col(f"item.{PLUGIN}").alias("plugin"),
-        F.col(f"item.{LINK}").alias("link"),
+        F.col(f"`{items}`").alias("items"),
+        F.col(NEXT_PAGE).alias("next_page"),
+    )
+
+
+def require_last_page(pages: DataFrame) -> None:
+    """Fail if the last landed page names a page after it."""
+    last = pages.agg(F.max(F.struct("page", "next_page")).alias("last")).first()["last"]
+    if last is None or last["next_page"] is not None:
+        raise ValueError("the listing is not complete: " + (last["next_page"] if last else "no pages"))
+
+
+def read_listing(pages: DataFrame) -> DataFrame:
+    """The items of all pages as ``(page, position, plugin, link)``."""
+    items = pages.select("page", F.posexplode("items").alias("position", "item"))
+    return items.select(
+        "page", "position", F.col(f"item.{PLUGIN}").alias("plugin"), F.col(f"item.{LINK}").alias("link")
     )
 
 

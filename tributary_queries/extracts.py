@@ -11,7 +11,7 @@ from tributary.schemas import BOOL, DIFFERENTIAL, FULL, WHEN, TableSpec
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
 from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import scan_csv, scan_records, short_rows, typed_rows, write_csv
-from tributary.sources.listing import read_listing, resolve_links, select_data_sets
+from tributary.sources.listing import read_listing, read_pages, resolve_links, select_data_sets
 from tributary.sources.tables import SEQUENCE, KeyedTable
 from tributary.storage import folder_bytes, work_folder
 from tributary_queries.domain import extract_schema, given, plain
@@ -64,7 +64,7 @@ def manifest_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = pages(suppliers.where("s_acctbal < 0"), "1", "v2/")
     path = work_folder(spark, "listing")
     write_listing(pages(suppliers, "0", "v1/").unionByName(again), path, ITEMS)
-    return resolve_links(read_listing(spark, path, ITEMS))
+    return resolve_links(read_listing(read_pages(spark, path, ITEMS)))
 
 
 def _dataset_select(spark, sf_dir, mode):

@@ -12,6 +12,7 @@ from tributary.operators.upsert import last_wins, upsert
 from tributary.plans.load import create_tables, load
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, TableSpec
 from tributary.sources.export import csv_records, write_archives, write_listing
+from tributary.sources.extract import field_count
 from tributary.sources.tables import SEQUENCE, KeyedTable
 from tributary.storage import work_folder
 from tributary.streaming.incremental import follow
@@ -110,17 +111,20 @@ def incremental_upsert(spark, sf_dir):
 # --- load flows
 
 
+def with_added_column(rows: DataFrame) -> DataFrame:
+    """Newer publishers append columns; the loader cuts them off."""
+    return rows.withColumn("added_later", F.lit('x, "y"'))
+
+
 def publish(spark: SparkSession, extracts: dict[str, DataFrame], mode: str) -> str:
     """Extracts as archives, and the listing that links to them."""
     links = []
     for plugin, table, published in DATA_SETS:
         if published != mode:
             continue
-        rows = conform(extracts[table], TABLES[table])
+        rows = with_added_column(conform(extracts[table], TABLES[table]))
         folder = work_folder(spark, table)
-        # Newer publishers append columns; the loader cuts them off.
-        wider = rows.withColumn("added_later", F.lit("x, \"y\""))
-        write_archives(csv_records(wider), folder, wider.columns)
+        write_archives(csv_records(rows), folder, rows.columns)
         links.append(("000000000001", plugin, folder))
     listing = work_folder(spark, "listing")
     write_listing(spark.createDataFrame(links, "page string, plugin string, link string"), listing, ITEMS)
@@ -208,15 +212,17 @@ def schema_catalog(spark, sf_dir):
 
 
 def schema_width(spark, sf_dir):
-    """Fields published and kept of every extract record, per table."""
+    """Fields of every published record, and how many of them its table keeps."""
     parts = []
     for name, rows in DOMAIN.items():
-        kept = conform(rows(spark, sf_dir), TABLES[name])
+        published = csv_records(with_added_column(conform(rows(spark, sf_dir), TABLES[name])))
+        fields = published.groupBy(field_count(F.col("record")).cast("bigint").alias("published"))
         parts.append(
-            kept.agg(
+            fields.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table_name"),
-                F.lit(TABLES[name].width).cast("bigint").alias("width"),
-                F.count(TABLES[name].keys[0]).alias("row_count"),
+                "published",
+                F.lit(TABLES[name].width).cast("bigint").alias("kept"),
+                "row_count",
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -238,9 +244,9 @@ QUERIES = {
 }
 
 
-def _counts_sql(second: str, values: dict) -> str:
+def _counts_sql(values: dict[str, str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, {value} AS {second}, COUNT(*) AS row_count FROM ({domain.SQL[name]}) t"
+        f"SELECT '{name}' AS table_name, {value}, COUNT(*) AS row_count FROM ({domain.SQL[name]}) t"
         for name, value in values.items()
     )
 
@@ -251,23 +257,21 @@ _LAST_EVENT = """
 SQL = {
     # The key columns and widths of the five tables.
     "schema_catalog": _counts_sql(
-        "key_columns",
         {
-            "org_units": "'org_unit_id'",
-            "users": "'user_id'",
-            "grade_objects": "'grade_object_id'",
-            "grade_results": "'grade_object_id,org_unit_id,user_id'",
-            "user_enrollments": "'org_unit_id,user_id'",
+            "org_units": "'org_unit_id' AS key_columns",
+            "users": "'user_id' AS key_columns",
+            "grade_objects": "'grade_object_id' AS key_columns",
+            "grade_results": "'grade_object_id,org_unit_id,user_id' AS key_columns",
+            "user_enrollments": "'org_unit_id,user_id' AS key_columns",
         },
     ),
     "schema_width": _counts_sql(
-        "width",
         {
-            "org_units": "CAST(9 AS BIGINT)",
-            "users": "CAST(11 AS BIGINT)",
-            "grade_objects": "CAST(26 AS BIGINT)",
-            "grade_results": "CAST(13 AS BIGINT)",
-            "user_enrollments": "CAST(5 AS BIGINT)",
+            "org_units": "CAST(10 AS BIGINT) AS published, CAST(9 AS BIGINT) AS kept",
+            "users": "CAST(12 AS BIGINT) AS published, CAST(11 AS BIGINT) AS kept",
+            "grade_objects": "CAST(27 AS BIGINT) AS published, CAST(26 AS BIGINT) AS kept",
+            "grade_results": "CAST(14 AS BIGINT) AS published, CAST(13 AS BIGINT) AS kept",
+            "user_enrollments": "CAST(6 AS BIGINT) AS published, CAST(5 AS BIGINT) AS kept",
         },
     ),
     "key_duplicates": """
