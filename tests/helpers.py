@@ -37,14 +37,13 @@ def put_pages(folder, pages, items="Objects"):
     return str(folder)
 
 
-def unpacked(spark, folder, table="t", seq=1):
+def unpacked(spark, folder, seq=1):
     archives = archive_paths(spark, str(folder)).select(
-        F.lit(table).alias("table"),
         F.lit(seq).cast("bigint").alias("seq"),
         F.lit(1).cast("bigint").alias("part"),
         "path",
     )
-    return records(read_blocks(spark, unpack(archives), table))
+    return records(read_blocks(spark, unpack(archives)))
 
 
 def plan(frame, mode="formatted"):

@@ -78,18 +78,19 @@ def load(
 
     archives = chosen_archives(spark, chosen, seq)
     found = archives.groupBy("table").agg(F.sum("length").alias("bytes"), F.count("path").alias("number")).collect()
-    sizes = {r["table"]: r["bytes"] for r in found}
+    sizes = {r["table"]: (r["bytes"], r["number"]) for r in found}
     missing = [row["link"] for row in chosen if row["table"] not in sizes]
     if missing:
         raise FileNotFoundError(f"no archive at {', '.join(missing)}")
-    folder = unpack(archives, sum(r["number"] for r in found))
 
     def land(name: str) -> State:
-        table = tables[name]
-        rows = extract_rows(read_blocks(spark, folder, name), table.spec, on_duplicate)
-        return table.land(rows, seq, seq, sizes[name])
+        size, number = sizes[name]
+        folder = unpack(archives.where(F.col("table") == name), number)
+        rows = extract_rows(read_blocks(spark, folder), tables[name].spec, on_duplicate)
+        return tables[name].land(rows, seq, seq, size)
 
     names = [row["table"] for row in chosen]
-    # The tables do not depend on each other; small ones fill the gaps of large ones.
+    # The tables do not depend on each other: while a large archive is still
+    # inflated in one task, the other tables use the rest of the cluster.
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(land), names)))

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from tributary.sources.records import RECORD_END, record_blocks
 from tributary.storage import resolve, work_folder
 
-ARCHIVE_COLUMNS = ["table", "seq", "part", "path"]
-BLOCK_DDL = "table string, seq bigint, part bigint, first_row bigint, row_count bigint, body string"
+ARCHIVE_COLUMNS = ["seq", "part", "path"]
+BLOCK_DDL = "seq bigint, part bigint, first_row bigint, row_count bigint, body string"
 BLOCK_ARROW = pa.schema(
     [
-        ("table", pa.string()),
         ("seq", pa.int64()),
         ("part", pa.int64()),
         ("first_row", pa.int64()),
@@ -59,7 +58,7 @@ def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for archive in batch.to_pylist():
             rows, first_row = [], 0
             for count, body in archive_blocks(archive["path"]):
-                rows.append((archive["table"], archive["seq"], archive["part"], first_row, count, body))
+                rows.append((archive["seq"], archive["part"], first_row, count, body))
                 first_row += count
                 if len(rows) == BLOCKS_PER_BATCH:
                     yield pa.RecordBatch.from_arrays(list(zip(*rows)), schema=BLOCK_ARROW)
@@ -81,14 +80,13 @@ def unpack(archives: DataFrame, number: int | None = None) -> str:
     tasks = max(1, archives.count() if number is None else number)
     blocks = archives.repartitionByRange(tasks, "path").mapInArrow(unpack_batches, BLOCK_DDL)
     writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE)
-    writer.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("table").parquet(out)
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
     return out
 
 
-def read_blocks(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Blocks of one table; none if its archives held no records."""
-    blocks = spark.read.schema(BLOCK_DDL).parquet(folder)
-    return blocks.where(F.col("table") == table)
+def read_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored blocks; none if the archives held no records."""
+    return spark.read.schema(BLOCK_DDL).parquet(folder)
 
 
 def records(blocks: DataFrame) -> DataFrame:

@@ -38,7 +38,6 @@ def follow(
         .option("maxFilesPerTrigger", archives_per_batch)
         .load(landing)
         .select(
-            F.lit(table.spec.name).alias("table"),
             F.when(number == "", unnumbered).otherwise(number.cast("bigint")).alias("seq"),
             F.lit(0).cast("bigint").alias("part"),
             "path",
@@ -52,7 +51,7 @@ def follow(
         ).first()
         if bounds["first"] is None:
             return
-        blocks = read_blocks(spark, unpack(batch), table.spec.name)
+        blocks = read_blocks(spark, unpack(batch))
         rows = extract_rows(blocks, table.spec, on_duplicate)
         table.land(
             rows, bounds["first"], bounds["last"], bounds["bytes"], source=checkpoint, batch=batch_id

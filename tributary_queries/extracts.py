@@ -31,12 +31,11 @@ def through_archives(records_text: DataFrame, header: list[str]) -> DataFrame:
     folder = work_folder(spark, "landing")
     write_archives(records_text.repartition(archive_number(records_text)), folder, header)
     archives = archive_paths(spark, folder).select(
-        F.lit("extract").alias("table"),
         F.lit(1).cast("bigint").alias("seq"),
         F.lit(1).cast("bigint").alias("part"),
         "path",
     )
-    return records(read_blocks(spark, unpack(archives), "extract"))
+    return records(read_blocks(spark, unpack(archives)))
 
 
 def loaded(rows: DataFrame, records_text: DataFrame | None = None) -> DataFrame:
