@@ -42,6 +42,7 @@ def unpacked(spark, folder, seq=1):
         F.lit(seq).cast("bigint").alias("seq"),
         F.lit(1).cast("bigint").alias("part"),
         "path",
+        "length",
     )
     return records(read_blocks(spark, unpack(archives)))
 

@@ -47,7 +47,7 @@ def test_every_archive_has_its_own_task(spark, tmp_path):
     for i in range(6):
         put_extract(f"{tmp_path}/in/{i}.zip", f"{i}\n")
     archives = archive_paths(spark, f"{tmp_path}/in").select(
-        F.lit(1).cast("bigint").alias("seq"), F.lit(1).cast("bigint").alias("part"), "path"
+        F.lit(1).cast("bigint").alias("seq"), F.lit(1).cast("bigint").alias("part"), "path", "length"
     )
     folder = unpack(archives)
     files = read_blocks(spark, folder).select(F.input_file_name().alias("f")).distinct()

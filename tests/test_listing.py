@@ -40,3 +40,18 @@ def test_a_listing_without_its_last_page_fails(spark, tmp_path):
     (tmp_path / "l/page-0002.json").unlink()
     with pytest.raises(ValueError, match="not complete: page/2"):
         require_last_page(read_pages(spark, path, "Objects"))
+
+
+@pytest.mark.parametrize(
+    "text,message",
+    [
+        ('{"Objects": [', "MALFORMED|Malformed"),
+        ('{"Other": [], "NextPageUrl": null}', "no Objects in"),
+        ('{"Objects": [{"DownloadLink": "x"}], "NextPageUrl": null}', "an item without PluginId"),
+    ],
+)
+def test_a_page_of_another_form_fails(spark, tmp_path, text, message):
+    path = put_pages(f"{tmp_path}/l", [[("a", "1")]])
+    (tmp_path / "l/page-0001.json").write_text(text)
+    with pytest.raises(Exception, match=message):
+        links_of(spark, path)

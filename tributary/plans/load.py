@@ -15,6 +15,7 @@ from tributary.sources.archive import archive_paths, read_blocks, records, unpac
 from tributary.sources.extract import keyed_rows, scan_records
 from tributary.sources.listing import read_listing, read_pages, require_last_page, resolve_links, select_data_sets
 from tributary.sources.tables import SEQUENCE, KeyedTable, State
+from tributary.storage import remove_folder
 
 
 def extract_rows(blocks: DataFrame, spec: TableSpec, on_duplicate: str = LAST) -> DataFrame:
@@ -86,8 +87,11 @@ def load(
     def land(name: str) -> State:
         size, number = sizes[name]
         folder = unpack(archives.where(F.col("table") == name), number)
-        rows = extract_rows(read_blocks(spark, folder), tables[name].spec, on_duplicate)
-        return tables[name].land(rows, seq, seq, size)
+        try:
+            rows = extract_rows(read_blocks(spark, folder), tables[name].spec, on_duplicate)
+            return tables[name].land(rows, seq, seq, size)
+        finally:
+            remove_folder(folder)
 
     names = [row["table"] for row in chosen]
     # The tables do not depend on each other: while a large archive is still

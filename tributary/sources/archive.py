@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tributary.sources.records import RECORD_END, record_blocks
 from tributary.storage import resolve, work_folder
 
-ARCHIVE_COLUMNS = ["seq", "part", "path"]
+ARCHIVE_COLUMNS = ["seq", "part", "path", "length"]
 BLOCK_DDL = "seq bigint, part bigint, first_row bigint, row_count bigint, body string"
 BLOCK_ARROW = pa.schema(
     [
@@ -78,7 +78,9 @@ def unpack(archives: DataFrame, number: int | None = None) -> str:
     out = work_folder(archives.sparkSession, "records")
     archives = archives.select(*ARCHIVE_COLUMNS)
     tasks = max(1, archives.count() if number is None else number)
-    blocks = archives.repartitionByRange(tasks, "path").mapInArrow(unpack_batches, BLOCK_DDL)
+    # The largest archive is the first to start.
+    spread = archives.repartitionByRange(tasks, F.desc("length"), "path")
+    blocks = spread.mapInArrow(unpack_batches, BLOCK_DDL)
     writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE)
     writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
     return out

@@ -17,10 +17,12 @@ def read_pages(spark: SparkSession, path: str, items: str) -> DataFrame:
     page order, so page numbers in it need leading zeros.
     """
     item = f"array<struct<{PLUGIN}:string,{LINK}:string>>"
-    pages = spark.read.schema(f"`{items}` {item}, {NEXT_PAGE} string").json(path, multiLine=True)
+    schema = f"`{items}` {item}, {NEXT_PAGE} string"
+    pages = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
+    absent = F.raise_error(F.concat(F.lit(f"no {items} in "), F.col("_metadata.file_path")))
     return pages.select(
         F.col("_metadata.file_path").alias("page"),
-        F.col(f"`{items}`").alias("items"),
+        F.coalesce(F.col(f"`{items}`"), absent).alias("items"),
         F.col(NEXT_PAGE).alias("next_page"),
     )
 
@@ -35,9 +37,9 @@ def require_last_page(pages: DataFrame) -> None:
 def read_listing(pages: DataFrame) -> DataFrame:
     """The items of all pages as ``(page, position, plugin, link)``."""
     items = pages.select("page", F.posexplode("items").alias("position", "item"))
-    return items.select(
-        "page", "position", F.col(f"item.{PLUGIN}").alias("plugin"), F.col(f"item.{LINK}").alias("link")
-    )
+    unnamed = F.raise_error(F.concat(F.lit(f"an item without {PLUGIN} in "), F.col("page")))
+    plugin = F.coalesce(F.col(f"item.{PLUGIN}"), unnamed).alias("plugin")
+    return items.select("page", "position", plugin, F.col(f"item.{LINK}").alias("link"))
 
 
 def resolve_links(listing: DataFrame) -> DataFrame:

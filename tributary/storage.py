@@ -33,6 +33,13 @@ def file_names(path: str) -> list[str]:
     return sorted(e.base_name for e in entries if e.is_file)
 
 
+def remove_folder(path: str) -> None:
+    """Remove a folder and all in it; no error if it is absent."""
+    system, inner = resolve(path)
+    if system.get_file_info(inner).type != fs.FileType.NotFound:
+        system.delete_dir(inner)
+
+
 def read_json(path: str) -> dict:
     system, inner = resolve(path)
     with system.open_input_stream(inner) as source:

@@ -10,6 +10,7 @@ from tributary.operators.upsert import LAST
 from tributary.plans.load import extract_rows
 from tributary.sources.archive import FILE_DDL, read_blocks, unpack
 from tributary.sources.tables import KeyedTable
+from tributary.storage import remove_folder
 
 
 def follow(
@@ -51,11 +52,14 @@ def follow(
         ).first()
         if bounds["first"] is None:
             return
-        blocks = read_blocks(spark, unpack(batch))
-        rows = extract_rows(blocks, table.spec, on_duplicate)
-        table.land(
-            rows, bounds["first"], bounds["last"], bounds["bytes"], source=checkpoint, batch=batch_id
-        )
+        folder = unpack(batch)
+        try:
+            rows = extract_rows(read_blocks(spark, folder), table.spec, on_duplicate)
+            table.land(
+                rows, bounds["first"], bounds["last"], bounds["bytes"], source=checkpoint, batch=batch_id
+            )
+        finally:
+            remove_folder(folder)
 
     writer = archives.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

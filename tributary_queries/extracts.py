@@ -34,6 +34,7 @@ def through_archives(records_text: DataFrame, header: list[str]) -> DataFrame:
         F.lit(1).cast("bigint").alias("seq"),
         F.lit(1).cast("bigint").alias("part"),
         "path",
+        "length",
     )
     return records(read_blocks(spark, unpack(archives)))
 
