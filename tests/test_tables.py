@@ -3,10 +3,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.helpers import plan, settings
+from tributary.operators.upsert import merge
 from tributary.plans.load import create_tables
 from tributary.schemas import TABLES, table_spec
 from tributary.sources.tables import KeyedTable
-from tributary.storage import create_json
+from tributary.storage import create_json, file_names
 
 SPEC = table_spec("things", ["a", "b"], {"a": T.LongType(), "b": T.StringType(), "v": T.StringType()})
 
@@ -145,15 +146,32 @@ def test_a_new_session_finds_the_buckets(spark, tmp_path):
     assert "Exchange" not in plan(counted) and counted.count() == 500
 
 
-def test_merge_moves_only_the_delta(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path), SPEC, bucket_bytes=100)
-    table.land(many(spark, 0, 500, "v", 1), 1, 1, 100 * 8)
-    assert table.state().buckets == 8
+@pytest.mark.parametrize("buckets", [3, 8, 20])
+def test_only_deltas_are_moved(spark, tmp_path, buckets):
+    """Whatever the number of buckets beside the session's eight partitions."""
+    table = KeyedTable(spark, str(tmp_path), SPEC, bucket_bytes=100, pending_share=1e9)
+    with settings(spark, spark__sql__shuffle__partitions=str(buckets)):
+        assert table.land(many(spark, 0, 500, "v", 1), 1, 1, 100 * buckets).buckets == buckets
     none = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
-    with settings(spark, **none):
-        state = table.land(rows(spark, [(1, "x", "new")], 2), 2, 2, 0)
-        assert state.deltas
+    for seq in (2, 3):
+        state = table.land(rows(spark, [(1, "x", f"new {seq}"), (900 + seq, "x", "added")], seq), seq, seq, 0)
+        with settings(spark, **none):
+            assert base_stays(plan(table.read(), "simple"))
         text = plan(table.read(), "simple")
-        assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
-    text = plan(table.read(), "simple")
-    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+        assert "BroadcastHashJoin" in text and base_stays(text)
+    with settings(spark, **none):
+        delta = table._pending(state).repartition(state.buckets, *table.keys)
+        assert base_stays(plan(merge(table._base(state), delta, table.keys, "_seq"), "simple"))
+    before = content(table)
+    folded = table.fold()
+    assert folded.buckets == buckets and content(table) == before and len(before) == 502
+    files = [f for f in file_names(f"{table.path}/{folded.base}") if f.endswith(".parquet")]
+    assert len(files) <= buckets
+
+
+def base_stays(text):
+    """Whether no exchange lies between the base's bucketed scan and its join."""
+    lines = text.splitlines()
+    at = next(n for n, line in enumerate(lines) if "FileScan" in line and "things_base" in line)
+    above = [line for line in lines[at - 2 : at]]
+    return "Exchange" not in "".join(above)

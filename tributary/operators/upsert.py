@@ -44,16 +44,23 @@ def last_wins(
     return counted.select(checked, *others, "_row.*")
 
 
+def without_keys(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``base`` whose key ``delta`` lacks.
+
+    A ``delta`` whose keys are below the broadcast threshold leaves ``base``
+    where it is; a larger one is joined on the key, which needs no shuffle of
+    a base bucketed by it.
+    """
+    return base.join(delta.select(*keys), list(keys), "left_anti").select(*base.columns)
+
+
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``delta``, and the rows of ``base`` whose key ``delta`` lacks.
 
-    Keys must be unique and not NULL on both sides. A ``delta`` below the
-    broadcast threshold leaves ``base`` where it is; a larger one is joined on
-    the key, which needs no shuffle of a base bucketed by it. ``delta`` is
-    read twice, so it should be a stored frame.
+    Keys must be unique and not NULL on both sides. ``delta`` is read twice,
+    so it should be a stored frame.
     """
-    kept = base.join(delta.select(*keys), list(keys), "left_anti")
-    return kept.select(*base.columns).unionByName(delta.select(*base.columns))
+    return without_keys(base, delta, keys).unionByName(delta.select(*base.columns))
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:

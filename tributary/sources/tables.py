@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.upsert import drop_stale, last_wins, merge, upsert
+from tributary.operators.upsert import drop_stale, last_wins, merge, without_keys
 from tributary.schemas import LONG, TableSpec
 from tributary.storage import create_json, file_names, folder_bytes, read_json
 
@@ -104,7 +104,10 @@ class KeyedTable:
     def _rows(self, state: State) -> DataFrame:
         if not state.deltas:
             return self._base(state)
-        return upsert(self._base(state), self._pending(state), self.keys)
+        # Copies of a key do no harm in the anti join. Deduped deltas would: Spark
+        # keeps their partitions and moves the base if it has fewer buckets.
+        kept = without_keys(self._base(state), self._delta_rows(state), self.keys)
+        return kept.unionByName(self._pending(state))
 
     def _base(self, state: State) -> DataFrame:
         if state.base is None:
@@ -170,6 +173,7 @@ class KeyedTable:
 
     def _append(self, state: State, rows: DataFrame, first_seq: int) -> State:
         if first_seq <= state.base_last_seq:
+            rows = rows.repartition(state.buckets, *self.keys)
             rows = drop_stale(self._base(state), rows, self.keys, SEQUENCE)
         name = self._new_name(state, "delta")
         self._with_turn(state, rows).write.parquet(f"{self.path}/{name}")
@@ -195,8 +199,9 @@ class KeyedTable:
         elif state.deltas:
             both = self._delta_rows(state).unionByName(self._with_turn(state, rows))
             rows = last_wins(both, self.keys, [SEQUENCE, TURN]).drop(TURN)
-        if state.base is not None:
-            rows = merge(self._base(state), rows, self.keys, SEQUENCE)
+        # Spark would rather move the base than rows that are already hashed into
+        # more partitions than the base has buckets.
+        rows = merge(self._base(state), rows.repartition(state.buckets, *self.keys), self.keys, SEQUENCE)
         size = state.base_bytes + state.delta_bytes + input_bytes
         return self._write_base(state, rows, size)
 
@@ -211,8 +216,8 @@ class KeyedTable:
         # A growing table gets more buckets rarely, a shrinking load no fewer.
         kept = state.base is not None and wanted < 4 * state.buckets
         buckets = state.buckets if kept else wanted
-        # Rows come hashed by the key into the base's buckets or into the
-        # session's number of partitions; only another number is a shuffle.
+        # Merged rows come in the base's buckets, others in the session's number of
+        # partitions; only a change of that number is a shuffle.
         if buckets != (state.buckets if state.base is not None else tasks):
             rows = rows.repartition(buckets, *self.keys)
         name = self._new_name(state, "base")
