@@ -53,7 +53,9 @@ def full_load_and_reports(spark, tmp_path):
     assert rows(comments) == [("good\nwork",)]
     grades = grade_report(*(t[n].read() for n in ("grade_results", "users", "org_units", "grade_objects")))
     assert [(a, b, c, None if g is None else str(g)) for a, b, c, g in rows(grades)] == [
-        ("ann", "Maths, first", "Quiz", "0.81"), ("ann", "Physics", "Lab", "0.00"), ("bob", "Maths, first", "Quiz", None),
+        ("ann", "Maths, first", "Quiz", "0.81"),
+        ("ann", "Physics", "Lab", "0.00"),
+        ("bob", "Maths, first", "Quiz", None),
     ]
     listed = enrollment_report(t["user_enrollments"].read(), t["users"].read(), t["org_units"].read())
     assert [r[:5] for r in rows(listed)] == [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterator
 
@@ -29,6 +30,9 @@ BLOCKS_PER_FILE = 16384
 # even one archive's records.
 ROW_GROUP_BYTES = 8 << 20
 
+# The zip reader asks for small pieces; a remote file is fetched in large ones.
+FETCH_BYTES = 4 << 20
+
 # The binaryFile source lists files with Spark's own file systems; its content
 # column is never read here.
 FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
@@ -45,7 +49,7 @@ def archive_paths(spark: SparkSession, location: str) -> DataFrame:
 def archive_blocks(path: str) -> Iterator[tuple[int, str]]:
     """Record blocks of the only entry of a zip file, read as a stream."""
     system, inner = resolve(path)
-    with system.open_input_file(inner) as file, zipfile.ZipFile(file) as archive:
+    with system.open_input_file(inner) as raw, zipfile.ZipFile(io.BufferedReader(raw, FETCH_BYTES)) as archive:
         names = archive.namelist()
         if len(names) != 1:
             raise ValueError(f"{path}: {len(names)} entries in the archive, expected 1")
@@ -71,7 +75,7 @@ def unpack(archives: DataFrame, number: int | None = None) -> str:
     """Unpack the ``number`` archives (``ARCHIVE_COLUMNS``) into a stored block table.
 
     One task streams each archive, all archives at the same time. Inflating a
-    zip entry is sequential by its format, so this step does nothing else, and
+    zip entry is sequential by its format, so this step only cuts records, and
     its result is written: a lost executor does not inflate again, and all
     later work is split evenly whatever the size of an archive.
     """

@@ -133,7 +133,8 @@ SQL = {
     "round_half_up": f"""
         SELECT {_KEYS}, CAST(CASE WHEN d = 0 THEN 0 ELSE ((200 * t + d) // (2 * d)) / 100.0 END AS DOUBLE) AS grade
         FROM ({_HUNDREDTHS}) x""",
-    "grade_report": f"SELECT student_name, org_unit_name, grade_object_name, CAST(grade AS DOUBLE) AS grade FROM ({_GRADE}) r",
+    "grade_report": f"""
+        SELECT student_name, org_unit_name, grade_object_name, CAST(grade AS DOUBLE) AS grade FROM ({_GRADE}) r""",
     "enrollment_report": f"""
         SELECT u.first_name, u.last_name, u.user_name, ue.role_name AS enrolled_role_name,
                ou.name AS org_unit_name, ue.enrollment_date
