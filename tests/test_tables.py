@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +137,26 @@ def test_an_older_reader_keeps_its_rows(spark, tmp_path):
     assert content(table) == {(1, "x", "new")}
 
 
+def test_older_versions_are_removed_on_request(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC, pending_share=1e9)
+    table.land(many(spark, 0, 100, "base", 1), 1, 1)
+    first = table.state().base
+    table.land(rows(spark, [(1, "x", "new")], 2), 2, 2)
+    (delta,) = table.state().deltas
+    before = content(table)
+    assert table.remove_older() == [] and content(table) == before
+    table.fold()
+    os.mkdir(f"{table.path}/things_base_under_way")
+    reader = table.read()
+    assert table.remove_older(keep=2) == [] and content(table) == before
+    assert table.remove_older() == sorted([first, delta])
+    assert content(table) == before and {tuple(r) for r in reader.collect()} == before
+    found = sorted(os.listdir(table.path))
+    assert found == sorted(["_commits", table.state().base, "things_base_under_way"])
+    table.land(rows(spark, [(1, "x", "newer")], 3), 3, 3)
+    assert (1, "x", "newer") in content(table)
+
+
 def test_a_new_session_finds_the_buckets(spark, tmp_path):
     KeyedTable(spark, str(tmp_path), SPEC, bucket_bytes=100).land(many(spark, 0, 500, "v", 1), 1, 1, 450)
     table = KeyedTable(spark, str(tmp_path), SPEC)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tributary.operators.upsert import drop_stale, last_wins, merge, without_keys
 from tributary.schemas import LONG, TableSpec
-from tributary.storage import create_json, file_names, folder_bytes, read_json
+from tributary.storage import create_json, file_names, folder_bytes, read_json, remove_file, remove_folder
 
 # Stored with each row: the number of its extract and, in deltas, the version
 # that landed it, which decides between copies of one extract.
@@ -50,6 +50,10 @@ class State:
     # Last micro-batch applied per stream, so that a repeated one is skipped.
     applied: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def folders(self) -> list[str]:
+        return [f for f in (self.base, *self.deltas) if f]
+
 
 class KeyedTable:
     """A table that holds one row per key."""
@@ -75,10 +79,14 @@ class KeyedTable:
 
     def state(self) -> State | None:
         """The newest version, or None if the table was never created."""
-        commits = [n for n in file_names(f"{self.path}/_commits") if n.endswith(".json")]
-        if not commits:
-            return None
-        found = read_json(f"{self.path}/_commits/{commits[-1]}")
+        commits = self._commits()
+        return self._read_commit(commits[-1]) if commits else None
+
+    def _commits(self) -> list[str]:
+        return [n for n in file_names(f"{self.path}/_commits") if n.endswith(".json")]
+
+    def _read_commit(self, name: str) -> State:
+        found = read_json(f"{self.path}/_commits/{name}")
         return State(**{**found, "deltas": tuple(found["deltas"])})
 
     def create(self) -> State:
@@ -92,6 +100,23 @@ class KeyedTable:
     def _commit(self, state: State) -> None:
         create_json(f"{self.path}/_commits", f"{state.version:012d}.json", asdict(state))
 
+    def remove_older(self, keep: int = 1) -> list[str]:
+        """Remove the folders that only versions before the newest ``keep`` use.
+
+        For when nobody reads those versions any more. Folders that no commit
+        names, such as those of a load under way, are left alone.
+        """
+        commits = self._commits()
+        older, kept = commits[: -max(1, keep)], commits[-max(1, keep) :]
+        used = {f for c in kept for f in self._read_commit(c).folders}
+        unused = sorted({f for c in older for f in self._read_commit(c).folders} - used)
+        for commit in older:
+            remove_file(f"{self.path}/_commits/{commit}")
+        for folder in unused:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{folder}`")
+            remove_folder(f"{self.path}/{folder}")
+        return unused
+
     # --- reading
 
     def read(self) -> DataFrame:

@@ -40,6 +40,11 @@ def remove_folder(path: str) -> None:
         system.delete_dir(inner)
 
 
+def remove_file(path: str) -> None:
+    system, inner = resolve(path)
+    system.delete_file(inner)
+
+
 def read_json(path: str) -> dict:
     system, inner = resolve(path)
     with system.open_input_stream(inner) as source:
