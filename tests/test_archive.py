@@ -32,6 +32,12 @@ def test_rows_are_numbered_in_file_order(spark, tmp_path):
     assert rows.where("row <> id").count() == 0
 
 
+def test_records_of_many_megabytes(spark, tmp_path):
+    put_extract(f"{tmp_path}/in/x.zip", "".join(f'{i},"{"y, " * 2_000_000}"\n' for i in range(4)))
+    rows = unpacked(spark, f"{tmp_path}/in").select("row", F.length("record").alias("size"))
+    assert sorted(tuple(r) for r in rows.collect()) == [(i, 6_000_004) for i in range(4)]
+
+
 def test_header_only_archive_has_no_records(spark, tmp_path):
     put_extract(f"{tmp_path}/in/x.zip", "")
     assert unpacked(spark, f"{tmp_path}/in").count() == 0

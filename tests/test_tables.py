@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def test_small_deltas_are_kept_until_they_grow(spark, tmp_path):
     assert table.fold() == folded
 
 
+def test_named_columns_only_are_read(spark, tmp_path):
+    wide = table_spec("wide", ["a"], {"a": T.LongType(), "b": T.StringType(), "v": T.StringType()})
+    table = KeyedTable(spark, str(tmp_path), wide, pending_share=1e9)
+    for seq in (1, 2, 3):
+        table.land(rows(spark, [(1, "x", f"v{seq}"), (seq + 1, "x", "w")], seq), seq, seq)
+    found = table.read("v")
+    assert sorted(r["v"] for r in found.collect()) == ["v3", "w", "w", "w"]
+    scans = re.findall(r"ReadSchema: struct<(.*)>", plan(found, "formatted"))
+    assert len(scans) == 3 and not any("b:string" in scan for scan in scans)
+
+
 def test_large_input_is_merged_at_once(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path), SPEC)
     table.land(many(spark, 0, 1000, "base", 1), 1, 1, 10)
@@ -182,7 +194,7 @@ def test_only_deltas_are_moved(spark, tmp_path, buckets):
         text = plan(table.read(), "simple")
         assert "BroadcastHashJoin" in text and base_stays(text)
     with settings(spark, **none):
-        delta = table._pending(state).repartition(state.buckets, *table.keys)
+        delta = table._pending(state, table.stored.fieldNames()).repartition(state.buckets, *table.keys)
         assert base_stays(plan(merge(table._base(state), delta, table.keys, "_seq"), "simple"))
     before = content(table)
     folded = table.fold()

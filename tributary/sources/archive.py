@@ -24,7 +24,7 @@ BLOCK_ARROW = pa.schema(
         ("body", pa.string()),
     ]
 )
-BLOCKS_PER_BATCH = 64
+BATCH_CHARACTERS = 4 << 20
 BLOCKS_PER_FILE = 16384
 # Text is dear to parse for its size: small row groups let the readers share
 # even one archive's records.
@@ -60,13 +60,14 @@ def archive_blocks(path: str) -> Iterator[tuple[int, str]]:
 def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive in batch.to_pylist():
-            rows, first_row = [], 0
+            rows, size, first_row = [], 0, 0
             for count, body in archive_blocks(archive["path"]):
                 rows.append((archive["seq"], archive["part"], first_row, count, body))
+                size += len(body)
                 first_row += count
-                if len(rows) == BLOCKS_PER_BATCH:
+                if size >= BATCH_CHARACTERS:
                     yield pa.RecordBatch.from_arrays(list(zip(*rows)), schema=BLOCK_ARROW)
-                    rows = []
+                    rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays(list(zip(*rows)), schema=BLOCK_ARROW)
 

@@ -119,20 +119,26 @@ class KeyedTable:
 
     # --- reading
 
-    def read(self) -> DataFrame:
-        """The rows of the newest version."""
+    def read(self, *columns: str) -> DataFrame:
+        """The rows of the newest version, all columns or the given ones.
+
+        Spark cannot leave columns out of deltas that it has to dedupe; naming
+        them here does.
+        """
         state = self.state()
         if state is None:
             raise LookupError(f"table {self.spec.name} does not exist in {self.path}")
-        return self._rows(state).select(*self.spec.columns)
+        wanted = list(columns or self.spec.columns)
+        return self._rows(state, list(dict.fromkeys([*self.keys, *wanted]))).select(*wanted)
 
-    def _rows(self, state: State) -> DataFrame:
+    def _rows(self, state: State, columns: list[str]) -> DataFrame:
+        base = self._base(state).select(*columns)
         if not state.deltas:
-            return self._base(state)
+            return base
         # Copies of a key do no harm in the anti join. Deduped deltas would: Spark
         # keeps their partitions and moves the base if it has fewer buckets.
-        kept = without_keys(self._base(state), self._delta_rows(state), self.keys)
-        return kept.unionByName(self._pending(state))
+        kept = without_keys(base, self._delta_rows(state), self.keys)
+        return kept.unionByName(self._pending(state, columns))
 
     def _base(self, state: State) -> DataFrame:
         if state.base is None:
@@ -153,12 +159,13 @@ class KeyedTable:
         schema = T.StructType([*self.stored.fields, T.StructField(TURN, LONG)])
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}" for name in state.deltas])
 
-    def _pending(self, state: State) -> DataFrame:
+    def _pending(self, state: State, columns: list[str]) -> DataFrame:
         """One row per key from the pending deltas."""
         rows = self._delta_rows(state)
         if len(state.deltas) > 1:
-            rows = last_wins(rows, self.keys, [SEQUENCE, TURN])
-        return rows.drop(TURN)
+            needed = dict.fromkeys([*columns, SEQUENCE, TURN])
+            rows = last_wins(rows.select(*needed), self.keys, [SEQUENCE, TURN])
+        return rows.select(*columns)
 
     # --- writing
 
@@ -220,7 +227,7 @@ class KeyedTable:
 
     def _merge(self, state: State, rows: DataFrame | None, input_bytes: int) -> State:
         if rows is None:
-            rows = self._pending(state)
+            rows = self._pending(state, self.stored.fieldNames())
         elif state.deltas:
             both = self._delta_rows(state).unionByName(self._with_turn(state, rows))
             rows = last_wins(both, self.keys, [SEQUENCE, TURN]).drop(TURN)
