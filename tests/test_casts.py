@@ -80,9 +80,10 @@ def test_timestamps(spark, text, wanted):
             assert value(spark, text, WHEN, "t") == wanted
 
 
-def test_bad_timestamp_fails(spark):
+@pytest.mark.parametrize("text", ["yesterday-ish", "2020", "2020-01", "10:11:12", "2020-13-01", "2020-02-30 10:00:00"])
+def test_bad_timestamp_fails(spark, text):
     with pytest.raises(Exception, match="column t: not a timestamp"):
-        value(spark, "yesterday-ish", WHEN, "t")
+        value(spark, text, WHEN, "t")
 
 
 def test_nulls_stay(spark):

@@ -28,7 +28,8 @@ FAULT = "_fault"
 def parsed(text: Column, kind: T.DataType) -> Column:
     """The value of ``text``, NULL if it has none; decimals in a wide type.
 
-    A zone suffix of a timestamp is ignored, not applied.
+    A zone suffix of a timestamp is ignored, not applied. A year or a month
+    alone is no timestamp, though the cast takes it for one.
     """
     if isinstance(kind, T.StringType):
         return text
@@ -36,6 +37,8 @@ def parsed(text: Column, kind: T.DataType) -> Column:
         return F.try_element_at(F.expr(BOOLEANS), F.lower(F.trim(text, F.lit(BLANKS))))
     if isinstance(kind, T.DecimalType):
         return text.try_cast(wide(kind))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.when(F.length(text) >= 8, text.try_cast(kind))
     return text.try_cast(kind)
 
 
