@@ -1,9 +1,10 @@
 """Small landed inputs for the tests."""
 
+import io
 import json
 import os
 import zipfile
-from contextlib import contextmanager
+from contextlib import contextmanager, redirect_stdout
 
 from pyspark.sql import functions as F
 
@@ -49,11 +50,8 @@ def unpacked(spark, folder, seq=1):
 
 def plan(frame, mode="formatted"):
     """The physical plan as text."""
-    import contextlib
-    import io
-
     out = io.StringIO()
-    with contextlib.redirect_stdout(out):
+    with redirect_stdout(out):
         frame.explain(mode)
     return out.getvalue()
 
