@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tributary.operators.upsert import last_wins
 from tributary.schemas import NUMBER, TABLES, TableSpec
+from tributary.storage import work_folder
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -91,6 +92,17 @@ DOMAIN = {
 }
 
 
+# Joined and deduped, so worth storing where they are read several times.
+DERIVED = ("grade_results", "user_enrollments")
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The same rows, written once where they are read several times."""
+    path = work_folder(rows.sparkSession, "stored")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def conform(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """All columns of the table; the ones that ``rows`` lack are NULL."""
     return rows.select(

@@ -17,7 +17,7 @@ from tributary.sources.tables import KeyedTable
 from tributary.storage import work_folder
 from tributary.streaming.incremental import follow
 from tributary_queries import domain
-from tributary_queries.domain import DOMAIN, conform, extract_schema, given, plain
+from tributary_queries.domain import DERIVED, DOMAIN, conform, extract_schema, given, plain, stored
 from tributary_queries.extracts import ITEMS, archive_number
 
 # Which rows the table holds, which the extract holds, and what is new in them.
@@ -35,6 +35,8 @@ def _upsert(table: str):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec, rows = TABLES[table], DOMAIN[table](spark, sf_dir)
+        if table in DERIVED:
+            rows = stored(rows)
         extract = rows.where(sent).withColumn(emptied, F.lit(None).cast("string"))
         if renamed:
             extract = extract.withColumn(renamed, F.concat(F.lit(CHANGED), renamed))
@@ -54,7 +56,7 @@ def _upsert_sql(table: str) -> str:
 
 def upsert_grade_results(spark, sf_dir):
     """Results without points come again with the numerator as denominator."""
-    spec, rows = TABLES["grade_results"], domain.grade_results(spark, sf_dir)
+    spec, rows = TABLES["grade_results"], stored(domain.grade_results(spark, sf_dir))
     held = rows.where("points_denominator <> points_numerator")
     sent = rows.where("points_denominator = 0 OR points_denominator = points_numerator")
     sent = sent.withColumns(
@@ -181,7 +183,7 @@ def load_full_flow(spark, sf_dir):
 
 def load_differential_flow(spark, sf_dir):
     """A full load, then a differential one with roles changed and users added."""
-    enrollments = domain.user_enrollments(spark, sf_dir)
+    enrollments = stored(domain.user_enrollments(spark, sf_dir))
     rows = {name: table(spark, sf_dir) for name, table in DOMAIN.items()}
     root = work_folder(spark, "tables")
     rows["user_enrollments"] = enrollments.where("role_name <> '1-URGENT'")
