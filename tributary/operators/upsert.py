@@ -82,12 +82,12 @@ def merge(base: DataFrame, delta: DataFrame, keys: list[str], sequence: str) ->
 
 
 def drop_stale(base: DataFrame, delta: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """``delta`` without the rows for which ``base`` holds a later sequence."""
-    newer = (
-        base.select(*keys, sequence)
-        .alias("b")
-        .join(delta.select(*keys, sequence).alias("d"), same_key("b", "d", keys), "inner")
-        .where(F.col(f"b.{sequence}") > F.col(f"d.{sequence}"))
-        .select(*[F.col(f"b.{k}").alias(k) for k in keys])
-    )
-    return delta.join(newer, list(keys), "left_anti").select(*delta.columns)
+    """``delta`` without the rows for which ``base`` holds a later sequence.
+
+    An outer join from ``delta``, so that it is never broadcast: nothing bounds
+    the size of rows that are still to be parsed.
+    """
+    held = base.select(*keys, sequence).alias("b")
+    joined = delta.alias("d").join(held, same_key("d", "b", keys), "left_outer")
+    old, new = F.col(f"b.{sequence}"), F.col(f"d.{sequence}")
+    return joined.where(old.isNull() | (new >= old)).select("d.*")

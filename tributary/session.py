@@ -12,6 +12,8 @@ SETTINGS = {
     # narrow dimension columns of the reports often are.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # The estimate starts from file sizes; rows in memory are larger.
+    "spark.sql.sources.fileCompressionFactor": "4",
     "spark.ui.enabled": "false",
 }
 
