@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import packing, simhash, toxicity
+from tributary.llm import langid, line_rules, packing, simhash, toxicity
 from tributary.llm.common import table
 
 
@@ -23,10 +23,21 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs, sample=600, centroids=4))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 SQL: dict[str, str] = {}
