@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,35 +19,86 @@ from tributary.llm.common import stored
 KNOWN_WORDS = 800_000
 #: Characters whose unknown words are encoded in one call.
 GROUP = 1 << 20
+#: Cut off a run of letters before it is looked up.
+PUNCTUATION = ".,;:!?*%$&#|"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def plain_letters(word: str) -> bool:
+    """Whether a word is letters that are lower-cased one by one and stay letters."""
+    return word.isalpha() and max(word) < "\u0530" and "\u03a3" not in word and word.lower().isalpha() and is_normalized("NFC", word)
+
+
 class WordIds:
     """Token ids of whole texts, as little-endian bytes, word by word.
 
-    Holds for tokenizers that never join what ASCII white space parts: the ids
-    of a text are those of its words, one after another. Words seen before are
-    looked up.
+    For tokenizers that never join what ASCII white space parts: the ids of a
+    text are those of its words, one after another. Words seen before are looked
+    up. If the tokenizer lower-cases and cuts between letters and punctuation,
+    a new word of letters goes straight to its merges, without the punctuation
+    that ends it; all other words, and all words of other tokenizers, are encoded
+    in full.
     """
 
+    LETTERWISE = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "BPE")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        steps = [[s["type"] for s in ((made[k] or {}).get(of) or [])] for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.letterwise = (*steps, made["model"]["type"]) == self.LETTERWISE
+        self.model, self.letters = self.tokenizer.model, byte_letters()
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         for group in _groups(texts):
-            split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in group]
             if len(self.known) > KNOWN_WORDS:
                 self.known.clear()
-            new = list(set().union(*split).difference(self.known))
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, found, strict=True))
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+            rows, new = [], set()
+            for text in group:
+                words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+                ids = list(map(self.known.get, words))
+                gaps = [(i, words[i]) for i, known in enumerate(ids) if known is None]
+                new.update(word for _, word in gaps)
+                rows.append((ids, gaps))
+            if new:
+                self._learn(new)
+            for ids, gaps in rows:
+                for i, word in gaps:
+                    ids[i] = self.known[word]
+                yield b"".join(ids)
+
+    def _learn(self, words: set[str]) -> None:
+        known, whole, ended = self.known, set(), []
+        for word in words:
+            core = word.rstrip(PUNCTUATION) if self.letterwise else ""
+            if not core or not plain_letters(core):
+                whole.add(word)
+                continue
+            if core not in known:
+                known[core] = self._merged(core)
+            if len(core) < len(word):
+                ended.append((word, core))
+                whole.add(word[len(core) :])
+        new = [w for w in whole if w not in known]
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, found, strict=True))
+        known.update((w, known[core] + known[w[len(core) :]]) for w, core in ended)
+
+    def _merged(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word.lower().encode().decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in tokens]).tobytes()
 
 
 def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
