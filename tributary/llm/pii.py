@@ -16,11 +16,15 @@ EMAIL = rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+IBAN = (
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"
+    r"(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+)
 IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 IP_VALID = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 #: Code points before and after a span in which context words count.
 CONTEXT = 60
+BLOCK = 256
 
 
 def digits(match: Column) -> Column:
@@ -96,41 +100,56 @@ KINDS = (
 SPAN = "array<struct<kind:int,start:int,end:int,score:double,text:string>>"
 
 
+def running(lengths: Column) -> Column:
+    """Running sums of an array, in blocks so that a long one stays cheap."""
+
+    def summed(values: Column) -> Column:
+        return F.aggregate(values, F.array(F.lit(0)), lambda done, x: F.array_append(done, F.element_at(done, -1) + x))
+
+    def ended(values: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")),
+            lambda b: summed(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))),
+        )
+        joined = F.transform(F.array(blocks), lambda inner: _offset(inner, summed(F.transform(inner, lambda w: F.element_at(w, -1)))))
+        return F.flatten(joined)
+
+    def _offset(inner: Column, before: Column) -> Column:
+        moved = F.zip_with(inner, F.slice(before, F.lit(1), F.size(inner)), lambda w, o: F.transform(F.slice(w, F.lit(2), F.size(w) - 1), lambda e: e + o))
+        return F.flatten(moved)
+
+    return F.flatten(F.transform(F.array(lengths), ended))
+
+
 def kind_spans(text: Column, number: int, kind: Kind, least_score: float) -> Column:
     """Valid spans of a kind: code points from 0, end exclusive.
 
-    Matches and the gaps between them, laid end to end, give the places. A base
-    span stays whatever its score; another kind's must reach ``least_score``.
+    Matches and the gaps between them, laid end to end, give the places, and the
+    gaps next to a match its context. A base span stays whatever its score;
+    another kind's must reach ``least_score``.
     """
     has = F.contains(text, F.lit(kind.needs)) if kind.needs == "@" else text.rlike(kind.needs)
     matches = F.when(has, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)))
-    gaps = F.split(text, kind.pattern, -1)
-
-    def placed(matches: Column, gaps: Column) -> Column:
-        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("own")))
-        ends = F.aggregate(
-            lengths,
-            F.array(F.lit(0)),
-            lambda done, x: F.array_append(done, F.element_at(done, -1) + x.gap + x.own),
-        )
-        found = F.zip_with(matches, F.slice(ends, F.lit(2), F.size(matches)), lambda m, end: F.struct(m.alias("text"), end.alias("end")))
-        found = F.filter(found, lambda x: kind.valid(x.text))
-        scored = F.transform(found, lambda x: _scored(text, number, kind, x))
+    # One-element arrays bind what is used more than once, so that it is computed once.
+    some = F.transform(F.array(matches), lambda m: F.when(F.size(m) > 0, F.struct(m.alias("m"), F.split(text, kind.pattern, -1).alias("g"))))
+
+    def placed(p: Column) -> Column:
+        before, after = F.slice(p.g, F.lit(1), F.size(p.m)), F.slice(p.g, F.lit(2), F.size(p.m))
+        ends = running(F.zip_with(before, p.m, lambda g, m: F.length(g) + F.length(m)))
+        near = F.zip_with(before, after, lambda b, a: F.lower(F.concat(F.right(b, F.lit(CONTEXT)), F.lit(" "), F.left(a, F.lit(CONTEXT)))))
+        own = F.zip_with(p.m, ends, lambda m, end: F.struct(m.alias("text"), end.alias("end")))
+        found = F.zip_with(own, near, lambda o, n: F.struct(o.text.alias("text"), o.end.alias("end"), n.alias("near")))
+        scored = F.transform(F.filter(found, lambda x: kind.valid(x.text)), lambda x: _scored(number, kind, x))
         return scored if kind.base else F.filter(scored, lambda x: x.score >= least_score)
 
-    # The arrays are computed once and bound by a one-element transform.
-    pairs = F.when(F.size(matches) > 0, F.array(F.struct(matches.alias("m"), gaps.alias("g"))))
-    found = F.flatten(F.transform(pairs, lambda p: placed(p.m, p.g)))
+    found = F.flatten(F.transform(F.filter(some, lambda p: p.isNotNull()), placed))
     return F.coalesce(found.cast(SPAN), F.array().cast(SPAN))
 
 
-def _scored(text: Column, number: int, kind: Kind, x: Column) -> Column:
+def _scored(number: int, kind: Kind, x: Column) -> Column:
+    score = F.lit(kind.score) + F.when(x.near.rlike(kind.context), kind.raised).otherwise(0.0)
+    score = score - F.when(x.near.rlike(kind.against), kind.lowered).otherwise(0.0)
     start = x.end - F.length(x.text)
-    first = F.greatest(start - CONTEXT, F.lit(0))
-    before = F.substring(text, first + 1, start - first)
-    near = F.lower(F.concat(before, F.lit(" "), F.substring(text, x.end + 1, F.lit(CONTEXT))))
-    score = F.lit(kind.score) + F.when(near.rlike(kind.context), kind.raised).otherwise(0.0)
-    score = score - F.when(near.rlike(kind.against), kind.lowered).otherwise(0.0)
     return F.struct(F.lit(number).alias("kind"), start.alias("start"), x.end.alias("end"), score.alias("score"), x.text.alias("text"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import langid, line_rules, packing, simhash, toxicity
+from tributary.llm import langid, line_rules, packing, pii, simhash, toxicity
 from tributary.llm.common import table
 
 
@@ -32,12 +32,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs, sample=600, centroids=4))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).drop("found")
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {}
