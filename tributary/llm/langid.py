@@ -98,7 +98,9 @@ def fit(
     rows = rows.where(training_side(F.col("id"), held_out) & F.col("lang").isNotNull())
     shares = rows.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
     dice = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.join(shares, "lang").where(dice < F.col("share")).where("text IS NOT NULL").select("id", "lang", "text")
+    # The ids alone are joined and stored; the few that are left pick the texts.
+    ids = stored(rows.select("id", "lang").join(shares, "lang").where(dice < F.col("share")).select("id").distinct(), "sample")
+    chosen = rows.where("text IS NOT NULL").join(ids, "id", "left_semi").select("id", "lang", "text")
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.float32())]

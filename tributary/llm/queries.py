@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import langid, line_rules, packing, pii, simhash, toxicity
+from tributary.llm import langid, line_rules, mixing, packing, pii, simhash, toxicity
 from tributary.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs, sample=600, centroids=4))
@@ -41,6 +45,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_source_mixing": op8_source_mixing,
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
 }

@@ -208,3 +208,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its near-duplicate group.
+
+    Of rows that repeat such an id one stays. Rows without an id stay.
+    """
+    groups = near_duplicates(docs, shingle_words, max_bits)
+    kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
