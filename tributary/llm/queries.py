@@ -5,10 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import langid, line_rules, mixing, packing, pii, simhash, toxicity
+from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, simhash, toxicity
 from tributary.llm.common import table
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows.where("vec_id % 100 = 0"), rows, k=10)
+
+
+OP1_SQL = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(
+        list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])), lambda a, b: a + b
+    )) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), sample=12000)
@@ -41,6 +64,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -50,4 +74,6 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_nearest_neighbours": OP1_SQL,
+}
