@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, simhash, toxicity
+from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, simhash, toxicity, warc
 from tributary.llm.common import table
 
 
@@ -42,6 +42,29 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.write(table(spark, sf_dir, "pages"), least_bytes=0)
+    records = warc.read(packages, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, upper(sha1(payload)) AS digest,
+        min(page_id) OVER (PARTITION BY payload) AS first
+    FROM payloads
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+    list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+        (CAST('0x' || substr(digest, 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER
+    ), 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048)
 
@@ -67,6 +90,7 @@ QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_warc": op4_warc,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mixing": op8_source_mixing,
@@ -76,4 +100,5 @@ QUERIES = {
 
 SQL = {
     "op1_nearest_neighbours": OP1_SQL,
+    "op4_warc": OP4_SQL,
 }
