@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, simhash, toxicity, warc
+from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, repeats, simhash, toxicity, warc
 from tributary.llm.common import table
 
 
@@ -65,6 +65,10 @@ FROM hashed
 """
 
 
+def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("removed")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048)
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_warc": op4_warc,
+    "op5_repeat_removal": op5_repeat_removal,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_source_mixing": op8_source_mixing,
