@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import WORD, stored
 
 #: Rows of one source and size are told apart in groups of about so many.
-GROUP_ROWS = 4096
+GROUP_ROWS = 256
 
 
 def n_words(text: Column) -> Column:
