@@ -1,0 +1,516 @@
+"""The operators against plain versions, and on the cases at the edges."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, repeats, simhash, toxicity
+from tributary.llm.components import components
+
+DOCS = "doc_id bigint, text string"
+#: Columns whose names clash with what the operators return or use inside.
+EXTRA = ("fingerprint", "component_id", "score", "predicted", "size", "copies", "row", "key", "found", "n_words", "lang", "host", "k", "h")
+
+
+def docs_of(spark, texts, **columns):
+    rows = [(i, t) for i, t in texts] if texts and isinstance(texts[0], tuple) else list(enumerate(texts))
+    frame = spark.createDataFrame(rows, DOCS)
+    for name in EXTRA:
+        frame = frame.withColumn(name, F.lit("x"))
+    frame = frame.withColumn("source", F.lit("s"))
+    for name, value in columns.items():
+        frame = frame.withColumn(name, value)
+    return frame
+
+
+def words(rnd, n, alphabet=200):
+    return " ".join(f"w{rnd.randrange(alphabet)}" for _ in range(n))
+
+
+# --- components
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (5, 5), (7, 8), (8, 7)]
+    frame = spark.createDataFrame([*edges, (None, 3)], "a bigint, b bigint")
+    found = {r.node: r.root for r in components(frame).collect()}
+    assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 201: 200, 202: 200}
+    assert components(frame.where("a > 1000")).count() == 0
+
+
+# --- 3: SimHash
+
+
+def plain_fingerprint(text):
+    found = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    if not found:
+        return 0
+    shingles = [b" ".join(found[i : i + 4]) for i in range(max(1, len(found) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(prints, bits):
+    label = {i: i for i in prints}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(prints)
+    for a in ids:
+        for b in ids:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= bits:
+                x, y = sorted((root(a), root(b)))
+                label[y] = x
+    return {i: root(i) for i in ids}
+
+
+def test_simhash_against_plain(spark):
+    rnd = random.Random(1)
+    texts = [words(rnd, n) for n in (0, 1, 3, 4, 5, 60, 60, 200, 400, 3000)]
+    texts += [None, "", " \t\n", "ÀÉ Straße x Z", "One two", "one TWO"]
+    long = words(rnd, 500).split()
+    for i in range(60):
+        copy = list(long)
+        copy[rnd.randrange(500)] = f"edit{i}"
+        texts.append(" ".join(copy))
+    texts += [texts[5]] * 3
+    frame = docs_of(spark, texts)
+    found = {r.doc_id: r for r in simhash.near_duplicates(frame).collect()}
+    prints = {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+    assert {i: int(r.fingerprint, 16) for i, r in found.items()} == prints
+    assert all(re.fullmatch("[0-9a-f]{16}", r.fingerprint) for r in found.values())
+    assert {i: r.component_id for i, r in found.items()} == plain_groups(prints, 4)
+
+
+@pytest.mark.parametrize("groups", [2, 3, 5])
+def test_grid_join_finds_every_link(spark, groups):
+    rnd = random.Random(2)
+    prints = set()
+    for _ in range(60):
+        base = rnd.getrandbits(64)
+        prints.add(base)
+        for distance in range(1, 7):
+            flipped = base
+            for bit in rnd.sample(range(64), distance):
+                flipped ^= 1 << bit
+            prints.add(flipped)
+    center = rnd.getrandbits(64)  # a dense heap, larger than a small cell
+    prints |= {center ^ (1 << a) ^ (1 << b) for a in range(0, 64, 4) for b in range(64)}
+    ids = sorted(prints)
+    rows = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in ids], "fp bigint")
+    links = simhash.links(rows, 4, groups).collect()
+    as_bits = lambda x: int(np.int64(x).view(np.uint64))
+    assert all((as_bits(a) ^ as_bits(b)).bit_count() <= 4 for a, b in links)
+    wanted = plain_groups({p: p for p in ids}, 4)
+    label = {p: p for p in ids}
+
+    def root(p):
+        while label[p] != p:
+            p = label[p]
+        return p
+
+    for a, b in links:
+        x, y = sorted((root(as_bits(a)), root(as_bits(b))))
+        label[y] = x
+    assert {p: root(p) for p in ids} == wanted
+
+
+def test_embedding_is_a_lower_bound():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    b = a ^ (np.uint64(1) << rng.integers(0, 64, 5000, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 5000, dtype=np.uint64))
+    counts = lambda x: np.stack([np.bitwise_count((x >> np.uint64(2 * s)) & np.uint64(3)).astype(int) for s in range(32)])
+    apart = np.bitwise_count(simhash.embedding(a) ^ simhash.embedding(b))
+    assert (apart == np.abs(counts(a) - counts(b)).sum(0)).all()
+    assert (apart <= np.bitwise_count(a ^ b)).all()
+
+
+def test_one_of_each_keeps_columns_and_rows_without_id(spark):
+    frame = docs_of(spark, [(1, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (3, "q r s t u"), (3, "q r s t u"), (None, "a b c d e")])
+    kept = simhash.one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or -1 for r in kept.collect())) == [-1, 1, 3]
+    assert simhash.near_duplicates(frame.limit(0)).count() == 0
+
+
+# --- 1: neighbours
+
+
+def plain_nearest(queries, rows, k):
+    out = []
+    for q, x in sorted(dict(queries).items()):
+        near = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(x, y, strict=True))), v) for v, y in rows if v != q and len(x) == len(y))
+        out += [(q, rank, v) for rank, (_, v) in enumerate(near[:k], 1)]
+    return out
+
+
+def test_neighbours_against_plain(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(i, [float(v) for v in rng.normal(size=8).astype(np.float32)]) for i in range(300)]
+    vectors += [(300 + i, vectors[7][1]) for i in range(60)]  # ties by the dozen
+    vectors += [(400, [v * 1e30 for v in vectors[3][1]]), (401, [v * 1e-30 for v in vectors[3][1]]), (402, [1.0] * 5), (403, [2.0] * 5)]
+    bad = [(500, None), (501, [0.0] * 8), (502, [float("nan")] + [1.0] * 7), (503, [float("inf")] + [1.0] * 7), (504, [None] + [1.0] * 7), (None, [1.0] * 8), (505, [])]
+    frame = spark.createDataFrame([(i, v, "x") for i, v in vectors + bad], "vec_id bigint, embedding array<float>, score string")
+    vectors = [(i, [float(np.float32(x)) for x in v]) for i, v in vectors]
+    asked = frame.where("vec_id % 10 = 0 or vec_id in (402, 403)")
+    found = neighbours.nearest(asked, frame, k=5, query_block=7, row_block=50)
+    wanted = plain_nearest([(i, v) for i, v in vectors if i % 10 == 0 or i in (402, 403)], vectors, 5)
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found.collect()) == sorted(wanted)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert neighbours.nearest(asked, frame.limit(0)).count() == 0
+    assert neighbours.nearest(asked.limit(0), frame).count() == 0
+
+
+def test_bounds_hold_the_distance():
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(50, 64)) * 10 ** rng.uniform(-3, 3, (50, 1)), rng.normal(size=(70, 64))
+    least, most = neighbours.bounds(neighbours.Codes(a), neighbours.Codes(b))
+    squared = ((a[:, None] - b[None]) ** 2).sum(2)
+    assert (least <= squared).all() and (squared <= most).all()
+
+
+# --- 2: toxicity
+
+
+def toxic_corpus(spark, n=1500):
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for i in range(n):
+        text, insult, group = words(rnd, 40), rnd.random() < 0.4, rnd.random() < 0.4
+        text += " grobian" * insult + " nachbarn" * group
+        rows.append((i, text))
+        labels.append((i, int(insult and group)))
+    return docs_of(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+
+def test_machine_learns_the_pair_that_weights_alone_miss(spark):
+    docs, labels = toxic_corpus(spark)
+    machine = toxicity.fit(docs, labels)
+    found = toxicity.scores(docs, machine).join(labels, "doc_id").where("held_out").collect()
+    assert len(found) > 200 and all(r.predicted == r.toxic for r in found)
+    alone = Counter((r.predicted) for r in toxicity.scores(docs_of(spark, ["w1 grobian", "w1 nachbarn"]), machine).collect())
+    assert alone == {0: 2}
+    for r in found:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+
+
+def test_toxicity_edges(spark):
+    docs, labels = toxic_corpus(spark, 300)
+    none = toxicity.fit(docs, labels.limit(0))
+    frame = docs_of(spark, [(1, None), (2, ""), (None, "grobian nachbarn"), (3, "x " * 200000), (3, "x " * 200000)])
+    assert {r.predicted for r in toxicity.scores(frame, none).collect()} == {0}
+    assert toxicity.scores(frame, none).count() == 5 and toxicity.scores(frame.limit(0), none).count() == 0
+    odd = labels.union(spark.createDataFrame([(None, 1), (5, None), (7, 1), (7, 0)], "doc_id bigint, toxic int"))
+    machine = toxicity.fit(docs, odd)
+    kept = toxicity.keep_clean(frame, machine)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 3]
+
+
+def test_held_out_labels_and_other_columns_change_nothing(spark):
+    docs, labels = toxic_corpus(spark, 400)
+    one = toxicity.fit(docs, labels)
+    flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    other = toxicity.fit(docs.withColumn("lang", F.lit("zz")), flipped)
+    assert (one.known == other.known).all() and np.allclose(one.weights, other.weights)
+
+
+# --- 5: repeats
+
+
+def plain_repeats(texts, length):
+    seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    for text in texts:
+        marks = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            if seen[text[i : i + length]] > 1:
+                marks[i : i + length] = b"\x01" * length
+        runs = len(re.findall(rb"\x01+", bytes(marks)))
+        kept = bytes(c for c, m in zip(text, marks, strict=True) if not m)
+        yield len(text), sum(marks), runs, hashlib.sha256(kept).hexdigest()
+
+
+@pytest.mark.parametrize("length,width,group_rows", [(400, 200, 32768), (400, 200, 3), (40, 16, 2)])
+def test_repeats_against_plain(spark, length, width, group_rows):
+    rnd = random.Random(7)
+    base = ["".join(rnd.choice("abcé ") for _ in range(rnd.randint(0, 300))) for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        own = lambda: "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 60)))
+        texts.append("".join(rnd.choice(base) if rnd.random() < 0.6 else own() for _ in range(rnd.randint(0, 12))))
+    texts += [None, "", "a" * 900, "ab" * 450, "x" * 400, "y" * 401, texts[5], texts[5]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5]), (None, texts[9]), (None, texts[9])]
+    found = repeats.remove_repeats(docs_of(spark, rows), length, width, group_rows)
+    plain = plain_repeats([(t or "").encode() for _, t in rows], length)
+    wanted = sorted((-1 if i is None else i, *x) for (i, _), x in zip(rows, plain, strict=True))
+    assert sorted((-1 if r.doc_id is None else r.doc_id, *r[1:5]) for r in found.collect()) == wanted
+    assert repeats.remove_repeats(docs_of(spark, rows).limit(0)).count() == 0
+
+
+def test_repeats_across_pieces_of_a_long_text(spark):
+    rng = np.random.default_rng(8)
+    text = bytes(rng.integers(97, 123, repeats.PIECE * 2 + 5000, dtype=np.uint8)).decode()
+    part = text[repeats.PIECE - 700 : repeats.PIECE + 300]
+    short = text[100:499]
+    found = {r.doc_id: r for r in repeats.remove_repeats(docs_of(spark, [text, "0" + part + "1", short])).collect()}
+    assert (found[0].n_removed, found[0].n_spans, found[1].n_removed, found[2].n_removed) == (1000, 1, 1000, 0)
+    assert (found[0].removed[0].start, found[1].removed[0].start) == (repeats.PIECE - 700, 1)
+
+
+# --- 6: packing
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_words_have_the_ids_of_the_whole_text(tokenizer):
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(9)
+    letters = "ab'sé́.,!?*|%0١３ \n\t\x0b\xa0　\x01ΣİßǅA’"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
+    texts += ["", "<|endoftext|> a<|endoftext|>.", "don't DON'T it's.", "éx ﬁ ㎏", "ΑΣ ΣΑΣ. İ*", "\x00 a\x1cb\x85c"]
+    whole = Tokenizer.from_file(tokenizer)
+    wanted = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert list(packing.WordIds(tokenizer).encode(texts)) == wanted
+
+
+def test_packing(spark, tokenizer):
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(10)
+    rows = [(i, words(rnd, rnd.randint(0, 90), 5000)) for i in range(200)] + [(900, None), (901, ""), (None, "a"), (3, "b c"), (902, words(rnd, 2000))]
+    found = packing.pack(docs_of(spark, rows), tokenizer, size=128, open_sequences=32).collect()
+    whole = Tokenizer.from_file(tokenizer)
+    pieces = []
+    for i, t in rows:
+        ids = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        pieces += [(-1 if i is None else i, n, s, len(ids[s : s + 128]), zlib.crc32(ids[s : s + 128].tobytes())) for n, s in enumerate(range(0, len(ids), 128))]
+    assert sorted((-1 if r.doc_id is None else r.doc_id, *r[1:5]) for r in found) == sorted(pieces)
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for held in sequences.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 128
+    least = sum(p[3] for p in pieces) / 128
+    assert len(sequences) <= least * 1.1 + 1
+    assert packing.pack(docs_of(spark, rows).limit(0), tokenizer).count() == 0
+
+
+def test_the_fullest_of_too_many_closes_first():
+    bins = packing.OpenSequences(10, 2)
+    assert [bins.place(n) for n in (6, 7, 5)] == [(0, 0), (1, 0), (2, 0)]  # 1, the fullest, closes
+    assert [bins.place(n) for n in (3, 4, 1)] == [(0, 6), (2, 5), (2, 9)]
+    assert bins.place(10) == (3, 0) and bins.place(1) == (0, 9)
+
+
+# --- 7: line rules
+
+
+def plain_counts(text):
+    text = text or ""
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    marked = {j for i in range(len(found) - 2) if windows[tuple(found[i : i + 3])] > 1 for j in range(i, i + 3)}
+    seen, duplicates = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            duplicates += line in seen
+            seen.add(line)
+    return len(found), sum(map(len, found)), sum(c in "#*$%&|<>" for c in text), duplicates, len(marked)
+
+
+def lettered(rnd, n):
+    return words(rnd, n, 10000).translate(str.maketrans("0123456789", "abcdefghij"))
+
+
+def test_line_rules(spark):
+    rnd = random.Random(11)
+    texts = [None, "", " \n\t", "a b\x1cc d#*$%&|<>", "a a a a", "a b c a b c\na b c\na b c\n\n", "x y z " * 30, "é ü\x0b\x0c\rä"]
+    texts += [lettered(rnd, 80) for _ in range(60)]
+    common = [lettered(rnd, 30) + "\nRead more 12 here now " + "and more " * 1 for _ in range(30)]
+    line = "Same long line of this host about " + lettered(rnd, 60)
+    drowned = [line.upper() + f"  {i}\n" + lettered(rnd, 10) for i in range(30)]
+    frame = docs_of(spark, texts + common + drowned)
+    found = {r.doc_id: r for r in line_rules.line_rules(frame, line_docs=20, line_share=0.05).collect()}
+    for i, text in enumerate(texts + common + drowned):
+        counts = plain_counts(text)
+        assert tuple(found[i][c] for c in line_rules.COUNTS) == counts, text
+        assert found[i].base_failed == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+    first = len(texts) + len(common)
+    assert all(found[i].kept and not found[i].n_removed_words for i in range(8, len(texts)))
+    assert all(not found[i].base_failed and not found[i].kept for i in range(first, first + 30))
+    # Elsewhere, below the limits, the same documents stay.
+    few = {r.doc_id: r for r in line_rules.line_rules(frame, line_docs=30).collect()}
+    assert all(few[i].kept for i in range(first, first + 30))
+    assert line_rules.line_rules(frame.limit(0)).count() == 0
+
+
+def test_lines_count_per_host_and_null_is_a_host(spark):
+    text = "one line that is long enough " * 10
+    rows = [(i, f"{text}\n" + " ".join(f"u{i}x{j}" for j in range(40)), "a" if i < 15 else None if i < 40 else "b") for i in range(55)]
+    frame = spark.createDataFrame(rows, DOCS + ", source string")
+    found = {r.doc_id: r.n_removed_words for r in line_rules.line_rules(frame, line_docs=20).collect()}
+    assert all(bool(found[i]) == (15 <= i < 40) for i in range(55))
+
+
+# --- 8: mixing
+
+
+def test_mixing(spark):
+    rnd = random.Random(12)
+    rows = []
+    for s, n in (("b", 300), ("a", 40), (None, 60), ("c", 5), ("é", 100), ("Z", 80)):
+        rows += [(len(rows) + i, words(rnd, rnd.choice((1, 5, 50, 50, 400))), s) for i in range(n)]
+    rows += [(5000, None, "a"), (5001, "", "b"), (None, "x y", "b"), (7, rows[7][1], "b"), (5002, " \t", "empty")]
+    frame = spark.createDataFrame(rows, DOCS + ", source string").withColumn("size", F.lit("x")).withColumn("target", F.lit("x"))
+    found = mixing.mix(frame).collect()
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weights = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    goal, free = {}, set(order)
+    while True:
+        left = sum(sizes.values()) - sum(goal.values())
+        share = {s: left * weights[s] / sum(weights[x] for x in free) for s in free}
+        above = {s for s in free if share[s] > 3 * sizes[s]}
+        if not above:
+            goal.update(share)
+            break
+        goal.update({s: 3.0 * sizes[s] for s in above})
+        free -= above
+    taken = defaultdict(int)
+    for r in found:
+        assert r.target == pytest.approx(goal[r.source]) and r.source_size == sizes[r.source]
+        assert r.taken == r.copies * r.size and 0 <= r.copies <= 3
+        taken[r.source] += r.taken
+    for s in order:
+        assert abs(taken[s] - goal[s]) <= max(2, 0.005 * goal[s]), s
+    assert len(found) == len(rows)
+    again = mixing.mix(frame.repartition(5)).collect()
+    key = lambda r: (str(r.doc_id), r.size, r.taken)
+    assert sorted(map(key, again)) == sorted(map(key, found))
+    repeated = mixing.repeat(frame)
+    assert repeated.columns == frame.columns and repeated.count() == sum(r.copies for r in found)
+    assert mixing.mix(frame.limit(0)).count() == 0
+
+
+def test_rates_are_exponential_in_size(spark):
+    frame = spark.createDataFrame([(i, "w " * (1 + i % 37), "ab"[i % 2]) for i in range(2000)], DOCS + ", source string")
+    for source in "ab":
+        rates = {r.size: r.rate for r in mixing.mix(frame).where(F.col("source") == source).collect() if r.rate < 3}
+        sizes = sorted(rates)
+        slopes = [math.log(rates[s]) / s for s in sizes if s]
+        assert max(slopes) - min(slopes) < 1e-9
+
+
+def test_hot_group_is_chosen_in_small_groups(spark):
+    frame = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"))
+    found = mixing.mix(frame, weights=(1, 1))
+    taken = {r.source: r.t for r in found.groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    assert abs(taken["a"] - 9000) <= 3 and abs(taken["b"] - 9000) <= 3
+
+
+# --- 9: language
+
+
+def test_language(spark):
+    rnd = random.Random(13)
+    stems = {"aa": ["ka", "ko", "ti"], "bb": ["blu", "bre", "dro"], "cc": ["шо", "ты", "же"]}
+    rows = []
+    for i in range(450):
+        lang = rnd.choice(list(stems))
+        rows.append((i, " ".join("".join(rnd.choices(stems[lang], k=rnd.randint(1, 4))) for _ in range(rnd.randint(3, 60))), lang))
+    frame = spark.createDataFrame(rows, DOCS + ", lang string").withColumn("score", F.lit("x"))
+    model = langid.fit(frame, sample=100, centroids=3)
+    assert len(model.languages) == 9 and model.centres.shape == (9, langid.BUCKETS)
+    found = {r.doc_id: r for r in langid.identify(frame, model).collect()}
+    wrong = sum(found[i].lang_pred != lang for i, _, lang in rows if found[i].held_out)
+    assert wrong <= 1 and sum(r.held_out for r in found.values()) > 80
+    odd = spark.createDataFrame([(1, None, "aa"), (2, "", None), (3, "12 !?", "bb"), (None, "kako", None), (4, "ka " * 300000, None), (5, "日本語の文章です", None)], DOCS + ", lang string")
+    found = {r.doc_id: r for r in langid.identify(odd, model).collect()}
+    assert [found[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and found[4].lang_pred == "aa"
+    assert found[5].rejected and found[5].lang is None and found[5].lang_pred in stems
+    empty = langid.fit(frame.limit(0))
+    assert {r.lang_pred for r in langid.identify(odd, empty).collect()} == {"und"}
+    assert langid.identify(odd.limit(0), model).count() == 0
+
+
+# --- 10: personal data
+
+
+def plain_luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        value = int(c) * (1 + i % 2)
+        total += value - 9 if value > 9 else value
+    return total % 10 == 0
+
+
+def plain_pii(text):
+    only = lambda m: re.sub("[^0-9]", "", m)
+    kinds = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(only(m)) <= 19 and plain_luhn(only(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(only(m)) <= 15),
+    )
+    counts, spans = [], []
+    for name, pattern, valid in kinds:
+        found = [f"{name}:{m.start()}:{m.end()}" for m in re.finditer(pattern, text or "") if valid(m[0])]
+        counts.append(len(found))
+        spans += found
+    return (*counts, hashlib.sha256(",".join(spans).encode()).hexdigest()), ",".join(spans)
+
+
+def test_pii_against_plain(spark):
+    rnd = random.Random(14)
+    texts = [None, "", "a@b.c@d.e a@b.cd%x@e.f ..@x..y.z x@y.z.", "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.255 1.2.3.99999999999999999999999"]
+    texts += ["4111 1111 1111 1111 4111-1111-1111-1111, 41111111111111111 x4111 1111  1111 1111", "+1 (555) 123-4567 +44 20 7946 0958. +12 +1234567 +12345678901234567"]
+    texts += ["😀😀 a@b.co 😀 +49 30 1234567", "9" * 3000, "1." * 2000, "a" * 3000, "+1" + "-" * 2000, "1 " * 900, "x@y" + ".z" * 500, "a@b.c." * 300, "+12345678" * 200]
+    texts += ["".join(rnd.choice("a@.+1 25(-%é😀") for _ in range(rnd.randint(1, 80))) for _ in range(1500)]
+    for r in pii.find(docs_of(spark, texts)).collect():
+        counts, spans = plain_pii(texts[r.doc_id])
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == counts, texts[r.doc_id]
+        assert (r.spans + ",").startswith(spans)
+    assert pii.find(docs_of(spark, texts).limit(0)).count() == 0
+
+
+def test_pii_long_texts_need_no_recursion(spark):
+    texts = ["9" * 200000, "1." * 20000, "a.a" * 50000 + "@" + "b.c" * 50000, "a" * 200000, "+1" + "-" * 200000, "x@y" + ".z" * 50000, "GB82 " * 20000]
+    assert pii.find(docs_of(spark, texts)).count() == len(texts)
+
+
+def test_pii_account_numbers_context_and_redaction(spark):
+    texts = ["IBAN GB82 WEST 1234 5698 7654 32 now", "GB82WEST12345698765432 DE89370400440532013000", "GB82WEST12345698765431", "sample dummy DE89370400440532013000", "phone +49 30 1234567 or a@b.co", None]
+    found = {r.doc_id: r for r in pii.find(docs_of(spark, texts)).collect()}
+    assert found[0].spans == "iban:5:32" and found[1].spans == "iban:0:22,iban:23:45" and found[2].spans == ""
+    assert found[0].found[0].score == pytest.approx(0.9) and found[3].found[0].score == pytest.approx(0.5)
+    assert [r.spans for r in pii.find(docs_of(spark, texts), least_score=0.6).where("doc_id = 3").collect()] == [""]
+    frame = docs_of(spark, texts, n_chars=F.lit(3).cast("bigint"))
+    clean = pii.redact(frame)
+    assert clean.columns == frame.columns
+    rows = {r.doc_id: r for r in clean.collect()}
+    assert rows[0].text == "IBAN <iban> now" and rows[4].text == "phone <phone> or <email>" and rows[5].text is None
+    assert rows[0].n_chars == len(rows[0].text)

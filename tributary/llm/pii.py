@@ -148,7 +148,7 @@ def kind_spans(text: Column, number: int, kind: Kind, least_score: float) -> Col
 
 def _scored(number: int, kind: Kind, x: Column) -> Column:
     score = F.lit(kind.score) + F.when(x.near.rlike(kind.context), kind.raised).otherwise(0.0)
-    score = score - F.when(x.near.rlike(kind.against), kind.lowered).otherwise(0.0)
+    score = F.round(score - F.when(x.near.rlike(kind.against), kind.lowered).otherwise(0.0), 6)
     start = x.end - F.length(x.text)
     return F.struct(F.lit(number).alias("kind"), start.alias("start"), x.end.alias("end"), score.alias("score"), x.text.alias("text"))
 
