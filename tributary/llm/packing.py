@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import stored
 
 #: Words whose ids a task remembers; beyond that it begins anew.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
 #: Characters whose unknown words are encoded in one call.
 GROUP = 1 << 20
 #: Cut off a run of letters before it is looked up.
