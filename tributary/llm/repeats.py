@@ -18,6 +18,8 @@ PIECE_BITS = 18
 PIECE = 1 << PIECE_BITS
 MIX = np.uint64(0xD6E8FEB86659FD93)
 HALF = np.uint64(32)
+#: Times that a large group is split by longer keys.
+SPLITS = 2
 #: Stands for what is before or after a document.
 OUTSIDE = 256
 
@@ -218,7 +220,8 @@ def index_marks(contexts: DataFrame, grams: Grams, group_rows: int, batch_rows:
     ``group_rows`` contexts is split: a string of ``length`` bytes that holds
     the known ``lo`` to ``hi`` reaches at least half of what is missing beyond
     one end, so each context goes on under two longer keys, to the left and to
-    the right, until its groups are small or the whole string is the key.
+    the right. What is still too large after ``SPLITS`` of these is a passage of
+    nearly ``length`` bytes; of its few possible strings the hashes are counted.
     """
     length, margin = grams.length, grams.length - grams.width
     rows = contexts.withColumn("key", F.col("gram")).withColumn("lo", F.col("before")).withColumn("hi", F.col("before") + grams.width)
@@ -244,31 +247,43 @@ def index_marks(contexts: DataFrame, grams: Grams, group_rows: int, batch_rows:
         values += [pa.array([[s[side] - margin for s in f] for f in found], pa.list_(pa.int32())) for side in (0, 1)]
         return pa.RecordBatch.from_arrays(values, ["gram", "ctx", "first", "last"])
 
-    while True:
+    for split in range(SPLITS + 1):
         counts = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "groups")
         small = rows.join(counts.where(F.col("n") <= group_rows), "key").select("key", "gram", "ctx", "before", "body")
         found.append(stored(small.repartition("key").sortWithinPartitions("key").mapInArrow(marked, MARKS), "marks"))
         if not counts.where(F.col("n") > group_rows).head(1):
             break
         large = rows.join(counts.where(F.col("n") > group_rows), "key")
-        whole = F.col("hi") - F.col("lo") >= length
-        at = F.array((F.col("lo") - F.col("before")).cast("int"))
-        equal = large.where(whole).select("gram", "ctx", at.alias("first"), F.transform(at, lambda x: x + length).alias("last"))
-        found.append(stored(equal, "marks"))
+        if split == SPLITS:
+            found.append(stored(_counted(large, length), "marks"))
+            break
         more = F.ceil((length - (F.col("hi") - F.col("lo"))) / 2).cast("int")
         sides = F.explode(F.array(F.struct((F.col("lo") - more).alias("l"), F.col("hi").alias("r")), F.struct(F.col("lo").alias("l"), (F.col("hi") + more).alias("r"))))
-        split = large.where(~whole).withColumn("side", sides)
-        split = split.where((F.col("side.l") >= 0) & (F.col("side.r") <= F.length("body")))
+        longer_rows = large.withColumn("side", sides)
+        longer_rows = longer_rows.where((F.col("side.l") >= 0) & (F.col("side.r") <= F.length("body")))
         longer = F.xxhash64("key", F.col("side.l") - F.col("lo"), F.substring(F.col("body"), F.col("side.l") + 1, F.col("side.r") - F.col("side.l")))
-        split = split.select("gram", "ctx", "before", "body", longer.alias("key"), F.col("side.l").alias("lo"), F.col("side.r").alias("hi"))
-        rows = stored(split, "split")
+        longer_rows = longer_rows.select("gram", "ctx", "before", "body", longer.alias("key"), F.col("side.l").alias("lo"), F.col("side.r").alias("hi"))
+        rows = stored(longer_rows, "split")
     out = found[0]
     for more_marks in found[1:]:
         out = out.union(more_marks)
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, group_rows: int = 32768) -> DataFrame:
+def _counted(contexts: DataFrame, length: int) -> DataFrame:
+    """Marks of the strings over ``lo`` to ``hi`` that several contexts hold at the same place."""
+    starts = F.sequence(F.greatest(F.lit(0), F.col("hi") - length), F.least(F.col("lo"), F.length("body") - length))
+    windows = contexts.where(F.greatest(F.lit(0), F.col("hi") - length) <= F.least(F.col("lo"), F.length("body") - length))
+    windows = windows.select("key", "gram", "ctx", "before", "body", F.explode(starts).alias("at"))
+    string = F.xxhash64(F.substring(F.col("body"), F.col("at") + 1, F.lit(length)))
+    windows = stored(windows.select("key", "gram", "ctx", (F.col("at") - F.col("before")).alias("at"), string.alias("string")), "strings")
+    several = windows.groupBy("key", "at", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    first = F.array(F.col("at").cast("int"))
+    found = windows.join(several, ["key", "at", "string"])
+    return found.select("gram", "ctx", first.alias("first"), F.transform(first, lambda x: x + length).alias("last"))
+
+
+def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, group_rows: int = 4096) -> DataFrame:
     """Every row of ``docs`` without the bytes of strings that start elsewhere too.
 
     A byte goes if a string of ``length`` bytes over it, within the UTF-8 bytes of
