@@ -23,6 +23,8 @@ ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.txt"
 PACKAGE_BYTES = 64 << 20
 #: Records this near to each other are read together.
 READ_BYTES = 4 << 20
+#: Bytes of records that a task reads.
+TASK_BYTES = 8 << 20
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CONTROL = re.compile(r"[\x00-\x20\x7f]")
 RECORD = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
@@ -230,8 +232,11 @@ def read(packages: DataFrame, payloads: bool = True) -> DataFrame:
     Records near each other go to one task and are read together. With
     ``payloads`` false the payload column is null.
     """
-    near = F.floor(F.col("start") / (4 * READ_BYTES))
-    places = locate(packages).withColumn("near", near).repartition("package", "near").sortWithinPartitions("package", "start")
+    places = stored(locate(packages), "places")
+    # The rows are few bytes; what they stand for decides on the number of tasks.
+    tasks = -(-(places.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES) or 1
+    places = places.withColumn("near", F.floor(F.col("start") / READ_BYTES))
+    places = places.repartition(tasks, "package", "near").sortWithinPartitions("package", "start")
     kinds = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
     kinds += [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
 
