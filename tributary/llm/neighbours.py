@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 TILE = (1024, 2048)
 #: Relative slack that covers the rounding of sums of squares in double.
 SLACK = 1e-9
+#: Tasks for the tiles; a task takes several tiles, one after another, beyond that.
+MOST_TASKS = 20_000
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -152,7 +154,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10, query_block: int =
     tiles = asked.select(all_of(groups).alias("g"), dealt(blocks).alias("b"), "dim", F.lit(0).alias("side"), "id", "vector").union(
         rows.select(dealt(groups).alias("g"), all_of(blocks).alias("b"), "dim", F.lit(1).alias("side"), "id", "vector")
     )
-    tiles = tiles.repartition("g", "b", "dim").sortWithinPartitions("g", "b", "dim", "side", "id")
+    tiles = tiles.repartition(min(blocks * groups, MOST_TASKS), "g", "b", "dim").sortWithinPartitions("g", "b", "dim", "side", "id")
 
     def searched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, asked, best = None, [], Nearest(k)
