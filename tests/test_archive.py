@@ -11,13 +11,37 @@ from tributary.sources.extract import scan_records, typed_rows
 def test_archives_are_listed_without_reading_them(spark, tmp_path):
     put_extract(f"{tmp_path}/in/b.zip", "1\n")
     put_extract(f"{tmp_path}/in/a.zip", "2\n")
-    (tmp_path / "in" / "readme.txt").write_text("no archive")
+    put_extract(f"{tmp_path}/in/deeper/C.ZIP", "3\n")
     listed = archive_paths(spark, f"{tmp_path}/in")
-    assert sorted(r["path"].rsplit("/", 1)[1] for r in listed.collect()) == ["a.zip", "b.zip"]
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in listed.collect()) == ["C.ZIP", "a.zip", "b.zip"]
     assert archive_paths(spark, f"{tmp_path}/in/a.zip").count() == 1
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_other_files_among_archives_fail(spark, tmp_path):
+    put_extract(f"{tmp_path}/in/a.zip", "1\n")
+    (tmp_path / "in" / "part-2.zip.tmp").write_text("no archive")
+    for read in (lambda rows: rows.count(), lambda rows: rows.select("length").collect()):
+        with pytest.raises(Exception, match="not a zip archive"):
+            read(archive_paths(spark, f"{tmp_path}/in"))
+
+
+@pytest.mark.parametrize("end", ["", "\n"])
+@pytest.mark.parametrize("before", ["", '5" pipe,'])
+def test_a_field_of_any_length_loads_with_or_without_a_last_newline(spark, tmp_path, before, end):
+    put_extract(f"{tmp_path}/in/x.zip", f"1,a\n{before}{'y' * 200_000}{end}")
+    assert [len(r["record"]) for r in unpacked(spark, f"{tmp_path}/in").orderBy("row").collect()][0] == 3
+    assert unpacked(spark, f"{tmp_path}/in").where(F.length("record") >= 200_000).count() == 1
+
+
+def test_rows_of_more_columns_than_the_parser_takes(spark, tmp_path):
+    wide = ",".join(f'"c,{i}"' if i % 3 else str(i) for i in range(1_000_100))
+    put_extract(f"{tmp_path}/in/x.zip", f'7,"a ""q"", b",{wide}\n8,c,d\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.StringType())])
+    rows = typed_rows(scan_records(unpacked(spark, f"{tmp_path}/in"), schema), schema)
+    assert sorted((r["id"], r["t"]) for r in rows.collect()) == [(7, 'a "q", b'), (8, "c")]
+
+
 @pytest.mark.parametrize(
     "entries,message", [({}, "Invalid position"), ({"a.csv": "h\n1", "b.csv": "h\n2"}, "2 entries in the archive")]
 )

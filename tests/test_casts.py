@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tests.helpers import plan, settings
 from tributary.functions.casts import cast_text
 from tributary.functions.grades import grade
-from tributary.schemas import BOOL, INT, LONG, NUMBER, TABLES, WHEN
+from tributary.schemas import BOOL, INT, LONG, NUMBER, TABLES, WHEN, table_spec
 from tributary.sources.extract import keyed_rows, scan_records
 
 
@@ -50,14 +50,16 @@ def test_bad_integers_fail_with_and_without_ansi(spark, text, kind, ansi):
 @pytest.mark.parametrize(
     "text,wanted",
     [("1.5", "1.5"), (" 2 ", "2"), ("1e3", "1000"), ("-0.000000001", "-0.000000001"), ("1.10000000000", "1.1"),
-     ("99999999999.999999999", "99999999999.999999999")],
+     ("99999999999.999999999", "99999999999.999999999"), ("0.3333333333", "0.3333333333"), ("1e-10", "0.0000000001"),
+     ("123456789012", "123456789012"), ("0.123456789012345678000", "0.123456789012345678"), ("15e-18", "0.000000000000000015"), ("1.5e-8", "0.000000015"), ("1.5E+3", "1500"),
+     ("99999999999999999999.999999999999999999", "99999999999999999999.999999999999999999")],
 )
 def test_decimals(spark, text, wanted):
     assert value(spark, text, NUMBER, "d") == Decimal(wanted)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("text", ["0.0000000001", "1e-10", "100000000000", "99999999999.9999999999", "abc", "NaN"])
+@pytest.mark.parametrize("text", ["0.0000000000000000001", "1e-19", "1.5e-18", "1e-100", "100000000000000000000", "0.9999999999999999999", "abc", "NaN"])
 def test_decimals_are_never_rounded(spark, text, ansi):
     with settings(spark, spark__sql__ansi__enabled=ansi), pytest.raises(Exception, match="column d: not a decimal"):
         value(spark, text, NUMBER, "d")
@@ -72,6 +74,9 @@ def test_decimals_are_never_rounded(spark, text, ansi):
         ("2020-01-02T03:04:05.1234567Z", datetime(2020, 1, 2, 3, 4, 5, 123457)),
         ("2020-01-02T03:04:05.1234561Z", datetime(2020, 1, 2, 3, 4, 5, 123456)),
         ("2020-12-31T23:59:59.9999999", datetime(2021, 1, 1)),
+        ("2020-01-05 00:00:00.1234567", datetime(2020, 1, 5, 0, 0, 0, 123457)),
+        ("2020-1-5 00:00:00.1234567", datetime(2020, 1, 5, 0, 0, 0, 123457)),
+        (" 2020-1-5 ", datetime(2020, 1, 5)),
     ],
 )
 def test_timestamps(spark, text, wanted):
@@ -80,7 +85,7 @@ def test_timestamps(spark, text, wanted):
             assert value(spark, text, WHEN, "t") == wanted
 
 
-@pytest.mark.parametrize("text", ["yesterday-ish", "2020", "2020-01", "10:11:12", "2020-13-01", "2020-02-30 10:00:00"])
+@pytest.mark.parametrize("text", ["yesterday-ish", "2020", "2020-01", " 2020-01 ", "   2020  ", "+02020-01", "10:11:12", "2020-13-01", "2020-02-30 10:00:00"])
 def test_bad_timestamp_fails(spark, text):
     with pytest.raises(Exception, match="column t: not a timestamp"):
         value(spark, text, WHEN, "t")
@@ -107,9 +112,22 @@ def test_generated_code_stays_short_enough_to_be_compiled(spark):
     "n,d,wanted",
     [("1", "8", "0.13"), ("-1", "8", "-0.13"), ("1", "0", "0.00"), (None, "0", "0.00"), (None, "1", None),
      ("1", None, None), ("4.9999996", "1000", "0.00"), ("5", "1000", "0.01"), ("0.0049", "0.98", "0.01"),
-     ("99999999999", "0.000000003", "33333333333000000000.00")],
+     ("99999999999", "0.000000003", "33333333333000000000.00"), ("0.004999999999999999", "1", "0.00"),
+     ("-0.004999999999999999", "1", "-0.00"), ("0.005", "1", "0.01"), ("0.995", "1", "1.00"), ("0.994999999999999999", "1", "0.99"),
+     ("1234567890123.999999999999999999", "200", "6172839450.62"), ("3.014999999999999999", "-1", "-3.01"),
+     ("12345678901234567890.5", "1", "12345678901234567890.50")],
 )
 def test_grade(spark, n, d, wanted):
     frame = spark.createDataFrame([(n, d)], "n string, d string")
     found = frame.select(grade(F.col("n").cast(NUMBER), F.col("d").cast(NUMBER))).first()[0]
     assert found == (None if wanted is None else Decimal(wanted))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("read", [lambda r: r.count(), lambda r: r.select("t").collect(), lambda r: r.collect()])
+@pytest.mark.parametrize("record,about", [("1,maybe,x", "not a boolean"), ("1,t", "fewer than 3 fields"), (",t,x", "NULL in key")])
+def test_no_choice_of_columns_removes_a_check(spark, record, about, read, ansi):
+    spec = table_spec("small", ["id"], {"id": LONG, "ok": BOOL, "t": T.StringType()})
+    records = spark.createDataFrame([(1, 1, 1, "7,t,x"), (1, 1, 2, record)], "seq long, part long, row long, record string")
+    with settings(spark, spark__sql__ansi__enabled=ansi), pytest.raises(Exception, match=about):
+        read(keyed_rows(scan_records(records, spec.schema), spec))

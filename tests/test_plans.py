@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import plan, settings
-from tributary.operators.upsert import upsert
+from tributary.operators.upsert import without_keys
 from tributary.plans import reports
 from tributary_queries import domain
 
@@ -55,7 +55,7 @@ def test_preview_is_a_top_k(stored):
 
 def test_small_delta_leaves_the_base_where_it_is(stored):
     base = stored["user_enrollments"]
-    text = plan(upsert(base, base.where("role_name = '1-URGENT'"), ["org_unit_id", "user_id"]), "simple")
+    text = plan(without_keys(base, base.where("role_name = '1-URGENT'"), ["org_unit_id", "user_id"]), "simple")
     assert "LeftAnti" in text and "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 

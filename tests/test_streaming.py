@@ -53,3 +53,13 @@ def test_an_archive_without_a_number_fails(spark, tmp_path):
     put_extract(f"{tmp_path}/landing/latest.zip", "1,5,role,,\n")
     with pytest.raises(Exception, match="no extract number in"):
         drain(table, tmp_path)
+
+
+def test_a_new_checkpoint_is_a_new_stream(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/tables", USER_ENROLLMENTS)
+    put_extract(f"{tmp_path}/landing/e-1.zip", "1,5,role,,\n")
+    drain(table, tmp_path)
+    (tmp_path / "checkpoint").rename(tmp_path / "checkpoint-before")
+    put_extract(f"{tmp_path}/landing/e-2.zip", "2,5,role,,\n")
+    drain(table, tmp_path)
+    assert rows(table) == [(1, 5, "role"), (2, 5, "role")]

@@ -186,6 +186,7 @@ def test_only_deltas_are_moved(spark, tmp_path, buckets):
     table = KeyedTable(spark, str(tmp_path), SPEC, bucket_bytes=100, pending_share=1e9)
     with settings(spark, spark__sql__shuffle__partitions=str(buckets)):
         assert table.land(many(spark, 0, 500, "v", 1), 1, 1, 100 * buckets).buckets == buckets
+    table = KeyedTable(spark, str(tmp_path), SPEC, pending_share=1e9)
     none = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
     for seq in (2, 3):
         state = table.land(rows(spark, [(1, "x", f"new {seq}"), (900 + seq, "x", "added")], seq), seq, seq, 0)
@@ -209,3 +210,37 @@ def base_stays(text):
     at = next(n for n, line in enumerate(lines) if "FileScan" in line and "things_base" in line)
     above = [line for line in lines[at - 2 : at]]
     return "Exchange" not in "".join(above)
+
+
+def test_a_small_base_does_not_hold_a_large_extract_back(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC)
+    state = table.land(rows(spark, [(1, "x", "first")], 1), 1, 1, 10)
+    assert state.buckets == 1
+    large = 1 << 30
+    buckets = table._buckets(state, large)
+    assert buckets == 32  # more than the session's partitions
+    merged = table._merged(state, many(spark, 0, 500, "full", 2), buckets)
+    assert "SinglePartition" not in plan(merged, "simple")
+    assert table.land(many(spark, 0, 500, "full", 2), 2, 2, large).buckets >= buckets
+    assert len(content(table)) == 500
+
+
+def test_many_small_batches_keep_few_folders(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC, pending_share=1e9)
+    table.land(many(spark, 0, 100, "base", 1), 1, 1)
+    most = 0
+    for seq in range(2, 202):
+        new = [(seq, "x", f"v{seq}"), (seq % 7, "x", f"again {seq}")]
+        state = table.land(rows(spark, new, seq).coalesce(1), seq, seq)
+        most = max(most, len(state.deltas))
+    assert most < 20
+    found = content(table)
+    assert (201, "x", "v201") in found and (200 % 7, "x", "again 200") in found and (201 % 7, "x", "again 201") in found
+    assert len(found) == 202
+
+
+def test_a_path_with_a_quote(spark, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/it's", SPEC)
+    table.land(rows(spark, [(1, "x", "v")], 1), 1, 1)
+    spark.sql(f"DROP TABLE `{table.state().base}`")
+    assert content(KeyedTable(spark, f"{tmp_path}/it's", SPEC)) == {(1, "x", "v")}

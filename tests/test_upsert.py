@@ -4,7 +4,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tributary.operators.keys import duplicate_keys, null_keys, require_keys
-from tributary.operators.upsert import ERROR, drop_stale, last_wins, merge, upsert
+from tributary.operators.upsert import ERROR, drop_stale, last_wins, merge, without_keys
+
+
+
+def upsert(base, delta, keys):
+    """What a table with a pending delta reads."""
+    return without_keys(base, delta, keys).unionByName(delta)
+
 
 DDL = "k1 bigint, k2 string, v string, n int"
 KEYS = ["k1", "k2"]

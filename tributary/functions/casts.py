@@ -21,12 +21,14 @@ BOOLEANS = "map({})".format(
     ", ".join([f"'{w}', true" for w in TRUE_WORDS] + [f"'{w}', false" for w in FALSE_WORDS])
 )
 BLANKS = " \t\n\x0b\f\r"
+# Begins with year, month and day.
+DATED = r"^[\x00-\x20]*[+-]?[0-9]+-[0-9]+-[0-9]"
 MICROSECOND = "INTERVAL '0.000001' SECOND"
 FAULT = "_fault"
 
 
 def parsed(text: Column, kind: T.DataType) -> Column:
-    """The value of ``text``, NULL if it has none; decimals in a wide type.
+    """The value of ``text``, NULL if it has none.
 
     A zone suffix of a timestamp is ignored, not applied. A year or a month
     alone is no timestamp, though the cast takes it for one.
@@ -35,23 +37,32 @@ def parsed(text: Column, kind: T.DataType) -> Column:
         return text
     if isinstance(kind, T.BooleanType):
         return F.try_element_at(F.expr(BOOLEANS), F.lower(F.trim(text, F.lit(BLANKS))))
-    if isinstance(kind, T.DecimalType):
-        return text.try_cast(wide(kind))
     if isinstance(kind, T.TimestampNTZType):
-        return F.when(F.length(text) >= 8, text.try_cast(kind))
+        return F.when(text.rlike(DATED), text.try_cast(kind))
     return text.try_cast(kind)
 
 
-def wide(kind: T.DecimalType) -> T.DecimalType:
-    """The type with the same digits before the point and all others after it."""
-    return T.DecimalType(38, 38 - kind.precision + kind.scale)
+def lost(text: Column, value: Column, kind: T.DataType) -> Column:
+    """Whether the type does not hold the value of a text that is there.
+
+    A decimal may have no more digits after the point than its scale, zeros at
+    the end left out.
+    """
+    bad = text.isNotNull() & value.isNull()
+    return bad | text.rlike(longer_than(kind.scale)) if isinstance(kind, T.DecimalType) else bad
 
 
-def fits(value: Column, kind: T.DataType) -> Column:
-    """Whether a parsed value can be had in the type without loss."""
-    if isinstance(kind, T.DecimalType):
-        return value.isNotNull() & value.try_cast(kind).eqNullSafe(value)
-    return value.isNotNull()
+def longer_than(scale: int) -> str:
+    """Pattern of decimals whose digits may not fit; negative exponents have half of the scale, or no point."""
+    half = scale // 2
+    large = "|".join(["[1-9][0-9]{2,}", *(str(e) for e in range(scale + 1, 100))])
+    some = "|".join(["[1-9][0-9]{2,}", *(str(e) for e in range(half + 1, 100))])
+    return (
+        rf"\.[0-9]{{{scale}}}[0-9]*[1-9]"
+        rf"|\.[0-9]{{{half + 1}}}[0-9]*[eE]-"
+        rf"|\.[0-9]+[eE]-0*(?:{some})(?![0-9])"
+        rf"|[eE]-0*(?:{large})(?![0-9])"
+    )
 
 
 def rounded(text: Column, value: Column) -> Column:
@@ -62,7 +73,7 @@ def rounded(text: Column, value: Column) -> Column:
     fraction = F.regexp_extract(text, r"\.\d{7,}", 0)
     micros = F.rint(fraction.try_cast("double") * F.lit(1e6))
     up = micros > F.substring(fraction, 2, 6).try_cast("int")
-    return F.when((F.length(text) > 26) & up, value + F.expr(MICROSECOND)).otherwise(value)
+    return F.when(F.contains(text, F.lit(".")) & up, value + F.expr(MICROSECOND)).otherwise(value)
 
 
 def cast_text(
@@ -95,12 +106,15 @@ def cast_text(
     # 1 for the row itself, then the number of the first column at fault.
     number = F.when(F.lit(False) if fault is None else fault, F.lit(1))
     for n, f in enumerate(casts, 2):
-        number = number.when(text(f.name).isNotNull() & ~fits(value(f.name), f.dataType), F.lit(n))
-    checked = values.withColumn(FAULT, number)
+        number = number.when(lost(text(f.name), value(f.name), f.dataType), F.lit(n))
+    # Adding 0 for the partition keeps the optimizer from moving the filter below
+    # the casts, where it would repeat them all.
+    checked = values.withColumn(FAULT, number + F.lit(0) * F.spark_partition_id())
 
     messages = [about, *[f"column {f.name}: not a {f.dataType.simpleString()}" for f in casts]]
     quoted = F.lit("") if shown is None else F.coalesce(F.concat(F.lit(": "), F.left(shown, F.lit(200))), F.lit(""))
     failed = F.raise_error(F.concat(F.element_at(F.array(*map(F.lit, messages)), F.col(FAULT)), quoted))
     columns = {f.name: value(f.name).try_cast(f.dataType) if f in casts else text(f.name) for f in schema.fields}
-    columns[names[0]] = F.when(F.col(FAULT).isNotNull(), failed).otherwise(columns[names[0]])
-    return checked.select(*[columns[n].alias(n) for n in names], *others)
+    # A filter, which no choice of columns removes.
+    sound = checked.where(F.when(F.col(FAULT).isNull(), True).otherwise(failed.cast("boolean")))
+    return sound.select(*[columns[n].alias(n) for n in names], *others)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Times a number of three digits this is still an exact decimal.
+REMAINDER = "decimal(34,18)"
+
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Exact decimal quotient."""
+    """Decimal quotient, to the places that its type has."""
     return numerator / denominator
 
 
@@ -17,5 +22,18 @@ def zero_guarded(denominator: Column, value: Column) -> Column:
 
 
 def grade(numerator: Column, denominator: Column) -> Column:
-    """Ratio rounded half away from zero to two places, 0 for a zero denominator."""
-    return zero_guarded(denominator, F.round(ratio(numerator, denominator), 2))
+    """Ratio rounded half away from zero to two places, 0 for a zero denominator.
+
+    The quotient is itself rounded, so one just below a half may look like it.
+    Such a one is told by the remainder, which is exact. (From a denominator of
+    1e16 on, where 200 remainders are no decimal any more, it counts as a half.)
+    """
+    quotient = ratio(numerator, denominator)
+    size, over = F.abs(quotient), F.abs(denominator)
+    looks_half = size % F.lit(Decimal("0.01")) == F.lit(Decimal("0.005"))
+    halves = ((size % F.lit(Decimal(1))) * F.lit(Decimal(200))).cast("decimal(3,0)")
+    rest = (F.abs(numerator) % over).try_cast(REMAINDER)
+    below = rest * F.lit(Decimal(200)).cast("decimal(3,0)") < over.try_cast(REMAINDER) * halves
+    rounded = F.round(quotient, 2)
+    down = rounded - F.signum(quotient).cast("decimal(1,0)") * F.lit(Decimal("0.01"))
+    return zero_guarded(denominator, F.when(looks_half & below, down).otherwise(rounded))

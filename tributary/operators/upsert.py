@@ -54,15 +54,6 @@ def without_keys(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFram
     return base.join(delta.select(*keys), list(keys), "left_anti").select(*base.columns)
 
 
-def upsert(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``delta``, and the rows of ``base`` whose key ``delta`` lacks.
-
-    Keys must be unique and not NULL on both sides. ``delta`` is read twice,
-    so it should be a stored frame.
-    """
-    return without_keys(base, delta, keys).unionByName(delta.select(*base.columns))
-
-
 def same_key(left: str, right: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 

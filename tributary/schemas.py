@@ -12,9 +12,8 @@ INT = T.IntegerType()
 TEXT = T.StringType()
 BOOL = T.BooleanType()
 WHEN = T.TimestampNTZType()
-# 20 digits with 9 after the point: the quotient of two such values keeps 18
-# digits after the point, so rounding it to 2 places is exact.
-NUMBER = T.DecimalType(20, 9)
+# What the widest decimal holds with half of its digits after the point.
+NUMBER = T.DecimalType(38, 18)
 
 FULL = "full"
 DIFFERENTIAL = "differential"

@@ -38,17 +38,29 @@ FETCH_BYTES = 4 << 20
 FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def archive_paths(spark: SparkSession, location: str) -> DataFrame:
-    """``(path, length)`` of a zip file or of the ``*.zip`` files in a folder."""
-    files = spark.read.format("binaryFile").schema(FILE_DDL)
-    if not location.endswith(".zip"):
-        files = files.option("pathGlobFilter", "*.zip")
+def file_paths(spark: SparkSession, location: str) -> DataFrame:
+    """``(path, length)`` of a file or of all files below a folder."""
+    files = spark.read.format("binaryFile").schema(FILE_DDL).option("recursiveFileLookup", "true")
     return files.load(location).select("path", "length")
 
 
+def archive_paths(spark: SparkSession, location: str) -> DataFrame:
+    """``(path, length)`` of a zip file or of all files below a folder.
+
+    A file of another kind is an error: an extract that is partly misnamed would
+    otherwise load in part.
+    """
+    other = F.raise_error(F.concat(F.lit("not a zip archive: "), F.col("path"))).cast("boolean")
+    return file_paths(spark, location).where(F.when(F.lower("path").endswith(".zip"), True).otherwise(other))
+
+
 def archive_blocks(path: str) -> Iterator[tuple[int, str]]:
-    """Record blocks of the only entry of a zip file, read as a stream."""
+    """Record blocks of a CSV file or of the only entry of a zip file, read as a stream."""
     system, inner = resolve(path)
+    if not path.lower().endswith(".zip"):
+        with system.open_input_file(inner) as raw:
+            yield from record_blocks(io.BufferedReader(raw, FETCH_BYTES))
+        return
     with system.open_input_file(inner) as raw, zipfile.ZipFile(io.BufferedReader(raw, FETCH_BYTES)) as archive:
         names = archive.namelist()
         if len(names) != 1:

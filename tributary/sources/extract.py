@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tributary.functions.casts import cast_text
 from tributary.operators.keys import require_keys
 from tributary.schemas import TableSpec
+from tributary.sources.archive import file_paths, read_blocks, records, unpack
 
 MALFORMED = "_malformed"
 RECORD = "_record"
@@ -24,8 +25,6 @@ READ_OPTIONS = {
     "columnNameOfCorruptRecord": MALFORMED,
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    # Spark's reader would otherwise end rows at the 20,480th column.
-    "maxColumns": "1000000",
 }
 WRITE_OPTIONS = {
     "sep": ",",
@@ -36,6 +35,8 @@ WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 ROWS_PER_FILE = 1_000_000
+# Spark's CSV parser ends rows at its 20,480th column.
+PARSER_COLUMNS = 20_000
 
 
 def text_schema(schema: T.StructType) -> T.StructType:
@@ -47,16 +48,30 @@ def text_schema(schema: T.StructType) -> T.StructType:
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Text columns of CSV files with a header line, bound by position.
 
-    Rows longer than the schema are cut to it. Quoted newlines make a file
-    unsplittable: one task reads it, so exports write files of bounded size.
+    As strict as an archive's records, by the same way: a byte that is not UTF-8
+    and a NUL are errors, a blank line is a record without fields. Rows longer
+    than the schema are cut to it. Quoted newlines make a file unsplittable: one
+    task cuts its records, so exports write files of bounded size.
     """
-    reader = spark.read.schema(text_schema(schema)).options(**READ_OPTIONS)
-    return reader.option("header", True).csv(path)
+    files = file_paths(spark, path).select(
+        F.lit(0).cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("part"), "path", "length"
+    )
+    rows = scan_records(records(read_blocks(spark, unpack(files))), schema)
+    return rows.drop("seq", "part", "row")
+
+
+def within_width(record: Column, width: int) -> Column:
+    """The record, cut to ``width`` fields if it has more than the parser takes."""
+    field = r'(?:"[^"]*+"(?:"[^"]*+")*+|[^",]*+)'
+    first = F.regexp_extract(record, f"^{field}(?:,{field}){{{width - 1}}}", 0)
+    commas = F.length(record) - F.length(F.replace(record, F.lit(","), F.lit("")))
+    return F.when(commas >= PARSER_COLUMNS, first).otherwise(record)
 
 
 def scan_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     """The same text columns from unpacked records, with position and raw text."""
-    fields = F.from_csv("record", text_schema(schema).simpleString(), READ_OPTIONS)
+    kept = within_width(F.col("record"), len(schema.fields))
+    fields = F.from_csv(kept, text_schema(schema).simpleString(), READ_OPTIONS)
     # An empty record has no fields; the parser gives no row for it.
     malformed = F.when(F.col("record") == "", F.col("record")).otherwise(F.col(f"fields.{MALFORMED}"))
     return records.withColumn("fields", fields).select(

@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import io
 import re
+import sys
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -18,8 +19,6 @@ import numpy as np
 
 READ_BYTES = 1 << 16
 RECORD_END = "\x00"
-# A quote that is never closed would otherwise gather the rest of the extract.
-RECORD_LIMIT = 256 << 20
 
 _QUOTED = rb'"[^"]*+(?:""[^"]*+)*+"'
 _REGULAR_FIELD = rb"(?:" + _QUOTED + rb'|[^",\r\n]*+)'
@@ -38,7 +37,9 @@ COMPLETE = re.compile(_ANY_FIELD + rb"(?:," + _ANY_FIELD + rb")*+\n")
 
 
 def with_regular_quotes(record: bytes) -> list[bytes]:
-    """A record with stray quotes (or the unended last one), quoted anew."""
+    """A record with stray quotes (or a quote left open at the end), quoted anew."""
+    # Python's reader would otherwise refuse fields of over 131,072 characters.
+    csv.field_size_limit(sys.maxsize)
     rows = list(csv.reader(io.StringIO(record.decode("utf-8"), newline="\n")))
     out = []
     for row in rows:
@@ -115,8 +116,8 @@ def record_blocks(source: BinaryIO, read_bytes: int = READ_BYTES) -> Iterator[tu
     """``(number of records, records)`` blocks of a CSV stream.
 
     The first line is the header and is left out, whatever it holds. Bytes
-    that are not UTF-8 are an error. Memory is bounded by the longest record,
-    which has a limit.
+    that are not UTF-8 are an error. The last record needs no newline. Memory is
+    bounded by the longest record.
     """
     source.readline()
     left, wanted = b"", read_bytes
@@ -127,11 +128,13 @@ def record_blocks(source: BinaryIO, read_bytes: int = READ_BYTES) -> Iterator[tu
         count, block, left = cut_regular(data) or cut_any(data)
         if count:
             yield count, block.decode("utf-8")
-        if len(left) > RECORD_LIMIT:
-            raise ValueError(f"a record of more than {RECORD_LIMIT} bytes: is a quote left open?")
         # A record longer than the buffer is met again from its start: double
         # the read each time so that the work stays linear.
         wanted = read_bytes if count else wanted * 2
     if left:
-        records = with_regular_quotes(left)
-        yield len(records), joined(records).decode("utf-8")
+        count, block, open_quote = cut_regular(left + b"\n") or cut_any(left + b"\n")
+        if count:
+            yield count, block.decode("utf-8")
+        if open_quote:
+            records = with_regular_quotes(open_quote[:-1])
+            yield len(records), joined(records).decode("utf-8")

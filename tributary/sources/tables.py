@@ -33,6 +33,8 @@ TURN = "_turn"
 BUCKET_BYTES = 32 << 20
 # Pending deltas may reach this share of the base before they are merged.
 PENDING_SHARE = 0.1
+# So many pending deltas are made one.
+PENDING_DELTAS = 16
 
 
 @dataclass(frozen=True)
@@ -144,13 +146,14 @@ class KeyedTable:
         if state.base is None:
             return self.spark.createDataFrame([], self.stored)
         name = state.base
+        location = f"{self.path}/{name}".replace("\\", "\\\\").replace("'", "\\'")
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored)
             keys = ", ".join(f"`{k}`" for k in self.keys)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet"
                 f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {state.buckets} BUCKETS"
-                f" LOCATION '{self.path}/{name}'"
+                f" LOCATION '{location}'"
             )
         return self.spark.table(name)
 
@@ -192,7 +195,7 @@ class KeyedTable:
         applied = state.applied if source is None else {**state.applied, source: batch}
         landed = replace(state, last_seq=max(state.last_seq, last_seq), applied=applied)
         if state.base is None:
-            return self._write_base(landed, rows, input_bytes)
+            return self._first_base(landed, rows, input_bytes)
         if input_bytes is not None and self._is_large(landed, input_bytes):
             return self._merge(landed, rows, input_bytes)
         return self._append(landed, rows, first_seq)
@@ -205,7 +208,8 @@ class KeyedTable:
 
     def _append(self, state: State, rows: DataFrame, first_seq: int) -> State:
         if first_seq <= state.base_last_seq:
-            rows = rows.repartition(state.buckets, *self.keys)
+            # Into the base's buckets; a base of few buckets is small enough to move.
+            rows = rows.repartition(max(state.buckets, self._tasks()), *self.keys)
             rows = drop_stale(self._base(state), rows, self.keys, SEQUENCE)
         name = self._new_name(state, "delta")
         self._with_turn(state, rows).write.parquet(f"{self.path}/{name}")
@@ -216,7 +220,19 @@ class KeyedTable:
             delta_bytes=state.delta_bytes + folder_bytes(f"{self.path}/{name}"),
         )
         self._commit(state)
-        return self.fold() if self._is_large(state, 0) else state
+        if self._is_large(state, 0):
+            return self.fold()
+        return self._gather(state) if len(state.deltas) >= PENDING_DELTAS else state
+
+    def _gather(self, state: State) -> State:
+        """Make the pending deltas one, so that many small ones stay cheap to read."""
+        name = self._new_name(state, "delta")
+        rows = last_wins(self._delta_rows(state), self.keys, [SEQUENCE, TURN])
+        rows.select(*self.stored.fieldNames(), TURN).write.parquet(f"{self.path}/{name}")
+        size = folder_bytes(f"{self.path}/{name}")
+        state = replace(state, version=state.version + 1, deltas=(name,), delta_bytes=size)
+        self._commit(state)
+        return state
 
     def fold(self) -> State:
         """Merge the pending deltas into a new base."""
@@ -231,27 +247,44 @@ class KeyedTable:
         elif state.deltas:
             both = self._delta_rows(state).unionByName(self._with_turn(state, rows))
             rows = last_wins(both, self.keys, [SEQUENCE, TURN]).drop(TURN)
+        buckets = self._buckets(state, state.base_bytes + state.delta_bytes + input_bytes)
+        return self._write_base(state, self._merged(state, rows, buckets), buckets)
+
+    def _merged(self, state: State, rows: DataFrame, buckets: int) -> DataFrame:
+        """Base and rows, joined in the buckets of the base to come."""
+        base = self._base(state)
+        if buckets != state.buckets:
+            base = base.repartition(buckets, *self.keys)
         # Spark would rather move the base than rows that are already hashed into
         # more partitions than the base has buckets.
-        rows = merge(self._base(state), rows.repartition(state.buckets, *self.keys), self.keys, SEQUENCE)
-        size = state.base_bytes + state.delta_bytes + input_bytes
-        return self._write_base(state, rows, size)
+        return merge(base, rows.repartition(buckets, *self.keys), self.keys, SEQUENCE)
+
+    def _tasks(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _write_base(self, state: State, rows: DataFrame, size: int | None) -> State:
+    def _buckets(self, state: State, size: int | None) -> int:
+        """Buckets of the next base: they follow the table's size, not the session."""
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        wanted = self._tasks() if size is None else max(1, math.ceil(size / self.bucket_bytes))
+        # A growing table gets more buckets rarely, a shrinking load no fewer.
+        return state.buckets if state.base is not None and wanted < 4 * state.buckets else min(most, wanted)
+
+    def _first_base(self, state: State, rows: DataFrame, size: int | None) -> State:
+        """Rows come deduped in the session's number of partitions.
+
+        With a multiple of the buckets each task writes to one of them, and few
+        buckets are still written by many tasks.
+        """
+        tasks, buckets = self._tasks(), self._buckets(state, size)
+        writers = buckets * math.ceil(tasks / buckets)
+        return self._write_base(state, rows if writers == tasks else rows.repartition(writers, *self.keys), buckets)
+
+    def _write_base(self, state: State, rows: DataFrame, buckets: int) -> State:
         """Write ``rows`` as the new base, bucketed by the key.
 
         A base bucketed by its key is merged with the next full extract, or
         anti-joined with a large delta, without being shuffled again.
         """
-        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = tasks if size is None else min(tasks, max(1, math.ceil(size / self.bucket_bytes)))
-        # A growing table gets more buckets rarely, a shrinking load no fewer.
-        kept = state.base is not None and wanted < 4 * state.buckets
-        buckets = state.buckets if kept else wanted
-        # Merged rows come in the base's buckets, others in the session's number of
-        # partitions; only a change of that number is a shuffle.
-        if buckets != (state.buckets if state.base is not None else tasks):
-            rows = rows.repartition(buckets, *self.keys)
         name = self._new_name(state, "base")
         (
             rows.write.format("parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import tempfile
 import uuid
 
@@ -16,7 +17,9 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
         path = "/" + path.removeprefix("file:").lstrip("/")
     if path.startswith("/"):
         return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+    scheme, mark, rest = path.partition("://")
+    # Spark's names for the store that pyarrow calls s3.
+    return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else path)
 
 
 def folder_bytes(path: str) -> int:
@@ -52,16 +55,39 @@ def read_json(path: str) -> dict:
 
 
 def create_json(folder: str, name: str, value: dict) -> None:
-    """Write a new small file in one step; a name in use is an error."""
+    """Write a new small file in one step; a name in use is an error.
+
+    Of several writers of one name exactly one succeeds: on a local disk by a
+    hard link, elsewhere by Hadoop's rename, which does not overwrite (HDFS; an
+    object store's rename is no single step, there one writer at a time is up to
+    the caller).
+    """
     system, inner = resolve(folder)
     system.create_dir(inner, recursive=True)
     target = f"{inner}/{name}"
-    if system.get_file_info(target).type != fs.FileType.NotFound:
-        raise FileExistsError(f"{folder}/{name} was written by another run")
-    draft = f"{inner}/.{name}.{uuid.uuid4().hex}"
-    with system.open_output_stream(draft) as sink:
+    draft = f".{name}.{uuid.uuid4().hex}"
+    with system.open_output_stream(f"{inner}/{draft}") as sink:
         sink.write(json.dumps(value, sort_keys=True).encode())
-    system.move(draft, target)
+    taken = FileExistsError(f"{folder}/{name} was written by another run")
+    try:
+        if isinstance(system, fs.LocalFileSystem):
+            try:
+                os.link(f"{inner}/{draft}", target)
+            except FileExistsError:
+                raise taken from None
+        elif system.get_file_info(target).type != fs.FileType.NotFound or not _renamed(f"{folder}/{draft}", f"{folder}/{name}"):
+            raise taken
+    finally:
+        if system.get_file_info(f"{inner}/{draft}").type != fs.FileType.NotFound:
+            system.delete_file(f"{inner}/{draft}")
+
+
+def _renamed(old: str, new: str) -> bool:
+    """Rename by the session's Hadoop file system; false if ``new`` is there."""
+    session = SparkSession.getActiveSession()
+    hadoop = session._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(old)
+    return source.getFileSystem(session._jsc.hadoopConfiguration()).rename(source, hadoop.Path(new))
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

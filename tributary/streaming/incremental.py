@@ -10,14 +10,14 @@ from tributary.operators.upsert import LAST
 from tributary.plans.load import extract_rows
 from tributary.sources.archive import FILE_DDL, read_blocks, unpack
 from tributary.sources.tables import KeyedTable
-from tributary.storage import remove_folder
+from tributary.storage import read_json, remove_folder
 
 
 def follow(
     table: KeyedTable,
     landing: str,
     checkpoint: str,
-    sequence: str = r"(\d+)\.zip$",
+    sequence: str = r"(?i)(\d+)\.zip$",
     archives_per_batch: int = 100,
     on_duplicate: str = LAST,
     available_now: bool = True,
@@ -27,7 +27,8 @@ def follow(
     The stream carries paths only. ``sequence`` finds an extract's number in
     its path: files do not come in that order, so a row yields to one of a
     later extract whichever was applied first. A micro-batch is committed
-    together with its number and skipped when Spark repeats it.
+    together with its number and the id that the checkpoint gave the stream, and
+    skipped when Spark repeats it; a new checkpoint is a new stream.
     """
     spark = table.spark
     number = F.regexp_extract("path", sequence, 1)
@@ -35,7 +36,7 @@ def follow(
     archives = (
         spark.readStream.format("binaryFile")
         .schema(FILE_DDL)
-        .option("pathGlobFilter", "*.zip")
+        .option("pathGlobFilter", "*.[zZ][iI][pP]")
         .option("maxFilesPerTrigger", archives_per_batch)
         .load(landing)
         .select(
@@ -52,11 +53,12 @@ def follow(
         ).first()
         if bounds["first"] is None:
             return
+        stream = read_json(f"{checkpoint.rstrip('/')}/metadata")["id"]
         folder = unpack(batch)
         try:
             rows = extract_rows(read_blocks(spark, folder), table.spec, on_duplicate)
             table.land(
-                rows, bounds["first"], bounds["last"], bounds["bytes"], source=checkpoint, batch=batch_id
+                rows, bounds["first"], bounds["last"], bounds["bytes"], source=stream, batch=batch_id
             )
         finally:
             remove_folder(folder)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.operators.upsert import last_wins
-from tributary.schemas import NUMBER, TABLES, TableSpec
+from tributary.schemas import NUMBER, TABLES
 from tributary.storage import work_folder
 
 
@@ -15,35 +15,111 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def moment(number: str, time: str = "10:11:12") -> str:
+    """SQL of a time in January 2020 that goes with a number."""
+    return f"CAST('2020-01-' || lpad(CAST({number} % 28 + 1 AS STRING), 2, '0') || ' {time}' AS {{time}})"
+
+
+# Column and expression, the same in Spark's SQL and the other one's but for the
+# name of the time type. Every column has values; most have NULLs.
+COLUMNS = {
+    "users": {
+        "user_id": "c_custkey",
+        "user_name": "c_name",
+        "org_defined_id": "CAST(c_nationkey AS STRING)",
+        "first_name": "c_mktsegment",
+        "middle_name": "CASE WHEN c_custkey % 3 > 0 THEN substr(c_name, 10, 5) END",
+        "last_name": "c_name",
+        "is_active": "c_acctbal > 0",
+        "organization": "CASE WHEN c_nationkey % 5 > 0 THEN 'nation, ' || CAST(c_nationkey AS STRING) END",
+        "internal_email": "c_name || '@in.example'",
+        "external_email": "CASE WHEN c_acctbal > 0 THEN 'x' || CAST(c_custkey AS STRING) || '@out.example' END",
+        "signup_date": f"CASE WHEN c_custkey % 7 > 0 THEN {moment('c_custkey')} END",
+    },
+    "org_units": {
+        "org_unit_id": "s_suppkey",
+        "organization": "CASE WHEN s_nationkey % 5 > 0 THEN 'nation, ' || CAST(s_nationkey AS STRING) END",
+        "type": "CASE WHEN s_suppkey % 4 > 0 THEN 'Course \"offering\"' END",
+        "name": "s_name",
+        "code": "CAST(s_nationkey AS STRING)",
+        "start_date": moment("s_suppkey"),
+        "end_date": f"CASE WHEN s_suppkey % 3 > 0 THEN {moment('s_suppkey', '23:59:59.5')} END",
+        "is_active": "s_acctbal > 0",
+        "created_date": f"CASE WHEN s_suppkey % 6 > 0 THEN {moment('s_nationkey', '00:00:00.123456')} END",
+    },
+    "grade_objects": {
+        "grade_object_id": "p_partkey",
+        "org_unit_id": "p_partkey % 10 + 1",
+        "parent_grade_object_id": "CASE WHEN p_partkey % 4 > 0 THEN p_partkey - 1 END",
+        "name": "p_name",
+        "type_name": "p_type",
+        "category_name": "p_brand",
+        "start_date": f"CASE WHEN p_partkey % 5 > 0 THEN {moment('p_partkey')} END",
+        "end_date": f"CASE WHEN p_partkey % 3 > 0 THEN {moment('p_size')} END",
+        "is_auto_pointed": "p_size % 2 = 0",
+        "is_formula": "CASE WHEN p_size % 3 > 0 THEN p_size % 5 = 0 END",
+        "is_bonus": "p_size > 40",
+        "max_points": "p_retailprice",
+        "can_exceed_max_grade": "p_size % 7 = 0",
+        "exclude_from_final_grade_calc": "CASE WHEN p_size % 4 > 0 THEN p_size % 3 = 0 END",
+        "grade_scheme_id": "CASE WHEN p_size % 2 > 0 THEN CAST(p_size AS BIGINT) END",
+        "weight": "CASE WHEN p_partkey % 6 > 0 THEN CAST(p_size AS DOUBLE) / 4 END",
+        "num_lowest_grades_to_drop": "CAST(p_size % 3 AS INT)",
+        "num_highest_grades_to_drop": "CASE WHEN p_size % 5 > 0 THEN CAST(p_size % 2 AS INT) END",
+        "weight_distribution_type": "CASE WHEN p_size % 2 = 0 THEN 'Even' END",
+        "created_date": moment("p_partkey", "01:02:03"),
+        "tool_name": "CASE WHEN p_size % 6 > 0 THEN 'Tool' || CAST(p_size AS STRING) END",
+        "associated_tool_item_id": "CASE WHEN p_size % 6 > 0 THEN p_partkey * 1000 END",
+        "last_modified": f"CASE WHEN p_partkey % 8 > 0 THEN {moment('p_size', '04:05:06')} END",
+        "short_name": "substr(p_name, 1, 4)",
+        "grade_object_type_id": "CASE WHEN p_partkey % 9 > 0 THEN CAST(p_size % 9 AS INT) END",
+        "sort_order": "p_size",
+    },
+    "grade_results": {
+        "grade_object_id": "l_partkey",
+        "org_unit_id": "l_suppkey",
+        "user_id": "o_custkey",
+        "points_numerator": "l_tax",
+        "points_denominator": "l_discount",
+        "weighted_numerator": "l_quantity",
+        "weighted_denominator": "CASE WHEN l_linenumber % 5 > 0 THEN l_extendedprice END",
+        "is_released": "l_linenumber % 2 = 0",
+        "is_dropped": "CASE WHEN l_linenumber % 3 > 0 THEN l_returnflag = 'R' END",
+        "last_modified": "l_shipdate",
+        "last_modified_by": "CASE WHEN l_linenumber % 4 > 0 THEN o_custkey END",
+        "comments": "CASE WHEN l_returnflag <> 'N' THEN 'flag, ' || l_returnflag END",
+        "private_comments": "CASE WHEN l_linestatus = 'F' THEN o_orderpriority END",
+    },
+    "user_enrollments": {
+        "org_unit_id": "l_suppkey",
+        "user_id": "o_custkey",
+        "role_name": "o_orderpriority",
+        "enrollment_date": "o_orderdate",
+        "enrollment_type": "CASE WHEN l_linenumber % 3 > 0 THEN o_orderstatus END",
+    },
+}
+
+
+def shaped(table: str, time: str) -> list[str]:
+    return [f"{expression.format(time=time)} AS {name}" for name, expression in COLUMNS[table].items()]
+
+
+def selected(rows: DataFrame, table: str, *more: str) -> DataFrame:
+    """The table's columns with its types, and ``more`` columns of ``rows``."""
+    picked = rows.selectExpr(*shaped(table, "TIMESTAMP_NTZ"), *more)
+    return picked.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in TABLES[table].schema.fields})
+
+
 def users(spark, sf_dir):
-    return given(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("user_name"),
-        F.col("c_nationkey").cast("string").alias("org_defined_id"),
-        F.col("c_mktsegment").alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        (F.col("c_acctbal") > 0).alias("is_active"),
-    )
+    return selected(given(spark, sf_dir, "customer"), "users")
 
 
 def org_units(spark, sf_dir):
-    return given(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("org_unit_id"),
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").cast("string").alias("code"),
-        (F.col("s_acctbal") > 0).alias("is_active"),
-    )
+    return selected(given(spark, sf_dir, "supplier"), "org_units")
 
 
 def grade_objects(spark, sf_dir):
-    return given(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("grade_object_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("type_name"),
-        F.col("p_brand").alias("category_name"),
-        F.col("p_retailprice").cast(NUMBER).alias("max_points"),
-        F.col("p_size").alias("sort_order"),
-    )
+    return selected(given(spark, sf_dir, "part"), "grade_objects")
 
 
 def ordered_lines(spark, sf_dir):
@@ -51,36 +127,19 @@ def ordered_lines(spark, sf_dir):
     return given(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def last_lines(spark, sf_dir, table, position):
+    rows = selected(ordered_lines(spark, sf_dir), table, *position)
+    return last_wins(rows, list(TABLES[table].keys), position).select(*TABLES[table].columns)
+
+
 def grade_results(spark, sf_dir):
     """The last line of each part, supplier and customer."""
-    rows = ordered_lines(spark, sf_dir).select(
-        F.col("l_partkey").alias("grade_object_id"),
-        F.col("l_suppkey").alias("org_unit_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_tax").cast(NUMBER).alias("points_numerator"),
-        F.col("l_discount").cast(NUMBER).alias("points_denominator"),
-        F.col("l_shipdate").alias("last_modified"),
-        "l_orderkey",
-        "l_linenumber",
-        "l_extendedprice",
-    )
-    position = ["l_orderkey", "l_linenumber", "l_extendedprice"]
-    return last_wins(rows, list(TABLES["grade_results"].keys), position).drop(*position)
+    return last_lines(spark, sf_dir, "grade_results", ["l_orderkey", "l_linenumber", "l_extendedprice"])
 
 
 def user_enrollments(spark, sf_dir):
     """The last order of each supplier and customer."""
-    rows = ordered_lines(spark, sf_dir).select(
-        F.col("l_suppkey").alias("org_unit_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderpriority").alias("role_name"),
-        F.col("o_orderdate").alias("enrollment_date"),
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-    )
-    position = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return last_wins(rows, list(TABLES["user_enrollments"].keys), position).drop(*position)
+    return last_lines(spark, sf_dir, "user_enrollments", ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 DOMAIN = {
@@ -103,16 +162,6 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def conform(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """All columns of the table; the ones that ``rows`` lack are NULL."""
-    return rows.select(
-        *[
-            F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spec.schema.fields
-        ]
-    )
-
-
 def plain(rows: DataFrame) -> DataFrame:
     """Decimals as doubles, the type of the given tables."""
     decimals = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.DecimalType)]
@@ -129,36 +178,27 @@ def extract_schema(rows: DataFrame) -> T.StructType:
     )
 
 
-SQL = {
-    "users": """
-        SELECT c_custkey AS user_id, c_name AS user_name, CAST(c_nationkey AS VARCHAR) AS org_defined_id,
-               c_mktsegment AS first_name, c_name AS last_name, c_acctbal > 0 AS is_active
-        FROM customer""",
-    "org_units": """
-        SELECT s_suppkey AS org_unit_id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS code,
-               s_acctbal > 0 AS is_active
-        FROM supplier""",
-    "grade_objects": """
-        SELECT p_partkey AS grade_object_id, p_name AS name, p_type AS type_name,
-               p_brand AS category_name, p_retailprice AS max_points, p_size AS sort_order
-        FROM part""",
-    "grade_results": """
-        SELECT grade_object_id, org_unit_id, user_id, points_numerator, points_denominator, last_modified
-        FROM (SELECT l_partkey AS grade_object_id, l_suppkey AS org_unit_id, o_custkey AS user_id,
-                     l_tax AS points_numerator, l_discount AS points_denominator,
-                     l_shipdate AS last_modified,
-                     ROW_NUMBER() OVER (PARTITION BY l_partkey, l_suppkey, o_custkey
-                                        ORDER BY l_orderkey DESC, l_linenumber DESC,
-                                                 l_extendedprice DESC) AS rn
-              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) x
-        WHERE rn = 1""",
-    "user_enrollments": """
-        SELECT org_unit_id, user_id, role_name, enrollment_date
-        FROM (SELECT l_suppkey AS org_unit_id, o_custkey AS user_id, o_orderpriority AS role_name,
-                     o_orderdate AS enrollment_date,
-                     ROW_NUMBER() OVER (PARTITION BY l_suppkey, o_custkey
-                                        ORDER BY l_orderkey DESC, l_linenumber DESC,
-                                                 l_partkey DESC) AS rn
+def _plain_sql(table: str, source: str) -> str:
+    return f"SELECT {', '.join(shaped(table, 'TIMESTAMP'))} FROM {source}"
+
+
+def _last_sql(table: str, keys: str, position: str) -> str:
+    return f"""
+        SELECT {", ".join(COLUMNS[table])}
+        FROM (SELECT {", ".join(shaped(table, "TIMESTAMP"))},
+                     ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {position}) AS rn
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey) x
-        WHERE rn = 1""",
+        WHERE rn = 1"""
+
+
+SQL = {
+    "users": _plain_sql("users", "customer"),
+    "org_units": _plain_sql("org_units", "supplier"),
+    "grade_objects": _plain_sql("grade_objects", "part"),
+    "grade_results": _last_sql(
+        "grade_results", "l_partkey, l_suppkey, o_custkey", "l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC"
+    ),
+    "user_enrollments": _last_sql(
+        "user_enrollments", "l_suppkey, o_custkey", "l_orderkey DESC, l_linenumber DESC, l_partkey DESC"
+    ),
 }

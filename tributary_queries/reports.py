@@ -55,8 +55,9 @@ def case_zero_guard(spark, sf_dir):
 
 
 def decimal_ratio(spark, sf_dir):
-    rows = _lines(spark, sf_dir).where("d <> 0")
-    return _with(rows, F.round(ratio(F.col("n"), F.col("d")), 9).alias("ratio"))
+    """Lines without a discount have no ratio."""
+    n, d = (F.col(c).cast("decimal(20,9)") for c in "nd")
+    return _with(_lines(spark, sf_dir), F.when(d != 0, F.round(ratio(n, d), 9)).alias("ratio"))
 
 
 def round_half_up(spark, sf_dir):
@@ -129,7 +130,8 @@ SQL = {
         SELECT {_KEYS},
                CASE WHEN l_discount = 0 THEN 0.0 WHEN l_discount = 0.1 THEN NULL ELSE l_tax END AS guarded
         FROM lineitem""",
-    "decimal_ratio": f"SELECT {_KEYS}, round(CAST(t AS DOUBLE) / d, 9) AS ratio FROM ({_HUNDREDTHS}) x WHERE d <> 0",
+    "decimal_ratio": f"""
+        SELECT {_KEYS}, CASE WHEN d <> 0 THEN round(CAST(t AS DOUBLE) / d, 9) END AS ratio FROM ({_HUNDREDTHS}) x""",
     "round_half_up": f"""
         SELECT {_KEYS}, CAST(CASE WHEN d = 0 THEN 0 ELSE ((200 * t + d) // (2 * d)) / 100.0 END AS DOUBLE) AS grade
         FROM ({_HUNDREDTHS}) x""",

@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.keys import duplicate_keys, null_keys
-from tributary.operators.upsert import last_wins, upsert
+from tributary.operators.upsert import last_wins
 from tributary.plans.load import create_tables, load
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, TableSpec
 from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import field_count
-from tributary.sources.tables import KeyedTable
+from tributary.sources.tables import SEQUENCE, KeyedTable
 from tributary.storage import work_folder
 from tributary.streaming.incremental import follow
 from tributary_queries import domain
-from tributary_queries.domain import DERIVED, DOMAIN, conform, extract_schema, given, plain, stored
+from tributary_queries.domain import COLUMNS, DERIVED, DOMAIN, extract_schema, given, plain, stored
 from tributary_queries.extracts import ITEMS, archive_number
 
 # Which rows the table holds, which the extract holds, and what is new in them.
@@ -30,18 +30,25 @@ UPSERTS = {
 CHANGED = "changed "
 
 
+def landed(spark: SparkSession, spec: TableSpec, *extracts: tuple[int, DataFrame], **settings) -> KeyedTable:
+    """A new table after its extracts, each with its number."""
+    table = KeyedTable(spark, work_folder(spark, "tables"), spec, **settings)
+    for number, rows in extracts:
+        table.land(rows.withColumn(SEQUENCE, F.lit(number).cast("bigint")), number, number)
+    return table
+
+
 def _upsert(table: str):
     held, sent, renamed, emptied = UPSERTS[table]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spec, rows = TABLES[table], DOMAIN[table](spark, sf_dir)
+        rows = DOMAIN[table](spark, sf_dir)
         if table in DERIVED:
             rows = stored(rows)
         extract = rows.where(sent).withColumn(emptied, F.lit(None).cast("string"))
         if renamed:
             extract = extract.withColumn(renamed, F.concat(F.lit(CHANGED), renamed))
-        merged = upsert(conform(rows.where(held), spec), conform(extract, spec), list(spec.keys))
-        return plain(merged.select(*rows.columns))
+        return plain(landed(spark, TABLES[table], (1, rows.where(held)), (2, extract)).read())
 
     return query
 
@@ -56,27 +63,57 @@ def _upsert_sql(table: str) -> str:
 
 def upsert_grade_results(spark, sf_dir):
     """Results without points come again with the numerator as denominator."""
-    spec, rows = TABLES["grade_results"], stored(domain.grade_results(spark, sf_dir))
+    rows = stored(domain.grade_results(spark, sf_dir))
     held = rows.where("points_denominator <> points_numerator")
     sent = rows.where("points_denominator = 0 OR points_denominator = points_numerator")
     sent = sent.withColumns(
         {"points_denominator": F.col("points_numerator"), "points_numerator": F.col("points_denominator")}
     )
-    merged = upsert(conform(held, spec), conform(sent, spec), list(spec.keys))
-    return plain(merged.select(*rows.columns))
+    return plain(landed(spark, TABLES["grade_results"], (1, held), (2, sent)).read())
 
 
 def upsert_keeps_absent(spark, sf_dir):
     """A full extract without the inactive users: their rows stay."""
-    spec, rows = TABLES["users"], conform(domain.users(spark, sf_dir), TABLES["users"])
-    merged = upsert(rows, rows.where("is_active"), list(spec.keys))
-    return merged.select("user_id", "user_name", "org_defined_id", "first_name", "last_name", "is_active")
+    rows = domain.users(spark, sf_dir)
+    return landed(spark, TABLES["users"], (1, rows), (2, rows.where("is_active"))).read()
 
 
 def upsert_into_empty(spark, sf_dir):
     orders = given(spark, sf_dir, "orders")
-    spec = TableSpec("orders", ("o_orderkey",), orders.schema)
-    return upsert(spec.empty(spark), orders, list(spec.keys))
+    return landed(spark, TableSpec("orders", ("o_orderkey",), orders.schema), (1, orders)).read()
+
+
+def renamed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("user_name", F.concat(F.lit(CHANGED), "user_name"))
+
+
+def users_with_pending(spark, sf_dir) -> KeyedTable:
+    """Users, and two small extracts after them that are stored beside the base."""
+    rows = domain.users(spark, sf_dir)
+    second = renamed(rows.where("user_id % 25 = 0"))
+    third = rows.where("user_id % 50 = 0").withColumn("last_name", F.lit(None).cast("string"))
+    held = rows.where("user_id % 100 <> 0")
+    # Whatever the files' overhead on small tables, nothing is merged yet.
+    return landed(spark, TABLES["users"], (1, held), (2, second), (3, third), pending_share=100.0)
+
+
+def upsert_pending(spark, sf_dir):
+    """The table read while its deltas are pending."""
+    return users_with_pending(spark, sf_dir).read()
+
+
+def upsert_fold(spark, sf_dir):
+    """The same after the deltas were merged into the base."""
+    table = users_with_pending(spark, sf_dir)
+    table.fold()
+    return table.read()
+
+
+def upsert_late_extract(spark, sf_dir):
+    """An extract older than the base's adds users and replaces none."""
+    rows = domain.users(spark, sf_dir)
+    held = rows.where("first_name <> 'MACHINERY'")
+    return landed(spark, TABLES["users"], (5, held), (3, renamed(rows)), pending_share=100.0).read()
 
 
 def key_duplicates(spark, sf_dir):
@@ -124,7 +161,7 @@ def publish(spark: SparkSession, extracts: dict[str, DataFrame], mode: str) -> s
     for plugin, table, published in DATA_SETS:
         if published != mode:
             continue
-        rows = with_added_column(conform(extracts[table], TABLES[table]))
+        rows = with_added_column(extracts[table])
         folder = work_folder(spark, table)
         write_archives(csv_records(rows), folder, rows.columns)
         links.append(("000000000001", plugin, folder))
@@ -144,31 +181,20 @@ def full_load(spark, sf_dir) -> tuple[str, dict[str, KeyedTable]]:
     return root, create_tables(spark, root)
 
 
-# Every table as rows of (table, three key parts, label, number, flag, time).
-SHAPES = {
-    "org_units": ("org_unit_id", "0", "0", "name || '/' || code", "0", "is_active", None),
-    "users": ("user_id", "0", "0", "user_name || '/' || first_name || '/' || org_defined_id", "0", "is_active", None),
-    "grade_objects": (
-        "grade_object_id", "0", "0", "name || '/' || type_name || '/' || category_name",
-        "max_points + sort_order", "false", None,
-    ),
-    "grade_results": (
-        "grade_object_id", "org_unit_id", "user_id", "''",
-        "points_numerator * 1000 + points_denominator", "false", "last_modified",
-    ),
-    "user_enrollments": ("org_unit_id", "user_id", "0", "role_name", "0", "false", "enrollment_date"),
-}
-NO_TIME = "1970-01-01 00:00:00"
+def _flat_sql(table: str, source: str) -> str:
+    """Every column of a table in one text, the first key apart; numbers as rounded doubles."""
+    kinds = {f.name: f.dataType.simpleString() for f in TABLES[table].schema.fields}
 
+    def text(name):
+        kind = kinds[name]
+        if kind.startswith("decimal"):
+            return f"CAST(CAST(ROUND(CAST({name} AS DOUBLE) * 1000) AS BIGINT) AS STRING)"
+        if kind.startswith("timestamp"):
+            return f"left(CAST({name} AS STRING), 19)"
+        return f"CAST({name} AS STRING)"
 
-def _shape_sql(table: str, source: str, time_type: str) -> str:
-    k1, k2, k3, label, number, flag, time = SHAPES[table]
-    return f"""
-        SELECT '{table}' AS table_name, CAST({k1} AS BIGINT) AS k1, CAST({k2} AS BIGINT) AS k2,
-               CAST({k3} AS BIGINT) AS k3, {label} AS label,
-               ROUND(CAST({number} AS DOUBLE), 2) AS number, {flag} AS flag,
-               CAST({time or f"'{NO_TIME}'"} AS {time_type}) AS at
-        FROM {source}"""
+    joined = " || '|' || ".join(f"COALESCE({text(name)}, '-')" for name in COLUMNS[table])
+    return f"SELECT '{table}' AS table_name, {TABLES[table].keys[0]} AS first_key, {joined} AS content FROM {source}"
 
 
 def load_full_flow(spark, sf_dir):
@@ -176,8 +202,7 @@ def load_full_flow(spark, sf_dir):
     _, tables = full_load(spark, sf_dir)
     shaped = []
     for name, table in tables.items():
-        sql = _shape_sql(name, "{rows}", "TIMESTAMP_NTZ")
-        shaped.append(spark.sql(sql, rows=table.read()))
+        shaped.append(spark.sql(_flat_sql(name, "{rows}"), rows=table.read()))
     return reduce(DataFrame.unionByName, shaped)
 
 
@@ -192,16 +217,21 @@ def load_differential_flow(spark, sf_dir):
         "role_name", F.concat(F.lit(CHANGED), "role_name")
     )
     load(spark, publish(spark, rows, DIFFERENTIAL), ITEMS, root, DIFFERENTIAL)
-    table = create_tables(spark, root)["user_enrollments"]
-    return table.read().select(*enrollments.columns)
+    return create_tables(spark, root)["user_enrollments"].read()
 
 
 # --- catalog
 
 
+SMALL = ("org_units", "users", "grade_objects")
+
+
 def schema_catalog(spark, sf_dir):
-    """Tables created, loaded and created again: name, key and rows of each."""
-    root, _ = full_load(spark, sf_dir)
+    """All tables created, three filled, all created again: name, key and rows of each."""
+    root = work_folder(spark, "tables")
+    for name, table in create_tables(spark, root).items():
+        if name in SMALL:
+            table.land(DOMAIN[name](spark, sf_dir).withColumn(SEQUENCE, F.lit(1).cast("bigint")), 1, 1, 0)
     parts = [
         table.read().agg(
             F.lit(name).alias("table_name"),
@@ -214,10 +244,11 @@ def schema_catalog(spark, sf_dir):
 
 
 def schema_width(spark, sf_dir):
-    """Fields of every published record, and how many of them its table keeps."""
+    """Fields of the published records of the small tables, and how many each keeps."""
     parts = []
-    for name, rows in DOMAIN.items():
-        published = csv_records(with_added_column(conform(rows(spark, sf_dir), TABLES[name])))
+    for name in SMALL:
+        rows = DOMAIN[name](spark, sf_dir)
+        published = csv_records(with_added_column(rows))
         fields = published.groupBy(field_count(F.col("record")).cast("bigint").alias("published"))
         parts.append(
             fields.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -239,6 +270,9 @@ QUERIES = {
     "upsert_grade_results": upsert_grade_results,
     "upsert_keeps_absent": upsert_keeps_absent,
     "upsert_into_empty": upsert_into_empty,
+    "upsert_pending": upsert_pending,
+    "upsert_fold": upsert_fold,
+    "upsert_late_extract": upsert_late_extract,
     "dedupe_last_wins": dedupe_last_wins,
     "incremental_upsert": incremental_upsert,
     "load_full_flow": load_full_flow,
@@ -253,6 +287,12 @@ def _counts_sql(values: dict[str, str]) -> str:
     )
 
 
+_PENDING = f"""
+    SELECT * REPLACE (
+        CASE WHEN user_id % 50 = 0 THEN NULL ELSE last_name END AS last_name,
+        CASE WHEN user_id % 25 = 0 AND user_id % 50 <> 0 THEN '{CHANGED}' ELSE '' END || user_name AS user_name)
+    FROM ({domain.SQL["users"]}) fx"""
+
 _LAST_EVENT = """
     SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id, event_type"""
 
@@ -263,17 +303,15 @@ SQL = {
             "org_units": "'org_unit_id' AS key_columns",
             "users": "'user_id' AS key_columns",
             "grade_objects": "'grade_object_id' AS key_columns",
-            "grade_results": "'grade_object_id,org_unit_id,user_id' AS key_columns",
-            "user_enrollments": "'org_unit_id,user_id' AS key_columns",
         },
-    ),
+    )
+    + """ UNION ALL SELECT 'grade_results' AS table_name, 'grade_object_id,org_unit_id,user_id' AS key_columns, 0 AS row_count
+        UNION ALL SELECT 'user_enrollments' AS table_name, 'org_unit_id,user_id' AS key_columns, 0 AS row_count""",
     "schema_width": _counts_sql(
         {
             "org_units": "CAST(10 AS BIGINT) AS published, CAST(9 AS BIGINT) AS kept",
             "users": "CAST(12 AS BIGINT) AS published, CAST(11 AS BIGINT) AS kept",
             "grade_objects": "CAST(27 AS BIGINT) AS published, CAST(26 AS BIGINT) AS kept",
-            "grade_results": "CAST(14 AS BIGINT) AS published, CAST(13 AS BIGINT) AS kept",
-            "user_enrollments": "CAST(6 AS BIGINT) AS published, CAST(5 AS BIGINT) AS kept",
         },
     ),
     "key_duplicates": """
@@ -282,23 +320,27 @@ SQL = {
     "key_nulls": "SELECT event_id FROM events WHERE event_type = 'purchase'",
     **{f"upsert_{name}": _upsert_sql(name) for name in UPSERTS},
     "upsert_grade_results": f"""
-        SELECT grade_object_id, org_unit_id, user_id,
+        SELECT * REPLACE (
                CASE WHEN points_denominator = 0 OR points_denominator = points_numerator
                     THEN points_denominator ELSE points_numerator END AS points_numerator,
                CASE WHEN points_denominator = 0 OR points_denominator = points_numerator
-                    THEN points_numerator ELSE points_denominator END AS points_denominator,
-               last_modified
+                    THEN points_numerator ELSE points_denominator END AS points_denominator)
         FROM ({domain.SQL["grade_results"]}) fx""",
     "upsert_keeps_absent": domain.SQL["users"],
     "upsert_into_empty": "SELECT * FROM orders",
+    "upsert_pending": _PENDING,
+    "upsert_fold": _PENDING,
+    "upsert_late_extract": f"""
+        SELECT * REPLACE (CASE WHEN first_name = 'MACHINERY' THEN '{CHANGED}' ELSE '' END || user_name AS user_name)
+        FROM ({domain.SQL["users"]}) fx""",
     "dedupe_last_wins": _LAST_EVENT,
     "incremental_upsert": _LAST_EVENT,
     "load_full_flow": " UNION ALL ".join(
-        _shape_sql(name, f"({domain.SQL[name]}) t", "TIMESTAMP") for name in SHAPES
+        _flat_sql(name, f"({domain.SQL[name]}) t") for name in COLUMNS
     ),
     "load_differential_flow": f"""
         SELECT org_unit_id, user_id,
                CASE WHEN role_name IN ('1-URGENT', '2-HIGH') THEN '{CHANGED}' ELSE '' END || role_name AS role_name,
-               enrollment_date
+               enrollment_date, enrollment_type
         FROM ({domain.SQL["user_enrollments"]}) fx""",
 }
