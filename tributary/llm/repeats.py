@@ -278,12 +278,24 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     string = F.xxhash64(F.substring(F.col("body"), F.col("at") + 1, F.lit(length)))
     windows = stored(windows.select("key", "gram", "ctx", (F.col("at") - F.col("before")).alias("at"), string.alias("string")), "strings")
     several = windows.groupBy("key", "at", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    first = F.array(F.col("at").cast("int"))
     found = windows.join(several, ["key", "at", "string"])
-    return found.select("gram", "ctx", first.alias("first"), F.transform(first, lambda x: x + length).alias("last"))
+    # At most as many places as a context has; they leave as the few spans they cover.
+    found = found.groupBy("gram", "ctx").agg(F.sort_array(F.collect_set("at")).alias("places"))
+
+    def covered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = []
+            for value in batch.column("places").to_pylist():
+                at = np.array(value)
+                parts = np.split(at, np.flatnonzero(np.diff(at) > length) + 1)
+                runs.append([(int(p[0]), int(p[-1]) + length) for p in parts])
+            ends = [pa.array([[r[side] for r in row] for row in runs], pa.list_(pa.int32())) for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("ctx"), *ends], ["gram", "ctx", "first", "last"])
+
+    return found.mapInArrow(covered, MARKS)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, group_rows: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, group_rows: int = 32768) -> DataFrame:
     """Every row of ``docs`` without the bytes of strings that start elsewhere too.
 
     A byte goes if a string of ``length`` bytes over it, within the UTF-8 bytes of
