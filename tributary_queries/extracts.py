@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.casts import cast_text
-from tributary.schemas import BOOL, DIFFERENTIAL, FULL, WHEN, TableSpec
+from tributary.schemas import BOOL, DIFFERENTIAL, FULL, NUMBER, WHEN, TableSpec
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
 from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import scan_csv, scan_records, short_rows, typed_rows, write_csv
@@ -91,7 +91,13 @@ def dataset_select_diff(spark, sf_dir):
 
 
 def archive_extract(spark, sf_dir):
-    return loaded(given(spark, sf_dir, "customer"))
+    """Customers, some with a stray quote in a field longer than Python's reader takes by itself."""
+    customer = given(spark, sf_dir, "customer")
+    long = F.concat(F.lit('5" '), F.repeat("c_mktsegment", F.lit(20_000)))
+    segment = F.when(F.col("c_custkey") % 50 == 0, long).otherwise(F.col("c_mktsegment"))
+    fields = [segment.alias(c) if c == "c_mktsegment" else F.col(c).cast("string") for c in customer.columns]
+    found = loaded(customer, customer.select(F.concat_ws(",", *fields).alias("record")))
+    return found.withColumn("c_mktsegment", F.sha2("c_mktsegment", 256))
 
 
 def csv_scan_typed(spark, sf_dir):
@@ -174,18 +180,28 @@ def cast_boolean(spark, sf_dir):
 
 
 def cast_decimal(spark, sf_dir):
+    """Prices as they are, and as text with twelve digits before the point, 18 after it, and an exponent."""
     lines = given(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount"
     )
-    return loaded(lines)
+    found = loaded(lines)
+    large = F.concat(F.lit("123456"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.lit("."), F.lpad(F.col("l_partkey").cast("string"), 18, "0"))
+    small = F.concat(F.col("l_suppkey").cast("string"), F.lit("e-18"))
+    wide = T.StructType([T.StructField("large", NUMBER), T.StructField("small", NUMBER)])
+    typed = cast_text(found.withColumns({"large": large, "small": small}), wide)
+    return typed.withColumns({c: F.col(c).cast("string") for c in ("large", "small")})
 
 
 def cast_timestamp(spark, sf_dir):
-    """Times as text with a ``T`` and a zone that does not shift them."""
+    """Times as text with a ``T`` and a zone that does not shift them.
+
+    ``short`` has no leading zeros and seven digits of a second, to be rounded.
+    """
     text = F.regexp_replace(F.col("ts").cast("string"), " ", "T")
     zoned = F.concat(text, F.when(F.col("event_type") == "view", "+05:00").otherwise("Z"))
-    events = given(spark, sf_dir, "events").select("event_id", zoned.alias("ts"))
-    return cast_text(events, T.StructType([T.StructField("ts", WHEN)]))
+    short = F.concat(F.date_format("ts", "yyyy-M-d HH:mm:ss"), F.lit(".1234567 "))
+    events = given(spark, sf_dir, "events").select("event_id", zoned.alias("ts"), short.alias("short"))
+    return cast_text(events, T.StructType([T.StructField("ts", WHEN), T.StructField("short", WHEN)]))
 
 
 # --- tables
@@ -231,7 +247,10 @@ SQL = {
         FROM supplier""",
     "dataset_select_full": _SELECT.format("<>"),
     "dataset_select_diff": _SELECT.format("="),
-    "archive_extract": "SELECT * FROM customer",
+    "archive_extract": """
+        SELECT * REPLACE (sha256(CASE WHEN c_custkey % 50 = 0 THEN '5" ' || repeat(c_mktsegment, 20000)
+                                      ELSE c_mktsegment END) AS c_mktsegment)
+        FROM customer""",
     "csv_scan_typed": "SELECT * FROM orders",
     "csv_multiline_quotes": """
         SELECT 'document' AS kind, doc_id AS id, text FROM documents
@@ -244,8 +263,13 @@ SQL = {
                CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS c_mktsegment
         FROM customer""",
     "cast_boolean": "SELECT event_id, value >= 50 AS flag FROM events",
-    "cast_decimal": "SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_discount FROM lineitem",
-    "cast_timestamp": "SELECT event_id, ts FROM events",
+    "cast_decimal": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_discount,
+               '123456' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '.' || lpad(CAST(l_partkey AS VARCHAR), 18, '0') AS large,
+               '0.' || lpad(CAST(l_suppkey AS VARCHAR), 18, '0') AS small
+        FROM lineitem""",
+    "cast_timestamp": """
+        SELECT event_id, ts, date_trunc('second', ts) + INTERVAL '123457 microseconds' AS short FROM events""",
     "snapshot_publish": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                CASE WHEN o_orderstatus = 'P' THEN '0-EDITED' ELSE o_orderpriority END AS o_orderpriority
