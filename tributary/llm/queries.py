@@ -77,6 +77,47 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+    FROM texts, unnest(range(1, len(words) - 1)) AS t(i)
+), repeated AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+), marked AS (
+    SELECT doc_id, count(DISTINCT i + d) AS n FROM repeated, unnest([0, 1, 2]) AS t(d) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words
+    FROM texts, unnest(string_split(text, chr(10))) AS t(line) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), duplicates AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id
+), levelled AS (
+    SELECT doc_id, source, sum(len(words)) AS words, regexp_replace(translate(array_to_string(words, ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS line
+    FROM lines GROUP BY ALL
+), kept_lines AS (
+    SELECT doc_id, source, line, sum(words) AS words FROM levelled GROUP BY ALL
+), common AS (
+    SELECT c.source, c.line FROM (SELECT source, line, count(*) AS docs FROM kept_lines GROUP BY ALL) c
+    JOIN (SELECT source, count(*) AS n FROM documents GROUP BY ALL) h ON c.source IS NOT DISTINCT FROM h.source
+    WHERE c.docs > 20 AND c.docs > h.n * 0.05
+), removed AS (
+    SELECT l.doc_id, sum(l.words) AS n FROM kept_lines l
+    JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line GROUP BY l.doc_id
+), counted AS (
+    SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, CAST(length(array_to_string(t.words, '')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t.text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(m.n, 0) AS BIGINT) AS n_repeat_words,
+        CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed_words
+    FROM texts t LEFT JOIN duplicates d USING (doc_id) LEFT JOIN marked m USING (doc_id) LEFT JOIN removed r USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_removed_words >= 0.5 * n_words AS kept
+FROM counted
+"""
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
 
@@ -106,4 +147,5 @@ QUERIES = {
 SQL = {
     "op1_nearest_neighbours": OP1_SQL,
     "op4_warc": OP4_SQL,
+    "op7_quality_rules": OP7_SQL,
 }
