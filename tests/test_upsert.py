@@ -69,6 +69,9 @@ def test_duplicates_are_an_error_on_request(spark):
     rows = frame(spark, [(1, "a", "x", 1), (1, "a", "y", 2), (2, "b", "y", 1)])
     with pytest.raises(Exception, match="key occurs twice in an extract: 1, a"):
         last_wins(rows, KEYS, ["n"], ERROR).collect()
+    for read in (lambda found: found.count(), lambda found: found.select("v").collect()):
+        with pytest.raises(Exception, match="key occurs twice"):
+            read(last_wins(rows, KEYS, ["n"], ERROR))
     assert last_wins(rows.where("n = 1"), KEYS, ["n"], ERROR).count() == 2
     # Once per extract is no duplicate.
     assert as_set(last_wins(rows, KEYS, ["n"], ERROR, "n").select("k1", "v")) == {(1, "y"), (2, "y")}

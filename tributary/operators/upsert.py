@@ -34,14 +34,13 @@ def last_wins(
     row = F.max(F.struct(*position, *rest)).alias("_row")
     if on_duplicate == LAST:
         return rows.groupBy(*keys).agg(row).select(*keys, "_row.*")
-    allowed = F.size(F.collect_set(extract)) if extract else F.lit(1)
-    copies = F.count(F.lit(1))
-    counted = rows.groupBy(*keys).agg(row, (copies <= allowed).alias("_single"))
+    counted = rows.groupBy(*keys, *([F.col(extract).alias("_extract")] if extract else [])).agg(
+        row, F.count(F.lit(1)).alias("_copies")
+    )
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-    failed = F.raise_error(F.concat(F.lit("key occurs twice in an extract: "), shown))
-    first, *others = keys
-    checked = F.when(F.col("_single"), F.col(first)).otherwise(failed).alias(first)
-    return counted.select(checked, *others, "_row.*")
+    failed = F.raise_error(F.concat(F.lit("key occurs twice in an extract: "), shown)).cast("boolean")
+    single = counted.where(F.when(F.col("_copies") == 1, True).otherwise(failed)).select(*keys, "_row.*")
+    return last_wins(single, keys, position) if extract else single
 
 
 def without_keys(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
