@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -17,6 +18,9 @@ from tributary.llm.common import stored, training_side
 BUCKETS = 1 << 13
 SHIFT = np.uint32(32 - 13)
 MIX = np.uint32(2654435761)
+LETTERS = re.compile(r"[^\W\d_]+")
+#: A cluster of less than this share of its language is taken for mislabelled texts.
+LEAST_SHARE = 0.05
 #: Characters counted at once; longer texts are counted in pieces.
 PIECE = 1 << 18
 
@@ -26,9 +30,9 @@ def has_letter(text: str) -> bool:
 
 
 def counts(text: str) -> np.ndarray:
-    """Counts of a whole text's n-grams by bucket; white space levelled, case ignored."""
+    """Counts of a whole text's n-grams by bucket: of its words of letters, case ignored."""
     found = np.zeros(BUCKETS, np.float32)
-    points = np.frombuffer((" " + " ".join(text.lower().split()) + " ").encode("utf-32-le", "replace"), np.uint32)
+    points = np.frombuffer((" " + " ".join(LETTERS.findall(text.lower())) + " ").encode("utf-32-le", "replace"), np.uint32)
     for start in range(0, len(points), PIECE):
         one = points[start : start + PIECE + 2]
         last = min(PIECE, len(points) - start)
@@ -50,17 +54,15 @@ def weighted(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(vectors: np.ndarray, centroids: int, rounds: int = 8) -> np.ndarray:
-    """Spherical k-means; the first centres are spread by distance."""
-    centres = [vectors.sum(0)]
-    while len(centres) < min(centroids, len(vectors)):
-        near = np.max([vectors @ (c / np.linalg.norm(c)) for c in centres], axis=0)
-        centres.append(vectors[int(near.argmin())])
-    centres = np.stack([c / np.linalg.norm(c) for c in centres])
+    """Spherical k-means from rows drawn with a fixed seed; small clusters are left out."""
+    drawn = np.random.default_rng(0).choice(len(vectors), min(centroids, len(vectors)), replace=False)
+    centres = vectors[np.sort(drawn)]
     for _ in range(rounds):
         nearest = (vectors @ centres.T).argmax(1)
         sums = [vectors[nearest == k].sum(0) if (nearest == k).any() else centres[k] for k in range(len(centres))]
         centres = np.stack([s / max(np.linalg.norm(s), 1e-12) for s in sums])
-    return centres.astype(np.float32)
+    sizes = np.bincount((vectors @ centres.T).argmax(1), minlength=len(centres))
+    return centres[sizes >= min(LEAST_SHARE * len(vectors), sizes.max())].astype(np.float32)
 
 
 @dataclass
