@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import stored
 
-#: Words whose ids a task remembers; beyond that it begins anew.
-KNOWN_WORDS = 500_000
+#: Words whose ids a worker remembers, beside as many from the time before.
+KNOWN_WORDS = 300_000
 #: Characters whose unknown words are encoded in one call.
 GROUP = 1 << 20
 #: Cut off a run of letters before it is looked up.
@@ -56,6 +56,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         made = json.loads(self.tokenizer.to_str())
         steps = [[s["type"] for s in ((made[k] or {}).get(of) or [])] for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.letterwise = (*steps, made["model"]["type"]) == self.LETTERWISE
@@ -64,7 +65,7 @@ class WordIds:
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         for group in _groups(texts):
             if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
+                self.known, self.before = {}, self.known
             rows, new = [], set()
             for text in group:
                 words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
@@ -80,8 +81,11 @@ class WordIds:
                 yield b"".join(ids)
 
     def _learn(self, words: set[str]) -> None:
-        known, whole, ended = self.known, set(), []
+        known, before, whole, ended = self.known, self.before, set(), []
         for word in words:
+            if word in before:
+                known[word] = before[word]
+                continue
             core = word.rstrip(PUNCTUATION) if self.letterwise else ""
             if not core or not plain_letters(core):
                 whole.add(word)
