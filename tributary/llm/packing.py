@@ -34,6 +34,8 @@ def byte_letters() -> dict[int, str]:
 
 def plain_letters(word: str) -> bool:
     """Whether a word is letters that are lower-cased one by one and stay letters."""
+    if word.isascii():
+        return word.isalpha()
     return word.isalpha() and max(word) < "\u0530" and "\u03a3" not in word and word.lower().isalpha() and is_normalized("NFC", word)
 
 
@@ -101,8 +103,10 @@ class WordIds:
         known.update((w, known[core] + known[w[len(core) :]]) for w, core in ended)
 
     def _merged(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word.lower().encode().decode("latin-1").translate(self.letters))
-        return array("I", [t.id for t in tokens]).tobytes()
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
 
 def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
