@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences."""
+    """Token ids of all documents in pieces with their places in sequences."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048)
 
 

@@ -317,6 +317,26 @@ def test_packing(spark, tokenizer):
     assert packing.pack(docs_of(spark, rows).limit(0), tokenizer).count() == 0
 
 
+def test_packed_sequences_hold_the_ids_of_the_texts(spark, tokenizer, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "BATCH", 700)
+    rnd = random.Random(22)
+    rows = [(i, words(rnd, rnd.randint(0, 300), 5000)) for i in range(60)] + [(900, None), (901, "")]
+    found = packing.pack(docs_of(spark, rows), tokenizer, size=128, open_sequences=8).collect()
+    sequences = defaultdict(bytes)
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset * 4 == len(sequences[r.sequence_id])
+        sequences[r.sequence_id] += bytes(r.ids)
+    texts = defaultdict(list)
+    for r in sorted(found, key=lambda r: (r.doc_id, r.piece)):
+        part = np.frombuffer(sequences[r.sequence_id], "<u4")[r.offset : r.offset + r.length]
+        assert r.start == len(texts[r.doc_id]) and zlib.crc32(part.tobytes()) == r.ids_crc32
+        texts[r.doc_id] += part.tolist()
+    whole = Tokenizer.from_file(tokenizer)
+    assert texts == {i: [*whole.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+
+
 def test_the_fullest_of_too_many_closes_first():
     bins = packing.OpenSequences(10, 2)
     assert [bins.place(n) for n in (6, 7, 5)] == [(0, 0), (1, 0), (2, 0)]  # 1, the fullest, closes

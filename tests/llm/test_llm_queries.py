@@ -43,6 +43,13 @@ def test_pipeline(spark):
     assert "sequence_id" in docs.columns and docs.count() > 0
 
 
+def test_the_last_stage_returns_token_ids(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(20)
+    found = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert found.where("ids IS NULL OR octet_length(ids) <> 4 * length").count() == 0 < found.count()
+    assert "ids" not in QUERIES["op6_best_fit_packing"](spark, FOLDER).columns
+
+
 def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

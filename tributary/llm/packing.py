@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from unicodedata import is_normalized
@@ -21,8 +20,10 @@ KNOWN_WORDS = 300_000
 GROUP = 1 << 20
 #: Cut off a run of letters before it is looked up.
 PUNCTUATION = ".,;:!?*%$&#|"
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
+#: Bytes of ids in one batch of pieces.
+BATCH = 4 << 20
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
+PLACE = "sequence bigint, offset bigint"
 
 
 def byte_letters() -> dict[int, str]:
@@ -138,13 +139,17 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0) -> DataF
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = encoder(tokenizer), array("I", [end_id]).tobytes()
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             texts = (value.as_py() or "" for value in batch.column("text"))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of.encode(texts), strict=True):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), size * 4)):
                     part = ids[start : start + size * 4]
-                    rows.append((doc, piece, start // 4, len(part) // 4, zlib.crc32(part)))
+                    rows.append((doc, piece, start // 4, len(part) // 4, part))
+                    held += len(part)
+                    if held >= BATCH:
+                        yield _batch(rows, PIECES)
+                        rows, held = [], 0
             yield _batch(rows, PIECES)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
@@ -152,7 +157,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0) -> DataF
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     fields = [f.split() for f in schema.split(",")]
-    kinds = {"bigint": pa.int64(), "int": pa.int32()}
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     columns = list(zip(*rows, strict=True)) or [()] * len(fields)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], [name for name, _ in fields]
@@ -207,13 +212,14 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents with their place in sequences of ``size`` tokens.
 
-    Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``. A
-    null or empty text is its end token alone. Repeated rows and rows without an
+    Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids``;
+    ``ids`` are the piece's token ids as little-endian 32-bit numbers, so the
+    pieces of a ``sequence_id`` by ``offset`` are the packed sequence. A null or empty text is its end token alone. Repeated rows and rows without an
     id are packed like any other; an empty table gives an empty table. Only
     documents longer than ``size`` are cut.
 
-    Texts are tokenized once; the pieces, without their ids, are stored. A task
-    packs some ``task_sequences`` sequences, pieces in hashed order, and holds
+    Texts are tokenized once; the pieces are stored and shuffled with their ids. A
+    task packs some ``task_sequences`` sequences, pieces in hashed order, and holds
     ``open_sequences`` open, whatever the size of the table, so all but a few
     sequences of a task are full. Numbers are unique over tasks, not dense.
     """
@@ -222,18 +228,26 @@ def pack(
     tasks = max(1, round(tokens / (size * task_sequences)))
     order = ["hash", *[f.split()[0] for f in PIECES.split(", ")]]
     dealt = cut.withColumn("hash", F.xxhash64("doc_id", "piece")).repartition(tasks)
-    dealt = dealt.sortWithinPartitions(*order).withColumn("task", F.spark_partition_id())
+    dealt = dealt.sortWithinPartitions(*order)
 
-    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the lengths go through Python; the ids wait beside them in the rows.
+    @F.arrow_udf(PLACE)
+    def place(lengths: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bins = OpenSequences(size, open_sequences)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            base = batch.column("task")[0].as_py() << 40
-            places = [bins.place(n) for n in batch.column("length").to_pylist()]
-            names = [f.split()[0] for f in PIECES.split(", ")]
-            columns = [batch.column(n) for n in names]
-            columns += [pa.array([base + s for s, _ in places], pa.int64()), pa.array([o for _, o in places], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "sequence_id", "offset"])
-
-    return dealt.mapInArrow(packed, PACKED)
+        for batch in lengths:
+            places = [bins.place(n) for n in batch.to_pylist()]
+            columns = [pa.array([p[i] for p in places], pa.int64()) for i in range(2)]
+            yield pa.StructArray.from_arrays(columns, ["sequence", "offset"])
+
+    placed = dealt.withColumn("place", place.asNondeterministic()("length"))
+    base = F.shiftleft(F.spark_partition_id().cast("bigint"), 40)
+    return placed.select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        (base + F.col("place.sequence")).alias("sequence_id"),
+        F.col("place.offset").alias("offset"),
+        "ids",
+    )

@@ -70,7 +70,8 @@ def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048)
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048)
+    return packed.drop("ids")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
