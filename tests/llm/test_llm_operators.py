@@ -394,6 +394,20 @@ def test_lines_count_per_host_and_null_is_a_host(spark):
     assert all(bool(found[i]) == (15 <= i < 40) for i in range(55))
 
 
+def test_common_lines_are_cut_out_of_the_text(spark):
+    rnd = random.Random(23)
+    own = [[lettered(rnd, 30), "", lettered(rnd, 30)] for _ in range(30)]
+    full = [f"{a}\nShare  this {i}\n{b}\n{c}\n \nSHARE this 7\n" for i, (a, b, c) in enumerate(own)]
+    frame = docs_of(spark, [*full, None, "", "a\n\nb"])
+    found = frame.select("doc_id", "text").join(line_rules.line_rules(frame), "doc_id")
+    found = found.select("*", line_rules.without_lines("text", "removed_lines").alias("left"))
+    found = {r.doc_id: r for r in found.collect()}
+    for i, (a, b, c) in enumerate(own):
+        assert found[i].removed_lines == [1, 5] and found[i].left == f"{a}\n{b}\n{c}\n \n"
+        assert found[i].n_words - len(found[i].left.split()) == found[i].n_removed_words == 6
+    assert [(found[i].removed_lines, found[i].left) for i in (30, 31, 32)] == [([], None), ([], ""), ([], "a\n\nb")]
+
+
 # --- 8: mixing
 
 

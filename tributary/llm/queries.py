@@ -75,7 +75,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules.line_rules(table(spark, sf_dir, "documents"))
+    return line_rules.line_rules(table(spark, sf_dir, "documents")).drop("removed_lines")
 
 
 OP7_SQL = r"""
