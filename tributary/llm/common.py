@@ -30,14 +30,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def byte_texts(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of a text column; a null is empty."""
-    return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+def byte_texts(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of a text column, one value at a time; a null is empty."""
+    for value in column.cast(pa.binary()):
+        yield value.as_py() or b""
 
 
-def training_side(doc_id: Column, remainder: int = 2) -> Column:
-    """False for the rows that are held out: crc32 of the id as text mod 4."""
-    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 != remainder, F.lit(False))
+def training_side(doc_id: Column, remainder: int = 2, parts: int = 4) -> Column:
+    """False for the rows that are held out: crc32 of the id as text mod ``parts``."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % parts != remainder, F.lit(False))
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:

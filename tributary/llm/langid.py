@@ -107,9 +107,9 @@ def fit(
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.float32())]
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            use = [i for i, t in enumerate(texts) if has_letter(t)]
-            vectors = [counts(texts[i]) for i in use]
+            texts = batch.column("text")
+            use = [i for i, t in enumerate(texts) if has_letter(t.as_py())]
+            vectors = [counts(texts[i].as_py()) for i in use]
             places = [np.flatnonzero(v).astype(np.int32) for v in vectors]
             values = [
                 batch.column("id").take(use),

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import stored
 
-#: Words whose ids a worker remembers, beside as many from the time before.
-KNOWN_WORDS = 300_000
+#: Bytes of words and ids that a task remembers, beside as many from the time before.
+KNOWN_BYTES = 40 << 20
+#: What a remembered word takes beside its letters and ids.
+ENTRY = 140
 #: Characters whose unknown words are encoded in one call.
 GROUP = 1 << 20
 #: Cut off a run of letters before it is looked up.
@@ -60,6 +62,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.learned = 0  # letters of the words in ``known``
         made = json.loads(self.tokenizer.to_str())
         steps = [[s["type"] for s in ((made[k] or {}).get(of) or [])] for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.letterwise = (*steps, made["model"]["type"]) == self.LETTERWISE
@@ -67,8 +70,9 @@ class WordIds:
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         for group in _groups(texts):
-            if len(self.known) > KNOWN_WORDS:
-                self.known, self.before = {}, self.known
+            # A token has a letter at least, so ids take four bytes a letter at most.
+            if ENTRY * len(self.known) + 5 * self.learned > KNOWN_BYTES:
+                self.known, self.before, self.learned = {}, self.known, 0
             rows, new = [], set()
             for text in group:
                 words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
@@ -83,8 +87,13 @@ class WordIds:
                     ids[i] = self.known[word]
                 yield b"".join(ids)
 
+    def forget(self) -> None:
+        """Give the memory of the words back; the tokenizer stays."""
+        self.known, self.before, self.learned = {}, {}, 0
+
     def _learn(self, words: set[str]) -> None:
         known, before, whole, ended = self.known, self.before, set(), []
+        self.learned += sum(map(len, words))
         for word in words:
             if word in before:
                 known[word] = before[word]
@@ -127,7 +136,7 @@ _encoders: dict[str, WordIds] = {}
 
 
 def encoder(path: str) -> WordIds:
-    """One per worker process, kept from task to task."""
+    """One per worker process; the tokenizer is kept from task to task, the words are not."""
     if path not in _encoders:
         _encoders[path] = WordIds(path)
     return _encoders[path]
@@ -138,19 +147,23 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0) -> DataF
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = encoder(tokenizer), array("I", [end_id]).tobytes()
-        for batch in batches:
-            rows, held = [], 0
-            texts = (value.as_py() or "" for value in batch.column("text"))
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of.encode(texts), strict=True):
-                ids += end
-                for piece, start in enumerate(range(0, len(ids), size * 4)):
-                    part = ids[start : start + size * 4]
-                    rows.append((doc, piece, start // 4, len(part) // 4, part))
-                    held += len(part)
-                    if held >= BATCH:
-                        yield _batch(rows, PIECES)
-                        rows, held = [], 0
-            yield _batch(rows, PIECES)
+        try:
+            for batch in batches:
+                rows, held = [], 0
+                texts = (value.as_py() or "" for value in batch.column("text"))
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of.encode(texts), strict=True):
+                    ids += end
+                    for piece, start in enumerate(range(0, len(ids), size * 4)):
+                        part = ids[start : start + size * 4]
+                        rows.append((doc, piece, start // 4, len(part) // 4, part))
+                        held += len(part)
+                        if held >= BATCH:
+                            yield _batch(rows, PIECES)
+                            rows, held = [], 0
+                yield _batch(rows, PIECES)
+        finally:
+            # The worker goes on to other tasks and stages.
+            ids_of.forget()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 

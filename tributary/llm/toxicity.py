@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12000, held_out: int =
 
     def termed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [terms(t) for t in batch.column("text").to_pylist()]
+            found = [terms(t.as_py()) for t in batch.column("text")]
             columns = [batch.column("id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "toxic", "terms"])
 
@@ -181,7 +181,7 @@ def scores(docs: DataFrame, machine: Machine, threshold: float = 0.3, held_out:
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [machine.score(terms(t)) for t in batch.column("text").to_pylist()]
+            found = [machine.score(terms(t.as_py())) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(scored, schema)
@@ -198,7 +198,8 @@ def keep_clean(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> Dat
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mask = [machine.score(terms(t)) < threshold for t in batch.column("text").cast(pa.string()).to_pylist()]
+            texts = batch.column("text").cast(pa.string())
+            mask = [machine.score(terms(t.as_py())) < threshold for t in texts]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
