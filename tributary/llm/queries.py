@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, repeats, simhash, toxicity, warc
+from tributary.llm import alignment, collocations, langid, line_rules, mixing, neighbours, packing, pii, quality, repeats, simhash, toxicity, warc
 from tributary.llm.common import table
 
 
@@ -132,6 +132,53 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.link_counts(table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), sample=6000)
+    return quality.scores(docs, model, threshold=0.3)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+OP13_SQL = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
+    FROM texts, unnest(string_split_regex(t, '[.,;:!?
+-
+]')) AS u(piece)
+), counted AS (
+    SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS c
+    FROM pieces, unnest(range(1, 6)) AS a(k), unnest(range(1, len(w) - k + 2)) AS b(i) GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND c >= 100
+), inside AS (
+    SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates t ON s.lang = t.lang AND t.k > s.k AND 100 * t.a >= 100 * s.a
+        AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ')
+), cuts AS (
+    SELECT p.lang, p.phrase, p.a, j, l.c AS l, r.c AS r, n, CAST(CAST(1000 AS HUGEINT) * p.a * n // (CAST(l.c AS HUGEINT) * r.c) AS BIGINT) AS score
+    FROM candidates p JOIN totals t ON t.lang = p.lang CROSS JOIN unnest(range(1, p.k)) AS u(j)
+    JOIN counted l ON l.lang = p.lang AND l.phrase = array_to_string(list_slice(p.w, 1, j), ' ')
+    JOIN counted r ON r.lang = p.lang AND r.phrase = array_to_string(list_slice(p.w, j + 1, p.k), ' ')
+), lowest AS (
+    SELECT * FROM cuts ANTI JOIN inside USING (lang, phrase) QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_toxicity": op2_toxicity,
@@ -143,10 +190,14 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_collocations": op13_collocations,
 }
 
 SQL = {
     "op1_nearest_neighbours": OP1_SQL,
     "op4_warc": OP4_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op13_collocations": OP13_SQL,
 }
