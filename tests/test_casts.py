@@ -1,6 +1,7 @@
+import random
 import re
 from datetime import datetime
-from decimal import Decimal
+from decimal import ROUND_CEILING, ROUND_FLOOR, ROUND_HALF_UP, Context, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,7 +52,9 @@ def test_bad_integers_fail_with_and_without_ansi(spark, text, kind, ansi):
     "text,wanted",
     [("1.5", "1.5"), (" 2 ", "2"), ("1e3", "1000"), ("-0.000000001", "-0.000000001"), ("1.10000000000", "1.1"),
      ("99999999999.999999999", "99999999999.999999999"), ("0.3333333333", "0.3333333333"), ("1e-10", "0.0000000001"),
-     ("123456789012", "123456789012"), ("0.123456789012345678000", "0.123456789012345678"), ("15e-18", "0.000000000000000015"), ("1.5e-8", "0.000000015"), ("1.5E+3", "1500"),
+     ("123456789012", "123456789012"), ("0.123456789012345678000", "0.123456789012345678"), ("15e-18", "0.000000000000000015"), ("1.5e-8", "0.000000015"), ("2.5e-10", "0.00000000025"),
+     ("1.1234567891e-3", "0.0011234567891"), ("1.5e-17", "0.000000000000000015"), ("100e-20", "0.000000000000000001"), ("0.10e-17", "0.000000000000000001"),
+     ("0e-40", "0"), ("0.0000000000000000001e1", "0.000000000000000001"), ("-.5E-3", "-0.0005"), ("12345.6789e+10", "123456789000000"), ("1.5E+3", "1500"),
      ("99999999999999999999.999999999999999999", "99999999999999999999.999999999999999999")],
 )
 def test_decimals(spark, text, wanted):
@@ -59,7 +62,7 @@ def test_decimals(spark, text, wanted):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("text", ["0.0000000000000000001", "1e-19", "1.5e-18", "1e-100", "100000000000000000000", "0.9999999999999999999", "abc", "NaN"])
+@pytest.mark.parametrize("text", ["0.0000000000000000001", "1e-19", "2.5e-18", "101e-20", "0.11e-17", "1.1234567891e-9", "1e-99999999999", "0.00000000000000000011e1", "1.5e-18", "1e-100", "100000000000000000000", "0.9999999999999999999", "abc", "NaN"])
 def test_decimals_are_never_rounded(spark, text, ansi):
     with settings(spark, spark__sql__ansi__enabled=ansi), pytest.raises(Exception, match="column d: not a decimal"):
         value(spark, text, NUMBER, "d")
@@ -115,7 +118,12 @@ def test_generated_code_stays_short_enough_to_be_compiled(spark):
      ("99999999999", "0.000000003", "33333333333000000000.00"), ("0.004999999999999999", "1", "0.00"),
      ("-0.004999999999999999", "1", "-0.00"), ("0.005", "1", "0.01"), ("0.995", "1", "1.00"), ("0.994999999999999999", "1", "0.99"),
      ("1234567890123.999999999999999999", "200", "6172839450.62"), ("3.014999999999999999", "-1", "-3.01"),
-     ("12345678901234567890.5", "1", "12345678901234567890.50")],
+     ("12345678901234567890.5", "1", "12345678901234567890.50"),
+     ("50000000000000000000", "99999999999999999999", "0.50"), ("499999999999999999.999999999999999999", "99999999999999999999.999999999999999999", "0.00"),
+     ("500000000000000000", "99999999999999999999.999999999999999999", "0.01"), ("-149999999999999999.999999999999999999", "10000000000000000000", "-0.01"),
+     ("-150000000000000000", "10000000000000000000", "-0.02"), ("99499999999999999999.004999999999999999", "99999999999999999999", "0.99"),
+     ("99499999999999999999.005", "99999999999999999999", "1.00"),
+     ("14999999999999999.999999999999999999", "1000000000000000000", "0.01"), ("15000000000000000", "1000000000000000000", "0.02")],
 )
 def test_grade(spark, n, d, wanted):
     frame = spark.createDataFrame([(n, d)], "n string, d string")
@@ -123,6 +131,21 @@ def test_grade(spark, n, d, wanted):
     assert found == (None if wanted is None else Decimal(wanted))
 
 
+def test_grades_are_exact_for_every_denominator(spark):
+    dice, exact, pairs = random.Random(1), Context(prec=80), []
+    for digits in range(1, 39):
+        for _ in range(12):
+            d = Decimal(dice.randrange(10 ** (digits - 1), 10**digits)).scaleb(-18, exact)
+            half = exact.multiply(d, Decimal(2 * dice.randrange(0, 120) + 1).scaleb(-200 // 200, exact)) / 20
+            n = half.quantize(Decimal("1e-18"), dice.choice([ROUND_FLOOR, ROUND_CEILING]), exact)
+            pairs.append((n * dice.choice([1, -1]), d))
+    fits = [(n, d) for n, d in pairs if abs(n) < 10**20]
+    frame = spark.createDataFrame([(str(n), str(d)) for n, d in fits], "n string, d string")
+    found = frame.select(grade(F.col("n").cast(NUMBER), F.col("d").cast(NUMBER))).collect()
+    wanted = [exact.divide(n, d).quantize(Decimal("0.01"), ROUND_HALF_UP, exact) for n, d in fits]
+    assert [r[0] for r in found] == wanted and len(fits) > 300
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("read", [lambda r: r.count(), lambda r: r.select("t").collect(), lambda r: r.collect()])
 @pytest.mark.parametrize("record,about", [("1,maybe,x", "not a boolean"), ("1,t", "fewer than 3 fields"), (",t,x", "NULL in key")])

@@ -7,8 +7,10 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Times a number of three digits this is still an exact decimal.
-REMAINDER = "decimal(34,18)"
+from tributary.schemas import NUMBER
+
+# Whole numbers that the reports' decimals reach.
+WHOLE = "decimal(20,0)"
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -21,19 +23,40 @@ def zero_guarded(denominator: Column, value: Column) -> Column:
     return F.when(denominator == 0, F.lit(0)).otherwise(value)
 
 
+def below_half(numerator: Column, denominator: Column, halves: Column) -> Column:
+    """Whether ``numerator / denominator`` lies below ``halves / 200``, exactly.
+
+    Both are positive, the quotient is below 1, ``halves`` is whole and below 200.
+    The denominator is split into 200 times ``whole`` and ``rest``: what is left of
+    the numerator after ``whole * halves`` is compared with ``rest * halves / 200``,
+    which is below 200. So no product has more digits than a decimal, whatever
+    the denominator.
+    """
+    floor = F.floor(denominator)
+    whole = ((floor - floor % 200) / F.lit(200)).cast(WHOLE)
+    rest = denominator % F.lit(Decimal(200)).cast("decimal(3,0)")
+    left = F.floor(numerator) - (whole * halves).cast(WHOLE)
+    small = left.try_cast("decimal(3,0)") + (numerator % F.lit(Decimal(1))).cast("decimal(18,18)")
+    near = small * F.lit(Decimal(200)).cast("decimal(3,0)") < rest.cast("decimal(21,18)") * halves
+    return (left < 0) | ((left < 200) & near)
+
+
+def magnitude(value: Column) -> Column:
+    """The absolute value; ``abs`` rounds negative decimals of more than 34 digits."""
+    return F.when(value < 0, F.substring(value.cast("string"), 2, 64).cast(NUMBER)).otherwise(value)
+
+
 def grade(numerator: Column, denominator: Column) -> Column:
     """Ratio rounded half away from zero to two places, 0 for a zero denominator.
 
     The quotient is itself rounded, so one just below a half may look like it.
-    Such a one is told by the remainder, which is exact. (From a denominator of
-    1e16 on, where 200 remainders are no decimal any more, it counts as a half.)
+    Such a one is told by the remainder, which is exact.
     """
     quotient = ratio(numerator, denominator)
-    size, over = F.abs(quotient), F.abs(denominator)
-    looks_half = size % F.lit(Decimal("0.01")) == F.lit(Decimal("0.005"))
-    halves = ((size % F.lit(Decimal(1))) * F.lit(Decimal(200))).cast("decimal(3,0)")
-    rest = (F.abs(numerator) % over).try_cast(REMAINDER)
-    below = rest * F.lit(Decimal(200)).cast("decimal(3,0)") < over.try_cast(REMAINDER) * halves
+    looks_half = F.abs(quotient % F.lit(Decimal("0.01"))) == F.lit(Decimal("0.005"))
+    halves = F.abs((quotient % F.lit(Decimal(1))) * F.lit(Decimal(200))).cast("decimal(3,0)")
+    over = magnitude(denominator)
+    below = below_half(magnitude(numerator) % over, over, halves)
     rounded = F.round(quotient, 2)
     down = rounded - F.signum(quotient).cast("decimal(1,0)") * F.lit(Decimal("0.01"))
     return zero_guarded(denominator, F.when(looks_half & below, down).otherwise(rounded))

@@ -22,13 +22,18 @@ def csv_records(rows: DataFrame) -> DataFrame:
     return text.select(record.alias("record"))
 
 
+def header_record(columns: list[str]) -> str:
+    """The first line of a published extract."""
+    return ",".join(columns)
+
+
 def write_archives(records: DataFrame, folder: str, header: list[str]) -> int:
     """Zip archives of one CSV entry each, one per partition of ``records``.
 
     Archive numbers follow the partitions. Each task streams its partition;
     the caller's partitioning bounds the size of an archive.
     """
-    first_line = (",".join(header) + "\n").encode()
+    first_line = f"{header_record(header)}\n".encode()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()

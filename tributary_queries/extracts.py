@@ -180,16 +180,21 @@ def cast_boolean(spark, sf_dir):
 
 
 def cast_decimal(spark, sf_dir):
-    """Prices as they are, and as text with twelve digits before the point, 18 after it, and an exponent."""
+    """Prices as they are, and as text with twelve digits before the point, 18 after it, and exponents."""
     lines = given(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount"
     )
     found = loaded(lines)
     large = F.concat(F.lit("123456"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.lit("."), F.lpad(F.col("l_partkey").cast("string"), 18, "0"))
-    small = F.concat(F.col("l_suppkey").cast("string"), F.lit("e-18"))
-    wide = T.StructType([T.StructField("large", NUMBER), T.StructField("small", NUMBER)])
-    typed = cast_text(found.withColumns({"large": large, "small": small}), wide)
-    return typed.withColumns({c: F.col(c).cast("string") for c in ("large", "small")})
+    texts = {
+        "large": large,
+        "small": F.concat(F.col("l_suppkey").cast("string"), F.lit("e-18")),
+        "tiny": F.concat(F.col("l_suppkey").cast("string"), F.lit(".5e-10")),
+        "thousandths": F.concat(F.col("l_partkey").cast("string"), F.lit(".1234567891E-3")),
+    }
+    wide = T.StructType([T.StructField(name, NUMBER) for name in texts])
+    typed = cast_text(found.withColumns(texts), wide)
+    return typed.withColumns({c: F.col(c).cast("string") for c in texts})
 
 
 def cast_timestamp(spark, sf_dir):
@@ -266,7 +271,9 @@ SQL = {
     "cast_decimal": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_discount,
                '123456' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '.' || lpad(CAST(l_partkey AS VARCHAR), 18, '0') AS large,
-               '0.' || lpad(CAST(l_suppkey AS VARCHAR), 18, '0') AS small
+               '0.' || lpad(CAST(l_suppkey AS VARCHAR), 18, '0') AS small,
+               '0.' || lpad(CAST(l_suppkey * 10 + 5 AS VARCHAR), 11, '0') || '0000000' AS tiny,
+               CAST(l_partkey // 1000 AS VARCHAR) || '.' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || '123456789100000' AS thousandths
         FROM lineitem""",
     "cast_timestamp": """
         SELECT event_id, ts, date_trunc('second', ts) + INTERVAL '123457 microseconds' AS short FROM events""",

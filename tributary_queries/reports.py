@@ -64,6 +64,18 @@ def round_half_up(spark, sf_dir):
     return _with(_lines(spark, sf_dir), grade(F.col("n"), F.col("d")).alias("grade"))
 
 
+def round_half_wide(spark, sf_dir):
+    """Denominators of 18 digits; every second quotient lies 1e-18 of its numerator below a half."""
+    lines = given(spark, sf_dir, "lineitem")
+    unit = F.lit(10**15) + F.col("l_orderkey")
+    odd = F.col("l_linenumber") * 2 + 1
+    exact = (unit.cast("decimal(18,0)") * odd.cast("decimal(3,0)")).cast("decimal(20,0)")
+    under = F.concat((exact - F.lit(1)).cast("string"), F.lit(".999999999999999999"))
+    n = F.when(F.col("l_suppkey") % 2 == 0, under).otherwise(exact.cast("string"))
+    value = grade(n.cast(NUMBER), (unit * 200).cast(NUMBER)).alias("grade")
+    return _with(lines, value)
+
+
 def grade_report(spark, sf_dir):
     report = reports.grade_report(
         domain.grade_results(spark, sf_dir),
@@ -91,6 +103,7 @@ QUERIES = {
     "case_zero_guard": case_zero_guard,
     "decimal_ratio": decimal_ratio,
     "round_half_up": round_half_up,
+    "round_half_wide": round_half_wide,
     "grade_report": grade_report,
     "enrollment_report": enrollment_report,
     "report_preview": report_preview,
@@ -135,6 +148,13 @@ SQL = {
     "round_half_up": f"""
         SELECT {_KEYS}, CAST(CASE WHEN d = 0 THEN 0 ELSE ((200 * t + d) // (2 * d)) / 100.0 END AS DOUBLE) AS grade
         FROM ({_HUNDREDTHS}) x""",
+    # Numerators and denominators in units of 1e-18, rounded half up in integers.
+    "round_half_wide": f"""
+        SELECT {_KEYS}, CAST((200 * n + d) // (2 * d) AS DOUBLE) / 100 AS grade
+        FROM (SELECT {_KEYS}, CAST(1000000000000000 + l_orderkey AS HUGEINT) * (2 * l_linenumber + 1) * 1000000000000000000
+                     - CASE WHEN l_suppkey % 2 = 0 THEN 1 ELSE 0 END AS n,
+                     CAST(1000000000000000 + l_orderkey AS HUGEINT) * 200 * 1000000000000000000 AS d
+              FROM lineitem) x""",
     "grade_report": f"""
         SELECT student_name, org_unit_name, grade_object_name, CAST(grade AS DOUBLE) AS grade FROM ({_GRADE}) r""",
     "enrollment_report": f"""
