@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,12 +55,8 @@ def archive_paths(spark: SparkSession, location: str) -> DataFrame:
 
 
 def archive_blocks(path: str) -> Iterator[tuple[int, str]]:
-    """Record blocks of a CSV file or of the only entry of a zip file, read as a stream."""
+    """Record blocks of the only entry of a zip file, read as a stream."""
     system, inner = resolve(path)
-    if not path.lower().endswith(".zip"):
-        with system.open_input_file(inner) as raw:
-            yield from record_blocks(io.BufferedReader(raw, FETCH_BYTES))
-        return
     with system.open_input_file(inner) as raw, zipfile.ZipFile(io.BufferedReader(raw, FETCH_BYTES)) as archive:
         names = archive.namelist()
         if len(names) != 1:
@@ -69,19 +65,35 @@ def archive_blocks(path: str) -> Iterator[tuple[int, str]]:
             yield from record_blocks(entry)
 
 
+def sent_blocks(rows: Iterable[tuple[int, int, int, int, str]]) -> Iterator[pa.RecordBatch]:
+    """Rows of the block table in batches of bounded size."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1])
+        if size >= BATCH_CHARACTERS:
+            yield pa.RecordBatch.from_arrays(list(zip(*held)), schema=BLOCK_ARROW)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays(list(zip(*held)), schema=BLOCK_ARROW)
+
+
+def numbered_blocks(archive: dict) -> Iterator[tuple[int, int, int, int, str]]:
+    first_row = 0
+    for count, body in archive_blocks(archive["path"]):
+        yield archive["seq"], archive["part"], first_row, count, body
+        first_row += count
+
+
 def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive in batch.to_pylist():
-            rows, size, first_row = [], 0, 0
-            for count, body in archive_blocks(archive["path"]):
-                rows.append((archive["seq"], archive["part"], first_row, count, body))
-                size += len(body)
-                first_row += count
-                if size >= BATCH_CHARACTERS:
-                    yield pa.RecordBatch.from_arrays(list(zip(*rows)), schema=BLOCK_ARROW)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays(list(zip(*rows)), schema=BLOCK_ARROW)
+            yield from sent_blocks(numbered_blocks(archive))
+
+
+def write_blocks(blocks: DataFrame, out: str) -> None:
+    writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE)
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
 
 
 def unpack(archives: DataFrame, number: int | None = None) -> str:
@@ -97,9 +109,7 @@ def unpack(archives: DataFrame, number: int | None = None) -> str:
     tasks = max(1, archives.count() if number is None else number)
     # The largest archive is the first to start.
     spread = archives.repartitionByRange(tasks, F.desc("length"), "path")
-    blocks = spread.mapInArrow(unpack_batches, BLOCK_DDL)
-    writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE)
-    writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
+    write_blocks(spread.mapInArrow(unpack_batches, BLOCK_DDL), out)
     return out
 
 

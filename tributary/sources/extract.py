@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tributary.functions.casts import cast_text
 from tributary.operators.keys import require_keys
 from tributary.schemas import TableSpec
-from tributary.sources.archive import file_paths, read_blocks, records, unpack
+from tributary.sources.archive import file_paths, read_blocks, records
+from tributary.sources.ranges import SPLIT_BYTES, unpack_ranges
 
 MALFORMED = "_malformed"
 RECORD = "_record"
@@ -45,18 +46,18 @@ def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Text columns of CSV files with a header line, bound by position.
 
     As strict as an archive's records, by the same way: a byte that is not UTF-8
     and a NUL are errors, a blank line is a record without fields. Rows longer
-    than the schema are cut to it. Quoted newlines make a file unsplittable: one
-    task cuts its records, so exports write files of bounded size.
+    than the schema are cut to it. A file is cut by ranges of ``split_bytes``, each
+    by a task of its own, though newlines may lie inside quotes.
     """
     files = file_paths(spark, path).select(
         F.lit(0).cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("part"), "path", "length"
     )
-    rows = scan_records(records(read_blocks(spark, unpack(files))), schema)
+    rows = scan_records(records(read_blocks(spark, unpack_ranges(files, split_bytes))), schema)
     return rows.drop("seq", "part", "row")
 
 

@@ -22,7 +22,7 @@ RECORD_END = "\x00"
 
 _QUOTED = rb'"[^"]*+(?:""[^"]*+)*+"'
 _REGULAR_FIELD = rb"(?:" + _QUOTED + rb'|[^",\r\n]*+)'
-_ANY_FIELD = rb"(?:" + _QUOTED + rb'[^,\n]*+|[^",\n][^,\n]*+|)'
+ANY_FIELD = rb"(?:" + _QUOTED + rb'[^,\n]*+|[^",\n][^,\n]*+|)'
 
 
 def byte_set(members: bytes) -> np.ndarray:
@@ -33,7 +33,7 @@ def byte_set(members: bytes) -> np.ndarray:
 BEFORE_QUOTE = byte_set(b',\n"')
 AFTER_QUOTE = byte_set(b',\r\n"')
 REGULAR = re.compile(_REGULAR_FIELD + rb"(?:," + _REGULAR_FIELD + rb")*+\r?\n")
-COMPLETE = re.compile(_ANY_FIELD + rb"(?:," + _ANY_FIELD + rb")*+\n")
+COMPLETE = re.compile(ANY_FIELD + rb"(?:," + ANY_FIELD + rb")*+\n")
 
 
 def with_regular_quotes(record: bytes) -> list[bytes]:

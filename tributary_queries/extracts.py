@@ -118,6 +118,14 @@ def csv_multiline_quotes(spark, sf_dir):
     return loaded(documents.unionByName(pages))
 
 
+def csv_scan_ranges(spark, sf_dir):
+    """Whole documents in plain files, each cut by many tasks in the middle of quoted texts."""
+    documents = given(spark, sf_dir, "documents")
+    path = work_folder(spark, "csv")
+    write_csv(documents, path)
+    return typed_rows(scan_csv(spark, path, documents.schema, split_bytes=1 << 18), documents.schema)
+
+
 def csv_write_roundtrip(spark, sf_dir):
     pages = given(spark, sf_dir, "pages")
     path = work_folder(spark, "csv")
@@ -232,6 +240,7 @@ QUERIES = {
     "archive_extract": archive_extract,
     "csv_scan_typed": csv_scan_typed,
     "csv_multiline_quotes": csv_multiline_quotes,
+    "csv_scan_ranges": csv_scan_ranges,
     "csv_write_roundtrip": csv_write_roundtrip,
     "csv_additive_columns": csv_additive_columns,
     "csv_short_rows": csv_short_rows,
@@ -260,6 +269,7 @@ SQL = {
     "csv_multiline_quotes": """
         SELECT 'document' AS kind, doc_id AS id, text FROM documents
         UNION ALL SELECT 'page' AS kind, page_id AS id, html AS text FROM pages""",
+    "csv_scan_ranges": "SELECT * FROM documents",
     "csv_write_roundtrip": "SELECT * FROM pages",
     "csv_additive_columns": "SELECT * FROM events",
     "csv_short_rows": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'",
