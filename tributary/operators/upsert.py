@@ -17,6 +17,7 @@ def last_wins(
     position: list[str],
     on_duplicate: str = LAST,
     extract: str | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per key: the one with the highest ``position``, NULLs included.
 
@@ -26,21 +27,25 @@ def last_wins(
     are carried along and never decide.
 
     With ``on_duplicate="error"`` a key may occur once only, or once per value
-    of the column ``extract``.
+    of the column ``extract``. ``copies`` names a column for the number of rows
+    that a row stands for.
     """
     if on_duplicate not in (LAST, ERROR):
         raise ValueError(f"on_duplicate: {on_duplicate}")
-    rest = [c for c in rows.columns if c not in keys and c not in position]
+    rest = [c for c in rows.columns if c not in keys and c not in position and c != copies]
     row = F.max(F.struct(*position, *rest)).alias("_row")
+    number = F.sum(copies) if copies in rows.columns else F.count(F.lit(1))
     if on_duplicate == LAST:
-        return rows.groupBy(*keys).agg(row).select(*keys, "_row.*")
+        counted = [number.alias(copies)] if copies else []
+        return rows.groupBy(*keys).agg(row, *counted).select(*keys, "_row.*", *([copies] if copies else []))
     counted = rows.groupBy(*keys, *([F.col(extract).alias("_extract")] if extract else [])).agg(
         row, F.count(F.lit(1)).alias("_copies")
     )
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     failed = F.raise_error(F.concat(F.lit("key occurs twice in an extract: "), shown)).cast("boolean")
-    single = counted.where(F.when(F.col("_copies") == 1, True).otherwise(failed)).select(*keys, "_row.*")
-    return last_wins(single, keys, position) if extract else single
+    once = counted.where(F.when(F.col("_copies") == 1, True).otherwise(failed))
+    single = once.select(*keys, "_row.*", *([F.lit(1).alias(copies)] if copies else []))
+    return last_wins(single, keys, position, copies=copies) if extract else single
 
 
 def without_keys(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,18 +62,21 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 
 
-def merge(base: DataFrame, delta: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """The same result in one pass over each side, for a large ``delta``.
+def matched(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of both, joined by key: ``b`` of the base, ``d`` of a large ``delta``."""
+    return base.alias("b").join(delta.alias("d"), same_key("b", "d", keys), "full_outer")
 
-    On a shared key the row with the higher ``sequence`` stays, the one from
-    ``delta`` if they are equal.
-    """
-    joined = base.alias("b").join(delta.alias("d"), same_key("b", "d", keys), "full_outer")
+
+def newest(joined: DataFrame, columns: list[str], sequence: str) -> DataFrame:
+    """Of ``matched`` rows that share a key the one with the higher ``sequence``, the delta's if they are equal."""
     old, new = F.col(f"b.{sequence}"), F.col(f"d.{sequence}")
     take_new = new.isNotNull() & (old.isNull() | (new >= old))
-    return joined.select(
-        *[F.when(take_new, F.col(f"d.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in base.columns]
-    )
+    return joined.select(*[F.when(take_new, F.col(f"d.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in columns])
+
+
+def merge(base: DataFrame, delta: DataFrame, keys: list[str], sequence: str) -> DataFrame:
+    """The upsert in one pass over each side, for a large ``delta``."""
+    return newest(matched(base, delta, keys), base.columns, sequence)
 
 
 def drop_stale(base: DataFrame, delta: DataFrame, keys: list[str], sequence: str) -> DataFrame:

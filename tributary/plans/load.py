@@ -14,14 +14,14 @@ from tributary.schemas import FULL, TABLES, TableSpec, registry
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
 from tributary.sources.extract import keyed_rows, scan_records
 from tributary.sources.listing import read_listing, read_pages, require_last_page, resolve_links, select_data_sets
-from tributary.sources.tables import SEQUENCE, KeyedTable, State
+from tributary.sources.tables import COPIES, SEQUENCE, KeyedTable, State, one_step
 from tributary.storage import remove_folder
 
 
 def extract_rows(blocks: DataFrame, spec: TableSpec, on_duplicate: str = LAST) -> DataFrame:
-    """Typed rows of unpacked extracts, one per key, with their ``_seq``."""
+    """Typed rows of unpacked extracts, one per key, with ``_seq`` and the number of its rows."""
     rows = keyed_rows(scan_records(records(blocks), spec.schema), spec)
-    unique = last_wins(rows, list(spec.keys), ["seq", "part", "row"], on_duplicate, "seq")
+    unique = last_wins(rows, list(spec.keys), ["seq", "part", "row"], on_duplicate, "seq", COPIES)
     return unique.withColumnRenamed("seq", SEQUENCE).drop("part", "row")
 
 
@@ -66,8 +66,9 @@ def load(
 ) -> dict[str, State]:
     """Load the data sets of ``mode`` into the tables below ``root``.
 
-    Nothing is loaded if a wanted data set has no link. Each table changes in
-    one step, after all its rows were read, typed, checked and written.
+    Nothing is loaded if a wanted data set has no link. All tables change in
+    one step, after all rows were read, typed, checked and written; if one fails,
+    none does. The states returned tell by ``counts`` what happened to the rows.
     """
     tables = create_tables(spark, root)
     pages = read_pages(spark, listing, items)
@@ -96,5 +97,5 @@ def load(
     names = [row["table"] for row in chosen]
     # The tables do not depend on each other: while a large archive is still
     # inflated in one task, the other tables use the rest of the cluster.
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+    with one_step([tables[name] for name in names]), ThreadPoolExecutor(max_workers=len(names)) as pool:
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(land), names)))

@@ -36,6 +36,13 @@ def file_names(path: str) -> list[str]:
     return sorted(e.base_name for e in entries if e.is_file)
 
 
+def folder_names(path: str) -> list[str]:
+    """Names of the folders directly in ``path``."""
+    system, inner = resolve(path)
+    entries = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+    return sorted(e.base_name for e in entries if e.type == fs.FileType.Directory)
+
+
 def remove_folder(path: str) -> None:
     """Remove a folder and all in it; no error if it is absent."""
     system, inner = resolve(path)

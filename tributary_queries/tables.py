@@ -13,7 +13,7 @@ from tributary.plans.load import create_tables, load
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, TableSpec
 from tributary.sources.export import csv_records, header_record, write_archives, write_listing
 from tributary.sources.extract import field_count
-from tributary.sources.tables import SEQUENCE, KeyedTable
+from tributary.sources.tables import BUCKET_BYTES, COPIES, SEQUENCE, KeyedTable
 from tributary.storage import work_folder
 from tributary.streaming.incremental import follow
 from tributary_queries import domain
@@ -28,6 +28,7 @@ UPSERTS = {
     "user_enrollments": ("role_name <> '1-URGENT'", "role_name IN ('1-URGENT', '2-HIGH')", None, "role_name"),
 }
 CHANGED = "changed "
+COUNTED = ("read", "landed", "inserted", "replaced", "stale")
 
 
 def landed(spark: SparkSession, spec: TableSpec, *extracts: tuple[int, DataFrame], **settings) -> KeyedTable:
@@ -116,6 +117,49 @@ def upsert_late_extract(spark, sf_dir):
     return landed(spark, TABLES["users"], (5, held), (3, renamed(rows)), pending_share=100.0).read()
 
 
+def users_folded_in_part(spark, sf_dir) -> KeyedTable:
+    """Users in 16 buckets, and an extract of one nation's users of three buckets, merged."""
+    rows = domain.users(spark, sf_dir)
+    table = KeyedTable(spark, work_folder(spark, "tables"), TABLES["users"], pending_share=100.0)
+    table.land(rows.withColumn(SEQUENCE, F.lit(1).cast("bigint")), 1, 1, 16 * BUCKET_BYTES)
+    some = renamed(rows.where("org_defined_id = '7' AND pmod(hash(user_id), 16) < 3"))
+    table.land(some.withColumn(SEQUENCE, F.lit(2).cast("bigint")), 2, 2)
+    table.fold()
+    return table
+
+
+def upsert_fold_touched(spark, sf_dir):
+    """Users by nation after the merge; none is changed in a bucket that stayed in its folder."""
+    table = users_folded_in_part(spark, sf_dir)
+    state = table.state()
+    written = F.col("_slot").isin(state.slots.get(state.base, []))
+    return table._base(state).groupBy("org_defined_id").agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_if(F.startswith("user_name", F.lit(CHANGED)) & ~written).alias("changed_elsewhere"),
+    )
+
+
+def lookup_keys(spark, sf_dir):
+    """Some users, one absent, looked up in a table with deltas pending."""
+    table = users_with_pending(spark, sf_dir)
+    keys = stored(given(spark, sf_dir, "customer").select((F.col("c_custkey") * 5).alias("user_id")).where("user_id % 35 = 0"))
+    return table.rows_of(keys)
+
+
+def load_counts(spark, sf_dir):
+    """What a second load did, by its commit files: some users sent twice, some again, some new."""
+    rows = domain.users(spark, sf_dir)
+    table = KeyedTable(spark, work_folder(spark, "tables"), TABLES["users"])
+    copies = F.when(F.col("user_id") % 10 == 0, 3).otherwise(1)
+
+    def extract(where, number):
+        sent = rows.where(where).withColumns({COPIES: copies, SEQUENCE: F.lit(number).cast("bigint")})
+        return table.land(sent, number, number, 1 << 30).counts
+
+    steps = [extract("user_id % 3 > 0", 5), extract("user_id % 4 > 0", 7), extract("is_active", 6)]
+    return spark.createDataFrame([(n, *(c[k] for k in COUNTED)) for n, c in enumerate(steps, 1)], "step bigint, " + ", ".join(f"{k} bigint" for k in COUNTED))
+
+
 def key_duplicates(spark, sf_dir):
     return duplicate_keys(given(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -268,6 +312,9 @@ QUERIES = {
     "upsert_pending": upsert_pending,
     "upsert_fold": upsert_fold,
     "upsert_late_extract": upsert_late_extract,
+    "upsert_fold_touched": upsert_fold_touched,
+    "lookup_keys": lookup_keys,
+    "load_counts": load_counts,
     "dedupe_last_wins": dedupe_last_wins,
     "incremental_upsert": incremental_upsert,
     "load_full_flow": load_full_flow,
@@ -330,6 +377,18 @@ SQL = {
     "upsert_late_extract": f"""
         SELECT * REPLACE (CASE WHEN first_name = 'MACHINERY' THEN '{CHANGED}' ELSE '' END || user_name AS user_name)
         FROM ({domain.SQL["users"]}) fx""",
+    "upsert_fold_touched": """
+        SELECT CAST(c_nationkey AS VARCHAR) AS org_defined_id, COUNT(*) AS users, CAST(0 AS BIGINT) AS changed_elsewhere
+        FROM customer GROUP BY c_nationkey""",
+    "lookup_keys": f"SELECT * FROM ({_PENDING}) p WHERE user_id IN (SELECT c_custkey * 5 FROM customer) AND user_id % 35 = 0",
+    "load_counts": """
+        WITH u AS (SELECT c_custkey AS k, c_acctbal > 0 AS active, CASE WHEN c_custkey % 10 = 0 THEN 3 ELSE 1 END AS copies,
+                          c_custkey % 3 > 0 AS one, c_custkey % 4 > 0 AS two FROM customer)
+        SELECT CAST(1 AS BIGINT) AS step, CAST(SUM(copies) AS BIGINT) AS read, COUNT(*) AS landed, COUNT(*) AS inserted,
+               CAST(0 AS BIGINT) AS replaced, CAST(0 AS BIGINT) AS stale FROM u WHERE one
+        UNION ALL SELECT 2, CAST(SUM(copies) AS BIGINT), COUNT(*), COUNT(*) FILTER (WHERE NOT one), COUNT(*) FILTER (WHERE one), 0 FROM u WHERE two
+        UNION ALL SELECT 3, CAST(SUM(copies) AS BIGINT), COUNT(*), COUNT(*) FILTER (WHERE NOT one AND NOT two),
+                         COUNT(*) FILTER (WHERE one AND NOT two), COUNT(*) FILTER (WHERE two) FROM u WHERE active""",
     "dedupe_last_wins": _LAST_EVENT,
     "incremental_upsert": _LAST_EVENT,
     "load_full_flow": " UNION ALL ".join(
