@@ -24,7 +24,7 @@ def put_extract(path, body, header="ignored,header"):
     return put_zip(path, {"extract.csv": f"{header}\n{body}"})
 
 
-def put_pages(folder, pages, items="Objects"):
+def put_pages(folder, pages, items="Objects", names=None, addressed=True):
     """Listing pages of ``[(plugin, link), ...]``, pretty-printed."""
     os.makedirs(folder, exist_ok=True)
     for number, page in enumerate(pages):
@@ -33,7 +33,9 @@ def put_pages(folder, pages, items="Objects"):
             items: [{"PluginId": p, "DownloadLink": d, "Name": "extra"} for p, d in page],
             "NextPageUrl": None if last else f"page/{number + 1}",
         }
-        with open(f"{folder}/page-{number:04d}.json", "w") as out:
+        if addressed and number:
+            body["Url"] = f"page/{number}"
+        with open(f"{folder}/{names[number] if names else f'page-{number:04d}'}.json", "w") as out:
             json.dump(body, out, indent=2)
     return str(folder)
 

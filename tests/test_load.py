@@ -1,3 +1,4 @@
+import json
 import os
 from uuid import uuid4
 
@@ -109,9 +110,10 @@ def test_archives_of_a_folder_are_one_extract_in_name_order(spark, tmp_path):
         put_extract(f"{tmp_path}/in/users/part-{number}.zip", f"1,{name},,,,,,,,,\n{10 + number},x,,,,,,,,,\n")
     plugin = next(p for p, t, m in DATA_SETS if t == "users")
     put_pages(f"{tmp_path}/in/listing/more", [[(plugin, f"{tmp_path}/in/users")]])
-    for page in (tmp_path / "in/listing/more").iterdir():
-        page.rename(tmp_path / "in/listing/page-9999.json")
-    (tmp_path / "in/listing/more").rmdir()
+    more, second = json.loads((tmp_path / "in/listing/more/page-0000.json").read_text()), tmp_path / "in/listing/page-0001.json"
+    (tmp_path / "in/listing/more/page-0000.json").write_text(json.dumps({**more, "Url": "page/2"}))
+    second.write_text(json.dumps({**json.loads(second.read_text()), "NextPageUrl": "page/2"}))
+    listing = f"{listing}{{,/more}}"
     load(spark, listing, "Objects", f"{tmp_path}/tables", FULL)
     users = create_tables(spark, f"{tmp_path}/tables")["users"].read()
     assert rows(users.select("user_id", "user_name")) == [(1, "three"), (10, "x"), (11, "x"), (12, "x")]

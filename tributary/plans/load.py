@@ -13,7 +13,7 @@ from tributary.operators.upsert import LAST, last_wins
 from tributary.schemas import FULL, TABLES, TableSpec, registry
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
 from tributary.sources.extract import keyed_rows, scan_records
-from tributary.sources.listing import read_listing, read_pages, require_last_page, resolve_links, select_data_sets
+from tributary.sources.listing import pages_in_order, read_listing, read_pages, resolve_links, select_data_sets
 from tributary.sources.tables import COPIES, SEQUENCE, KeyedTable, State, one_step
 from tributary.storage import remove_folder
 
@@ -71,9 +71,7 @@ def load(
     none does. The states returned tell by ``counts`` what happened to the rows.
     """
     tables = create_tables(spark, root)
-    pages = read_pages(spark, listing, items)
-    require_last_page(pages)
-    links = resolve_links(read_listing(pages))
+    links = resolve_links(read_listing(pages_in_order(read_pages(spark, listing, items))))
     # One row per data set of the registry.
     chosen = select_data_sets(registry(spark) if data_sets is None else data_sets, links, mode).collect()
     seq = 1 + max(table.state().last_seq for table in tables.values())

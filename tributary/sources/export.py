@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.sources.extract import WRITE_OPTIONS, as_text
-from tributary.sources.listing import LINK, NEXT_PAGE, PLUGIN
+from tributary.sources.listing import LINK, NEXT_PAGE, PLUGIN, URL
 from tributary.storage import resolve
 
 
@@ -61,9 +61,14 @@ def write_archives(records: DataFrame, folder: str, header: list[str]) -> int:
 def write_listing(links: DataFrame, path: str, items: str) -> None:
     """Listing pages of ``(page, plugin, link)``, one JSON file per page.
 
-    ``page`` is text that sorts in page order; a page holds few items.
+    ``page`` is text that sorts in page order; a page holds few items. Each page
+    names the next, and its own address; the files' names tell nothing.
     """
     item = F.struct(F.col("plugin").alias(PLUGIN), F.col("link").alias(LINK))
     pages = links.groupBy("page").agg(F.sort_array(F.collect_list(item)).alias(items))
-    pages = pages.withColumn(NEXT_PAGE, F.lit(None).cast("string"))
-    pages.write.partitionBy("page").option("ignoreNullFields", "false").json(path)
+    # Few narrow rows: the page names alone.
+    following = pages.select(F.col("page").alias("name"), F.lead("page").over(Window.orderBy("page")).alias("next"))
+    pages = pages.join(following, F.col("page") == F.col("name"))
+    address = F.concat(F.lit("page/"), F.col("page"))
+    pages = pages.select(F.xxhash64("page").alias("file"), items, address.alias(URL), F.concat(F.lit("page/"), F.col("next")).alias(NEXT_PAGE))
+    pages.write.partitionBy("file").option("ignoreNullFields", "false").json(path)

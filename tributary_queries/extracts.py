@@ -11,7 +11,7 @@ from tributary.schemas import BOOL, DIFFERENTIAL, FULL, NUMBER, WHEN, TableSpec
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
 from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import scan_csv, scan_records, short_rows, typed_rows, write_csv
-from tributary.sources.listing import read_listing, read_pages, resolve_links, select_data_sets
+from tributary.sources.listing import pages_in_order, read_listing, read_pages, resolve_links, select_data_sets
 from tributary.sources.tables import SEQUENCE, KeyedTable
 from tributary.storage import folder_bytes, work_folder
 from tributary_queries.domain import extract_schema, given, plain
@@ -64,7 +64,17 @@ def manifest_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = pages(suppliers.where("s_acctbal < 0"), "1", "v2/")
     path = work_folder(spark, "listing")
     write_listing(pages(suppliers, "0", "v1/").unionByName(again), path, ITEMS)
-    return resolve_links(read_listing(read_pages(spark, path, ITEMS)))
+    return resolve_links(read_listing(pages_in_order(read_pages(spark, path, ITEMS))))
+
+
+def manifest_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of suppliers under names without order, numbered by their addresses."""
+    suppliers = given(spark, sf_dir, "supplier").where("s_suppkey % 4 > 0")
+    name = F.lpad((F.col("s_nationkey") * 100 + F.col("s_suppkey") % 7).cast("string"), 6, "0")
+    path = work_folder(spark, "listing")
+    write_listing(suppliers.select(name.alias("page"), F.col("s_name").alias("plugin"), F.lit("x").alias("link")), path, ITEMS)
+    listed = read_listing(pages_in_order(read_pages(spark, path, ITEMS)))
+    return listed.select("plugin", F.col("page").cast("bigint").alias("page"))
 
 
 def _dataset_select(spark, sf_dir, mode):
@@ -235,6 +245,7 @@ def snapshot_publish(spark, sf_dir):
 
 QUERIES = {
     "manifest_resolve": manifest_resolve,
+    "manifest_chain": manifest_chain,
     "dataset_select_full": dataset_select_full,
     "dataset_select_diff": dataset_select_diff,
     "archive_extract": archive_extract,
@@ -259,6 +270,16 @@ SQL = {
     "manifest_resolve": """
         SELECT s_name AS plugin, CASE WHEN s_acctbal < 0 THEN 'v2/' ELSE 'v1/' END || s_suppkey AS link
         FROM supplier""",
+    # The chain followed page by page.
+    "manifest_chain": """
+        WITH RECURSIVE named AS (
+            SELECT s_name, lpad(CAST(s_nationkey * 100 + s_suppkey % 7 AS VARCHAR), 6, '0') AS url FROM supplier WHERE s_suppkey % 4 > 0
+        ), pages AS (SELECT url, lead(url) OVER (ORDER BY url) AS next FROM (SELECT DISTINCT url FROM named) u
+        ), chain AS (
+            SELECT url, next, CAST(1 AS BIGINT) AS page FROM pages WHERE url NOT IN (SELECT next FROM pages WHERE next IS NOT NULL)
+            UNION ALL SELECT p.url, p.next, c.page + 1 FROM chain c JOIN pages p ON p.url = c.next
+        )
+        SELECT s_name AS plugin, page FROM named JOIN chain USING (url)""",
     "dataset_select_full": _SELECT.format("<>"),
     "dataset_select_diff": _SELECT.format("="),
     "archive_extract": """
