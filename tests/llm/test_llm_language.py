@@ -297,8 +297,8 @@ def test_shards_cut_texts_anywhere(monkeypatch):
         return total
 
     def add(total, shard, low, high):
-        for _, _, *row in shard.counts(low, high, 3, keep_all):
-            automaton = Automaton.of_row(*row)
+        for _, _, packed in shard.counts(low, high, 3, keep_all):
+            automaton = Automaton.unpacked(packed)
             levels = automaton.levels()
             for depth in range(low - 1, len(levels)):
                 for gram, n in zip(automata.paths(levels, depth).tolist(), levels[depth][2].tolist(), strict=True):
@@ -362,7 +362,7 @@ def random_grams(rnd, most=40):
 def test_automata_union_cut_and_composition(seed):
     rnd = random.Random(seed)
     several = [random_grams(rnd) for _ in range(rnd.randint(1, 5))]
-    built = [Automaton.of_row(*automaton_of(g).row()) for g in several]
+    built = [Automaton.unpacked(automaton_of(g).packed()) for g in several]
     for grams, automaton in zip(several, built, strict=True):
         assert grams_of(automaton.words, automaton.levels()) == grams
     total = Counter()
