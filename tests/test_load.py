@@ -4,10 +4,11 @@ from uuid import uuid4
 
 import pytest
 
-from tests.helpers import put_extract, put_pages, put_zip, settings
-from tributary.plans.load import create_tables, load, register_views
+from tests.helpers import plan, put_extract, put_pages, put_zip, settings, unpacked
+from tributary.plans.load import create_tables, load, quarantined, register_views
 from tributary.plans.reports import enrollment_report, grade_report, preview
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES
+from tributary.sources.extract import scan_records, split_rows
 
 EXTRACTS = {
     "org_units": '10,Org,Course,"Maths, first",M1,2020-01-01T00:00:00.000Z,,True,2019-12-01T10:11:12.345Z,new column\n'
@@ -159,3 +160,54 @@ def test_archive_with_two_entries_fails(spark, tmp_path):
     put_zip(f"{tmp_path}/in/users.zip", {"a.csv": "h\n", "b.csv": "h\n"})
     with pytest.raises(Exception, match="2 entries"):
         load(spark, listing, "Objects", f"{tmp_path}/tables", FULL)
+
+
+BAD_USERS = "1,ann,,,,,True,,,,\n2,bob\nx,cy,,,,,,,,,\n,di,,,,,,,,,\n5,ed,,,,,maybe,,,,\n1,last,,,,,,,,,\n\n6,fay,,,,,,,,,2020-99-01\n"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_records_are_set_aside_in_the_pass_that_loads(spark, tmp_path, ansi):
+    with settings(spark, spark__sql__ansi__enabled=ansi):
+        t = run(spark, tmp_path, {"users": BAD_USERS}, on_bad="quarantine")["users"]
+        assert rows(t.read().select("user_id", "user_name")) == [(1, "last")]
+        found = sorted((r.row, r.reason, r.record) for r in quarantined(t).collect())
+        assert found == [
+            (1, "fewer than 11 fields", "2,bob"),
+            (2, "column user_id: not a bigint", "x,cy,,,,,,,,,"),
+            (3, "NULL in key column user_id", ",di,,,,,,,,,"),
+            (4, "column is_active: not a boolean", "5,ed,,,,,maybe,,,,"),
+            (6, "fewer than 11 fields", ""),
+            (7, "column signup_date: not a timestamp_ntz", "6,fay,,,,,,,,,2020-99-01"),
+        ]
+        assert t.state().counts == {"bad": 6, "read": 2, "landed": 1, "inserted": 1, "replaced": 0, "stale": 0}
+        again = run(spark, tmp_path, {"users": "3,new,,,,,,,,,\n4\n"}, name="again", on_bad="quarantine")["users"]
+        assert quarantined(again).count() == 7 and again.read().count() == 2
+        assert not [f for f in again.state().bad if os.path.exists(f"{again.path}/{f}/_bad=false")]
+
+
+def test_a_load_without_bad_records_keeps_no_folder(spark, tmp_path):
+    t = run(spark, tmp_path, on_bad="quarantine")
+    assert all(x.state().bad == () and x.state().counts["bad"] == 0 and quarantined(x).count() == 0 for x in t.values())
+    with pytest.raises(ValueError, match="on_bad"):
+        run(spark, tmp_path, name="other", on_bad="skip")
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    put_extract(f"{tmp_path}/in/e.zip", BAD_USERS)
+    raw = scan_records(unpacked(spark, f"{tmp_path}/in"), TABLES["users"].schema)
+    sound, bad, number = split_rows(raw, TABLES["users"], f"{tmp_path}/out")
+    assert (sound.count(), bad.count(), number) == (2, 6, 6)
+    for frame in (sound, bad):
+        assert "from_csv" not in plan(frame) and "FileScan parquet" in plan(frame, "simple")
+
+
+def test_a_failure_on_one_table_leaves_all_as_they_were(spark, tmp_path):
+    before = {n: x.state() for n, x in run(spark, tmp_path).items()}
+    bad = {"org_units": "12,Org,,Chemistry,C1,,,,\n", "user_enrollments": "10,x,Student,,\n"}
+    with pytest.raises(Exception, match="column user_id: not a bigint"):
+        run(spark, tmp_path, bad, name="bad")
+    after = create_tables(spark, f"{tmp_path}/tables")
+    assert {n: x.state() for n, x in after.items()} == before
+    assert after["org_units"].read().count() == 2
+    run(spark, tmp_path, {"org_units": bad["org_units"]}, name="good")
+    assert after["org_units"].read().count() == 3

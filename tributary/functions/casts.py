@@ -83,21 +83,14 @@ def rounded(text: Column, value: Column) -> Column:
     return F.when(F.contains(text, F.lit(".")) & up, value + F.expr(MICROSECOND)).otherwise(value)
 
 
-def cast_text(
-    rows: DataFrame,
-    schema: T.StructType,
-    fault: Column | None = None,
-    about: str = "",
-    shown: Column | None = None,
-) -> DataFrame:
-    """The text columns of ``schema`` typed; other columns are kept.
+def checked_text(
+    rows: DataFrame, schema: T.StructType, fault: Column | None = None, about: str = ""
+) -> tuple[DataFrame, dict[str, Column], Column]:
+    """The rows with all casts made, the typed columns, and what is wrong with a row.
 
-    Text that its type cannot hold fails the job, and so does a row where
-    ``fault`` is true, with ``about`` as the message. ``shown`` is what a
-    message quotes of the row.
+    The last is NULL for a sound row; else ``about`` where ``fault`` is true, or the
+    first column whose text its type cannot hold.
     """
-    names = schema.fieldNames()
-    others = [c for c in rows.columns if c not in names]
     casts = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
 
     def text(name):
@@ -119,9 +112,30 @@ def cast_text(
     checked = values.withColumn(FAULT, number + F.lit(0) * F.spark_partition_id())
 
     messages = [about, *[f"column {f.name}: not a {f.dataType.simpleString()}" for f in casts]]
-    quoted = F.lit("") if shown is None else F.coalesce(F.concat(F.lit(": "), F.left(shown, F.lit(200))), F.lit(""))
-    failed = F.raise_error(F.concat(F.element_at(F.array(*map(F.lit, messages)), F.col(FAULT)), quoted))
     columns = {f.name: value(f.name).try_cast(f.dataType) if f in casts else text(f.name) for f in schema.fields}
+    # Asked for place NULL, element_at() gives the last element.
+    reason = F.element_at(F.array(*map(F.lit, messages)), F.col(FAULT))
+    return checked, columns, F.when(F.col(FAULT).isNotNull(), reason)
+
+
+def cast_text(
+    rows: DataFrame,
+    schema: T.StructType,
+    fault: Column | None = None,
+    about: str = "",
+    shown: Column | None = None,
+) -> DataFrame:
+    """The text columns of ``schema`` typed; other columns are kept.
+
+    Text that its type cannot hold fails the job, and so does a row where
+    ``fault`` is true, with ``about`` as the message. ``shown`` is what a
+    message quotes of the row.
+    """
+    names = schema.fieldNames()
+    others = [c for c in rows.columns if c not in names]
+    checked, columns, reason = checked_text(rows, schema, fault, about)
+    quoted = F.lit("") if shown is None else F.coalesce(F.concat(F.lit(": "), F.left(shown, F.lit(200))), F.lit(""))
+    failed = F.raise_error(F.concat(reason, quoted))
     # A filter, which no choice of columns removes.
     sound = checked.where(F.when(F.col(FAULT).isNull(), True).otherwise(failed.cast("boolean")))
     return sound.select(*[columns[n].alias(n) for n in names], *others)

@@ -22,10 +22,15 @@ def duplicate_keys(rows: DataFrame, keys: list[str], count_name: str = "n") -> D
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).where(F.col(count_name) > 1)
 
 
+def null_key_reason(keys: list[str]):
+    """What is wrong with a key that has a NULL; NULL for a whole one."""
+    return F.coalesce(*[F.when(F.col(k).isNull(), F.lit(f"NULL in key column {k}")) for k in keys])
+
+
 def require_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The same rows; reading one with a NULL key fails the job.
 
     A filter: it costs no pass of its own, and stays whatever columns are read.
     """
-    about = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(f"NULL in key column {k}")) for k in keys])
+    about = null_key_reason(keys)
     return rows.where(F.when(about.isNull(), True).otherwise(F.raise_error(about).cast("boolean")))

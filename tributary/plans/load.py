@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 from tributary.operators.upsert import LAST, last_wins
 from tributary.schemas import FULL, TABLES, TableSpec, registry
 from tributary.sources.archive import archive_paths, read_blocks, records, unpack
-from tributary.sources.extract import keyed_rows, scan_records
+from tributary.sources.extract import BAD, bad_records, keyed_rows, scan_records, split_rows
 from tributary.sources.listing import pages_in_order, read_listing, read_pages, resolve_links, select_data_sets
 from tributary.sources.tables import COPIES, SEQUENCE, KeyedTable, State, one_step
 from tributary.storage import remove_folder
 
+FAIL = "fail"
+QUARANTINE = "quarantine"
+
 
 def extract_rows(blocks: DataFrame, spec: TableSpec, on_duplicate: str = LAST) -> DataFrame:
     """Typed rows of unpacked extracts, one per key, with ``_seq`` and the number of its rows."""
-    rows = keyed_rows(scan_records(records(blocks), spec.schema), spec)
+    return unique_rows(keyed_rows(scan_records(records(blocks), spec.schema), spec), spec, on_duplicate)
+
+
+def unique_rows(rows: DataFrame, spec: TableSpec, on_duplicate: str = LAST) -> DataFrame:
+    """One of the typed rows per key, by their position."""
     unique = last_wins(rows, list(spec.keys), ["seq", "part", "row"], on_duplicate, "seq", COPIES)
     return unique.withColumnRenamed("seq", SEQUENCE).drop("part", "row")
 
@@ -55,6 +62,11 @@ def chosen_archives(spark: SparkSession, chosen: list, seq: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).withColumn("part", part)
 
 
+def quarantined(table: KeyedTable) -> DataFrame:
+    """Bad records of all loads: ``seq, part, row, reason, record``."""
+    return bad_records(table.spark, [f"{table.path}/{folder}" for folder in table.state().bad])
+
+
 def load(
     spark: SparkSession,
     listing: str,
@@ -63,13 +75,20 @@ def load(
     mode: str = FULL,
     data_sets: DataFrame | None = None,
     on_duplicate: str = LAST,
+    on_bad: str = FAIL,
 ) -> dict[str, State]:
     """Load the data sets of ``mode`` into the tables below ``root``.
 
     Nothing is loaded if a wanted data set has no link. All tables change in
     one step, after all rows were read, typed, checked and written; if one fails,
     none does. The states returned tell by ``counts`` what happened to the rows.
+
+    A record that is short, has text that its type cannot hold, or a NULL key fails
+    the load. With ``on_bad="quarantine"`` it is set aside instead, with its position
+    and the reason, in the pass that types the others: ``quarantined`` reads them.
     """
+    if on_bad not in (FAIL, QUARANTINE):
+        raise ValueError(f"on_bad: {on_bad}")
     tables = create_tables(spark, root)
     links = resolve_links(read_listing(pages_in_order(read_pages(spark, listing, items))))
     # One row per data set of the registry.
@@ -87,11 +106,27 @@ def load(
         size, number = sizes[name]
         folder = unpack(archives.where(F.col("table") == name), number)
         try:
-            rows = extract_rows(read_blocks(spark, folder), tables[name].spec, on_duplicate)
-            return tables[name].land(rows, seq, seq, size)
+            if on_bad == FAIL:
+                rows = extract_rows(read_blocks(spark, folder), tables[name].spec, on_duplicate)
+                return tables[name].land(rows, seq, seq, size)
+            return land_sound(name, read_blocks(spark, folder), size)
         finally:
             remove_folder(folder)
 
+    def land_sound(name: str, blocks: DataFrame, size: int) -> State:
+        """The sound rows landed, the bad records kept for as long as the table is."""
+        table, spec = tables[name], tables[name].spec
+        aside = table.new_bad_folder()
+        path = f"{table.path}/{aside}"
+        try:
+            sound, _, number = split_rows(scan_records(records(blocks), spec.schema), spec, path)
+            state = table.land(unique_rows(sound, spec, on_duplicate), seq, seq, size, bad=(aside, number))
+        except BaseException:
+            remove_folder(path)
+            raise
+        remove_folder(f"{path}/{BAD}=false")
+        return state
+
     names = [row["table"] for row in chosen]
     # The tables do not depend on each other: while a large archive is still
     # inflated in one task, the other tables use the rest of the cluster.

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.functions.casts import cast_text
-from tributary.operators.keys import require_keys
+from tributary.functions.casts import cast_text, checked_text
+from tributary.operators.keys import null_key_reason, require_keys
 from tributary.schemas import TableSpec
 from tributary.sources.archive import file_paths, read_blocks, records
 from tributary.sources.ranges import SPLIT_BYTES, unpack_ranges
 
 MALFORMED = "_malformed"
 RECORD = "_record"
+REASON = "_reason"
+BAD = "_bad"
 
 # Comma, double quote doubled inside quotes, no escape character, newlines
 # kept inside quotes, blanks kept.
@@ -114,9 +116,12 @@ def typed_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
     The position is kept.
     """
-    about = f"fewer than {len(schema.fields)} fields"
     shown = F.col(RECORD if RECORD in raw.columns else MALFORMED)
-    return cast_text(raw, schema, is_short(schema), about, shown).drop(MALFORMED, RECORD)
+    return cast_text(raw, schema, is_short(schema), short_reason(schema), shown).drop(MALFORMED, RECORD)
+
+
+def short_reason(schema: T.StructType) -> str:
+    return f"fewer than {len(schema.fields)} fields"
 
 
 def keyed_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -124,6 +129,44 @@ def keyed_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return require_keys(typed_rows(raw, spec.schema), list(spec.keys))
 
 
+def judged_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Typed rows of a table, and why a row is bad: ``_bad``, ``_reason``, ``_record``.
+
+    The reasons are those that would fail ``keyed_rows``; the typed columns of a bad
+    row mean nothing. A sound row has no reason and no record. The position is kept.
+    """
+    checked, columns, reason = checked_text(raw, spec.schema, is_short(spec.schema), short_reason(spec.schema))
+    position = [c for c in raw.columns if c not in (*spec.columns, MALFORMED, RECORD)]
+    rows = checked.select(*position, *[columns[n].alias(n) for n in spec.columns], reason.alias(REASON), RECORD)
+    rows = rows.withColumn(REASON, F.coalesce(REASON, null_key_reason(list(spec.keys))))
+    bad = F.col(REASON).isNotNull()
+    return rows.withColumns({BAD: bad, RECORD: F.when(bad, F.col(RECORD))})
+
+
+def split_rows(raw: DataFrame, spec: TableSpec, path: str) -> tuple[DataFrame, DataFrame, int]:
+    """Sound typed rows and bad records of one pass, and the number of bad ones.
+
+    One job parses, types and writes both below ``path``, in a folder each; what is
+    returned reads the folders. Bad records have ``seq, part, row, reason, record``.
+    """
+    judged = judged_rows(raw, spec)
+    seen = Observation()
+    judged.observe(seen, F.count_if(BAD).alias("bad")).write.partitionBy(BAD).parquet(path)
+    number = seen.get["bad"]
+    sound = raw.sparkSession.read.schema(judged.schema).parquet(path).where(~F.col(BAD)).drop(BAD, REASON, RECORD)
+    return sound, bad_records(raw.sparkSession, [path] if number else []), number
+
+
+BAD_SCHEMA = f"seq bigint, part bigint, row bigint, {REASON} string, {RECORD} string"
+
+
+def bad_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The bad records that ``split_rows`` left below the paths; none for no path."""
+    folders = [f"{path}/{BAD}=true" for path in paths]
+    rows = spark.read.schema(BAD_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], BAD_SCHEMA)
+    return rows.select("seq", "part", "row", F.col(REASON).alias("reason"), F.col(RECORD).alias("record"))
+
+
 def as_text(rows: DataFrame) -> DataFrame:
     """Every column as text that casts back to the same value."""
     return rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])

@@ -75,6 +75,8 @@ class State:
     # What the step that made this version did, in rows: "read" from extracts and
     # "landed" of them; of those merged with the base "inserted", "replaced", "stale".
     counts: dict[str, int] = field(default_factory=dict)
+    # Folders of the records that loads have set aside.
+    bad: tuple[str, ...] = ()
 
     @property
     def folders(self) -> set[str]:
@@ -175,7 +177,7 @@ class KeyedTable:
 
     def _read_commit(self, name: str) -> State:
         found = read_json(f"{self.path}/_commits/{name}")
-        return State(**{**found, "deltas": tuple(found["deltas"])})
+        return State(**{**found, "deltas": tuple(found["deltas"]), "bad": tuple(found["bad"])})
 
     def create(self) -> State:
         """Create the table if absent; one that exists is left as it is."""
@@ -325,6 +327,7 @@ class KeyedTable:
         input_bytes: int | None = None,
         source: str | None = None,
         batch: int = -1,
+        bad: tuple[str, int] | None = None,
     ) -> State:
         """Upsert ``rows``: the columns of the table and ``_seq``, one row per key.
 
@@ -332,7 +335,8 @@ class KeyedTable:
         older than the one the table holds for its key is dropped.
         ``input_bytes``, the size of what ``rows`` are read from, decides
         between storing a delta and merging at once. With a column ``_copies`` the
-        counts of the state tell how many extract rows there were.
+        counts of the state tell how many extract rows there were. ``bad`` names the
+        folder of records set aside by the same load, and their number.
         """
         state = self.create()
         if source is not None and batch <= state.applied.get(source, -1):
@@ -341,6 +345,8 @@ class KeyedTable:
         rows = rows.select(*self.stored.fieldNames(), copies.cast("bigint").alias(COPIES))
         applied = state.applied if source is None else {**state.applied, source: batch}
         landed = replace(state, last_seq=max(state.last_seq, last_seq), applied=applied, counts={})
+        if bad is not None:
+            landed = replace(landed, counts={"bad": bad[1]}, bad=(*state.bad, bad[0]) if bad[1] else state.bad)
         if state.base is None:
             return self._first_base(landed, rows, input_bytes)
         if input_bytes is not None and self._is_large(landed, input_bytes):
@@ -373,7 +379,7 @@ class KeyedTable:
                 version=version,
                 deltas=(*state.deltas, name),
                 delta_bytes=state.delta_bytes + folder_bytes(path),
-                counts=counts,
+                counts={**state.counts, **counts},
             ),
             state,
         )
@@ -502,6 +508,10 @@ class KeyedTable:
         """The buckets that have a folder."""
         return sorted(int(name.split("=")[1]) for name in folder_names(path) if name.startswith(f"{SLOT}="))
 
+    def new_bad_folder(self) -> str:
+        """Name of a folder for records set aside."""
+        return self._new_name(self._next(self.create()), "bad")
+
     def _new_name(self, version: int, kind: str) -> str:
         return f"{self.spec.name}_{kind}_{version:012d}_{uuid.uuid4().hex[:8]}"
 

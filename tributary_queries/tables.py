@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tributary.operators.keys import duplicate_keys, null_keys
 from tributary.operators.upsert import last_wins
-from tributary.plans.load import create_tables, load
-from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, TableSpec
+from tributary.plans.load import QUARANTINE, create_tables, load, quarantined
+from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, TableSpec, registry
 from tributary.sources.export import csv_records, header_record, write_archives, write_listing
-from tributary.sources.extract import field_count
+from tributary.sources.extract import WRITE_OPTIONS, as_text, field_count
 from tributary.sources.tables import BUCKET_BYTES, COPIES, SEQUENCE, KeyedTable
 from tributary.storage import work_folder
 from tributary.streaming.incremental import follow
@@ -264,6 +264,30 @@ def load_differential_flow(spark, sf_dir):
     return create_tables(spark, root)["user_enrollments"].read()
 
 
+def load_quarantine(spark, sf_dir):
+    """A load of users with damaged records: all users, with the reason why some were set aside."""
+    rows = domain.users(spark, sf_dir)
+    damage = F.col("user_id") % 10
+    text = as_text(rows).withColumns(
+        {
+            "is_active": F.when(damage == 5, "maybe").otherwise(F.col("is_active").cast("string")),
+            "user_id": F.when(damage != 7, F.col("user_id").cast("string")),
+        }
+    )
+    record = F.when(damage == 3, F.concat_ws(",", "user_id", "user_name", F.lit('"cut, short"')))
+    whole = F.to_csv(F.struct(*[text[c] for c in text.columns]), WRITE_OPTIONS)
+    landing, root = work_folder(spark, "users"), work_folder(spark, "tables")
+    write_archives(text.select(F.coalesce(record, whole).alias("record")), landing, text.columns)
+    data_sets = registry(spark).where(F.col("table") == "users")
+    (plugin,) = (r["plugin"] for r in data_sets.where(F.col("mode") == FULL).collect())
+    listing = work_folder(spark, "listing")
+    write_listing(spark.createDataFrame([("1", plugin, landing)], "page string, plugin string, link string"), listing, ITEMS)
+    load(spark, listing, ITEMS, root, FULL, data_sets, on_bad=QUARANTINE)
+    users = create_tables(spark, root)["users"]
+    bad = quarantined(users).select(F.split("record", ",")[1].alias("user_name"), "reason")
+    return users.read("user_name").withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+
+
 # --- catalog
 
 
@@ -319,6 +343,7 @@ QUERIES = {
     "incremental_upsert": incremental_upsert,
     "load_full_flow": load_full_flow,
     "load_differential_flow": load_differential_flow,
+    "load_quarantine": load_quarantine,
 }
 
 
@@ -339,6 +364,10 @@ _LAST_EVENT = """
     SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id, event_type"""
 
 SQL = {
+    "load_quarantine": """
+        SELECT c_name AS user_name, CASE c_custkey % 10 WHEN 3 THEN 'fewer than 11 fields' WHEN 5 THEN 'column is_active: not a boolean'
+                                         WHEN 7 THEN 'NULL in key column user_id' END AS reason
+        FROM customer""",
     # The key columns and widths of the five tables.
     "schema_catalog": _counts_sql(
         {
