@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 TILE = (1024, 2048)
 #: Relative slack that covers the rounding of sums of squares in double.
 SLACK = 1e-9
+#: More than what squares lose that are too small for a double.
+TINY = 1e-290
 #: Tasks for the tiles; a task takes several tiles, one after another, beyond that.
 MOST_TASKS = 20_000
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -27,17 +29,23 @@ def usable(vector: Column) -> Column:
 
 
 class Codes:
-    """Vectors, their int8 codes, and what bounds the error of the codes."""
+    """Vectors, their int8 codes, and what bounds the error of the codes.
+
+    All numbers are in units of a power of two of the row's own, ``unit``, so that
+    no square of a component, however large or small, leaves the range of a double.
+    """
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors.astype(np.float64)
-        scale = np.abs(self.vectors).max(1) / 127
-        self.scale = np.maximum(scale, np.finfo(float).tiny)
-        self.codes = np.rint(self.vectors / self.scale[:, None]).astype(np.int8)
+        top = np.abs(self.vectors).max(1)
+        self.unit = np.ldexp(1.0, np.maximum(np.frexp(top)[1] - 1, -1000))
+        own = self.vectors / self.unit[:, None]
+        self.scale = np.maximum(np.abs(own).max(1) / 127, np.finfo(float).tiny)
+        self.codes = np.rint(own / self.scale[:, None]).astype(np.int8)
         near = self.codes * self.scale[:, None]
-        self.lost = np.linalg.norm(self.vectors - near, axis=1)
+        self.lost = np.linalg.norm(own - near, axis=1)
         self.near_norm = np.linalg.norm(near, axis=1)
-        self.norm = np.linalg.norm(self.vectors, axis=1)
+        self.norm = np.linalg.norm(own, axis=1)
 
     def part(self, start: int, end: int) -> Codes:
         part = object.__new__(Codes)
@@ -52,26 +60,41 @@ def products(one: Codes, other: Codes) -> np.ndarray:
     return one.codes.astype(kind) @ other.codes.astype(kind).T
 
 
-def bounds(one: Codes, other: Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Least and largest squared distances that the codes allow.
+def bounds(one: Codes, other: Codes) -> tuple[np.ndarray, np.ndarray, float]:
+    """Least and largest squared distances that the codes allow, and the unit of the distances.
 
     With x = near + lost for both vectors, the product of the vectors differs
-    from that of the codes by at most ``near * lost' + lost * norm'``.
+    from that of the codes by at most ``near * lost' + lost * norm'``. The unit is
+    the largest of the rows' own; what vanishes beside it is covered by ``TINY``.
     """
-    dot = products(one, other) * np.outer(one.scale, other.scale)
-    error = np.outer(one.near_norm, other.lost) + np.outer(one.lost, other.norm)
-    squares = (one.norm**2)[:, None] + (other.norm**2)[None]
-    error = 2 * error + SLACK * squares
-    return squares - 2 * dot - error, squares - 2 * dot + error
+    unit = float(max(one.unit.max(), other.unit.max()))
+    mine, theirs = one.unit / unit, other.unit / unit
+    dot = products(one, other) * np.outer(one.scale * mine, other.scale * theirs)
+    error = np.outer(one.near_norm * mine, other.lost * theirs) + np.outer(one.lost * mine, other.norm * theirs)
+    squares = ((one.norm * mine) ** 2)[:, None] + ((other.norm * theirs) ** 2)[None]
+    error = 2 * error + SLACK * squares + TINY
+    return squares - 2 * dot - error, squares - 2 * dot + error, unit
 
 
 def distances(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Euclidean distances of rows, components summed in order."""
+    """Euclidean distances of rows, components summed in order.
+
+    Where squares leave the range of a double they are taken in units of a power
+    of two, which changes no digit of the others.
+    """
     total = np.zeros(len(one))
-    for axis in range(one.shape[1]):
-        gap = one[:, axis] - other[:, axis]
-        total += gap * gap
-    return np.sqrt(total)
+    with np.errstate(over="ignore", under="ignore"):
+        for axis in range(one.shape[1]):
+            gap = one[:, axis] - other[:, axis]
+            total += gap * gap
+        far = ~((total > 1e-280) & (total < np.inf)) & (one != other).any(1)
+        found = np.sqrt(total)
+        if far.any():
+            # Halves first, as the difference of two finite numbers may not be finite.
+            gaps = one[far] / 2 - other[far] / 2
+            unit = np.ldexp(1.0, np.clip(np.frexp(np.abs(gaps).max(1))[1], -1000, 1000))
+            found[far] = np.sqrt(((gaps / unit[:, None]) ** 2).sum(1)) * unit * 2
+    return found
 
 
 class Nearest:
@@ -103,14 +126,15 @@ def search_tile(queries: Codes, query_ids: np.ndarray, rows: Codes, row_ids: np.
     for start in range(0, len(query_ids), TILE[0]):
         end = min(start + TILE[0], len(query_ids))
         asked, ids = queries.part(start, end), query_ids[start:end]
-        least, most = bounds(asked, rows)
+        least, most, unit = bounds(asked, rows)
         own = ids[:, None] == row_ids[None]
         most[own] = np.inf
         worst = [best.worst(int(q)) for q in ids]
-        limit = np.array([w[0] for w in worst]) ** 2 * (1 + SLACK)
+        with np.errstate(over="ignore"):
+            limit = (np.array([w[0] for w in worst]) / unit) ** 2 * (1 + SLACK) + TINY
         if most.shape[1] >= best.k:
             limit = np.minimum(limit, np.partition(most, best.k - 1, axis=1)[:, best.k - 1])
-        at, to = np.nonzero((least <= limit[:, None]) & ~own)
+        at, to = np.nonzero(~(least > limit[:, None]) & ~own)
         for piece in range(0, len(at), 1 << 18):
             a, t = at[piece : piece + (1 << 18)], to[piece : piece + (1 << 18)]
             scores = distances(asked.vectors[a], rows.vectors[t])
