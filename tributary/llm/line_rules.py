@@ -87,13 +87,15 @@ def line_rules(
     repeat_percent: int = 50,
     line_docs: int = 20,
     line_share: float = 0.05,
+    many_docs: int = 1000,
     least_left: float = 0.5,
 ) -> DataFrame:
     """Counts and verdict of every row of ``docs`` (``doc_id, text, source``).
 
-    A line is common if more than ``line_docs`` documents of its host (its
-    ``source``; a null is a host of its own), and more than the share
-    ``line_share`` of them, hold it; case, digits and spacing don't matter. Each
+    A line is common if more than ``many_docs`` documents of its host (its
+    ``source``; a null is a host of its own) hold it, or more than the share
+    ``line_share`` of them, though at least ``line_docs`` and one; so the limit
+    does not grow with a large host. Case, digits and spacing don't matter. Each
     row is a document. Common lines are removed: ``removed_lines`` has their
     numbers in the text, counted from 0 over what line feeds part, and
     ``without_lines`` cuts them out. A document is depleted, and not
@@ -110,7 +112,7 @@ def line_rules(
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs)
     hosts = rows.groupBy("host").agg(F.count("*").alias("of"))
     common = counts.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
-    common = common.where(F.col("docs") > F.col("of") * line_share).select("c.host", "c.line")
+    common = common.where((F.col("docs") > many_docs) | (F.col("docs") > F.col("of") * line_share)).select("c.host", "c.line")
     on = F.col("l.host").eqNullSafe(F.col("c.host")) & (F.col("l.line") == F.col("c.line"))
     removed = lines.alias("l").join(common.alias("c"), on).groupBy("row")
     numbers = F.array_sort(F.flatten(F.collect_list("at")))

@@ -102,7 +102,7 @@ WITH texts AS (
 ), common AS (
     SELECT c.source, c.line FROM (SELECT source, line, count(*) AS docs FROM kept_lines GROUP BY ALL) c
     JOIN (SELECT source, count(*) AS n FROM documents GROUP BY ALL) h ON c.source IS NOT DISTINCT FROM h.source
-    WHERE c.docs > 20 AND c.docs > h.n * 0.05
+    WHERE c.docs > 20 AND (c.docs > 1000 OR c.docs > h.n * 0.05)
 ), removed AS (
     SELECT l.doc_id, sum(l.words) AS n FROM kept_lines l
     JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line GROUP BY l.doc_id
