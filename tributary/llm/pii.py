@@ -20,6 +20,8 @@ IBAN = (
     r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"
     r"(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 )
+#: A run that may be a key or token; what parts words ends it.
+SECRET = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+"
 IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 IP_VALID = rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"
 #: Code points before and after a span in which context words count.
@@ -65,6 +67,14 @@ def phone_length(match: Column) -> Column:
     return F.length(digits(match)).between(8, 15)
 
 
+def mixed_enough(match: Column) -> Column:
+    """Whether letters, digits and many different characters make a run a likely secret."""
+    digits_in = F.length(F.regexp_replace(match, "[^0-9]", ""))
+    letters_in = F.length(F.regexp_replace(match, "[^A-Za-z]", ""))
+    different = F.size(F.array_distinct(F.split(match, "")))
+    return (F.length(match) <= 512) & (digits_in >= 4) & (letters_in >= 4) & (different >= 10)
+
+
 def always(match: Column) -> Column:
     return F.lit(True)
 
@@ -96,6 +106,8 @@ KINDS = (
     Kind("card", CARD, "[0-9]", luhn, True, 0.7, "card|visa|mastercard|credit|debit|payment|paid"),
     Kind("phone", PHONE, r"\+[0-9]", phone_length, True, 0.5, r"phone|tel\b|call|mobile|fax|whatsapp|number"),
     Kind("iban", IBAN, "[A-Z]{2}[0-9]{2}", mod_97, False, 0.7, "iban|account|bank|transfer|bic|swift"),
+    # Such runs are also names of files and commits: only a word beside one makes it a secret.
+    Kind("secret", SECRET, "[A-Za-z0-9_-]{20}", mixed_enough, False, 0.3, r"token|secret|api[ _-]?key|access[ _-]?key|passw|bearer|credential", raised=0.3),
 )
 SPAN = "array<struct<kind:int,start:int,end:int,score:double,text:string>>"
 
