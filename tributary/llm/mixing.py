@@ -140,16 +140,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3)
     share the words of all documents; a target stops at ``most`` times its
     source's words. Returns ``doc_id, source, size, source_size, target, taken``
     (words, copies counted), ``copies`` and ``rate``. The choice among documents
-    of a source and size goes by a hash of the id, so runs agree; of rows that
-    repeat an id each counts, and which of them is taken makes no difference.
+    of a source and size goes by a hash of id and text, so runs agree; of rows that
+    repeat both each counts, and which of them is taken makes no difference.
     Null and empty texts have size 0 and take nothing; other columns are not read.
 
     The Newton rounds run over counts by source and size. Documents of one source
     and size are chosen in groups by hash, so that no group, however large, has
     to be sorted by one task.
     """
-    rows = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
-    rows = stored(rows.withColumn("key", source_key(F.col("source"))).withColumn("dice", F.xxhash64("doc_id")), "sizes")
+    dice = F.xxhash64(F.col("doc_id"), F.col("text").cast("string")).alias("dice")
+    rows = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), dice)
+    rows = stored(rows.withColumn("key", source_key(F.col("source"))), "sizes")
     cells = stored(rows.groupBy("key", "size").agg(F.count("*").alias("n")), "cells")
     sources = rows.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
     goals = stored(targets(sources, weights, most), "goals")
@@ -172,7 +173,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3)
 
 
 def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it, its columns unchanged."""
+    """``docs`` with each row as often as the mix takes it, its columns unchanged.
+
+    Rows that share id, source and size get their copies in the order of a hash
+    of all their values, so reruns agree.
+    """
     taken = [f"_{name}" for name in ("size", "nth", "copies", "id", "source")]
     while set(taken) & set(docs.columns):
         taken = [f"_{name}" for name in taken]
@@ -180,7 +185,7 @@ def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int =
     plan = mix(docs, weights, most).select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(copies))
     plan = plan.withColumn(nth, F.row_number().over(Window.partitionBy(id_, source, size).orderBy(copies)))
     rows = docs.withColumn(size, n_words(F.col("text")))
-    rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy(F.lit(0))))
+    rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64(*docs.columns))))
     on = rows.doc_id.eqNullSafe(plan[id_]) & rows.source.eqNullSafe(plan[source]) & (rows[size] == plan[size]) & (rows[nth] == plan[nth])
     both = rows.join(plan, on).withColumn(copies, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int"))))
     return both.select(*(rows[c] for c in docs.columns))

@@ -213,9 +213,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
 def one_of_each(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its near-duplicate group.
 
-    Of rows that repeat such an id one stays. Rows without an id stay.
+    Of rows that share such an id the one with the least hash of its values stays,
+    so reruns agree; of rows that are the same in all columns any. Rows without an
+    id stay. What stays is decided on ids, hashes and row numbers; texts move once.
     """
     groups = near_duplicates(docs, shingle_words, max_bits)
     kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    row, mark = "_row", "_mark"
+    while {row, mark} & set(docs.columns):
+        row, mark = f"_{row}", f"_{mark}"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    narrow = numbered.select("doc_id", F.xxhash64(*docs.columns).alias(mark), row).join(kept, "doc_id", "left_semi")
+    chosen = narrow.groupBy("doc_id").agg(F.min(F.struct(mark, row)).alias("least"))
+    chosen = stored(chosen.select(F.col(f"least.{row}").alias(row)), "chosen")
+    named = numbered.join(chosen, row, "left_semi").drop(row)
     return named.unionByName(docs.where("doc_id IS NULL"))
