@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import langid, line_rules, mixing, neighbours, packing, pii, repeats, simhash, toxicity
 from tributary.llm.components import components
+from tributary.llm.queries import SQL
 
 DOCS = "doc_id bigint, text string"
 #: Columns whose names clash with what the operators return or use inside.
@@ -549,3 +551,101 @@ def test_pii_account_numbers_context_and_redaction(spark):
     rows = {r.doc_id: r for r in clean.collect()}
     assert rows[0].text == "IBAN <iban> now" and rows[4].text == "phone <phone> or <email>" and rows[5].text is None
     assert rows[0].n_chars == len(rows[0].text)
+
+
+# --- hot hosts and depleted documents, extreme vectors, secrets
+
+
+def test_quality_rules_against_their_sql_where_lines_go(spark):
+    """Small and large hosts: shares with their floor, the absolute limit, documents depleted by either."""
+    rnd = random.Random(4)
+    rows = []
+    for host, docs, boiler in (("small", 40, 30), ("tiny", 20, 20), ("large", 24_000, 1_100), (None, 30, 25), ("middle", 2_000, 100)):
+        for i in range(docs):
+            own = " ".join(f"{host}{i}x{j}" for j in range(rnd.choice([60, 60, 150]) if docs < 10_000 else 55))
+            shared = "\n".join("All rights " + f"reserved {k} " * 12 + f"part {'ABCD'[k % 4]}" for k in range(6))
+            rows.append((len(rows), f"{own}\n{shared}" if i < boiler else own, host))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(8)
+    base = duckdb.connect()
+    base.register("documents", docs.toPandas())
+    wanted = base.execute(SQL["op7_quality_rules"])
+    columns = [c[0] for c in wanted.description]
+    wanted = Counter(map(str, wanted.fetchall()))
+    found = line_rules.line_rules(docs).drop("removed_lines").select(*columns)
+    assert Counter(str(tuple(r)) for r in found.collect()) == wanted
+    depleted = found.where("NOT kept AND NOT base_failed").join(docs, "doc_id").groupBy("source").count().collect()
+    assert {r["source"] for r in depleted} >= {"small", "large", None} and "tiny" not in {r["source"] for r in depleted}
+
+
+@pytest.mark.parametrize("sizes", [(1e160,), (1e-200,), (1e160, 1.0), (1e300, 1e-300, 1.0), (1e-310, 1e-5), (1.0,)])
+def test_neighbours_of_any_finite_size(spark, sizes):
+    rnd = np.random.default_rng(5)
+    rows = [(i, (rnd.normal(size=6) * sizes[i % len(sizes)]).tolist()) for i in range(60)]
+    rows += [(100, rows[0][1]), (101, [-x for x in rows[0][1]])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = defaultdict(list)
+    for r in neighbours.nearest(frame.where("vec_id % 7 = 0"), frame, k=5).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    vectors = dict(rows)
+    assert sorted(found) == [i for i in vectors if i % 7 == 0]
+    for query, hits in found.items():
+        exact = {i: math.dist(v, vectors[query]) for i, v in vectors.items() if i != query}
+        wanted = sorted(exact.values())[:5]
+        assert len(hits) == 5
+        for (rank, vec_id, score), near in zip(sorted(hits), wanted, strict=True):
+            assert score == pytest.approx(near, rel=1e-12) and exact[vec_id] == pytest.approx(near, rel=1e-12), (query, rank)
+
+
+def test_distances_of_ordinary_vectors_keep_every_digit():
+    rnd = np.random.default_rng(6)
+    one, other = rnd.normal(size=(500, 64)).astype(np.float32).astype(float), rnd.normal(size=(500, 64))
+    plain = []
+    for x, y in zip(one.tolist(), other.tolist(), strict=True):
+        total = 0.0
+        for a, b in zip(x, y, strict=True):
+            total += (a - b) * (a - b)
+        plain.append(math.sqrt(total))
+    assert neighbours.distances(one, other).tolist() == plain
+
+
+def plain_secrets(text):
+    for m in re.finditer(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}", text):
+        run = m[0]
+        near = (text[max(0, m.start() - 60) : m.start()] + " " + text[m.end() : m.end() + 60]).lower()
+        mixed = len(run) <= 512 and sum(c.isdigit() for c in run) >= 4 and sum(c.isalpha() for c in run) >= 4 and len(set(run)) >= 10
+        score = 0.3 + 0.3 * bool(re.search("token|secret|api[ _-]?key|access[ _-]?key|passw|bearer|credential", near))
+        score -= 0.2 * bool(re.search("example|sample|test|dummy", near))
+        if mixed and score >= 0.5 - 1e-9:
+            yield f"secret:{m.start()}:{m.end()}"
+
+
+def test_secrets_need_form_and_context(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [
+        f'é token = "{key}" end', f"commit {key}", f"a test token {key}", f"password: {'a' * 30}1234", "api_key=AbCdEf0123456789-_xyZ", None, "",
+        f"{key} " + "word " * 40 + f"secret {key}", f"token {key}{key}" + "x" * 600, "bearer " + "1234567890" * 3, f"tokens {key[:19]} and {key[:20]}",
+        f"{key}-{key} credential",
+    ]
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    texts += [r.text for r in given]
+    found = {r.doc_id: r for r in pii.find(docs_of(spark, texts)).collect()}
+    wanted = {i: list(plain_secrets(t or "")) for i, t in enumerate(texts)}
+    assert {i: [x for x in r.spans.split(",") if x.startswith("secret")] for i, r in found.items()} == wanted
+    assert [len(wanted[i]) for i in range(12)] == [1, 0, 0, 0, 1, 0, 0, 1, 0, 0, 1, 1] and sum(map(len, wanted.values())) > 15
+    out = {r.doc_id: r.text for r in pii.redact(docs_of(spark, texts[:2])).collect()}
+    assert out[0] == 'é token = "<secret>" end' and out[1] == texts[1]
+
+
+def test_reruns_agree_where_rows_share_an_id(spark):
+    """Equal ids, different texts: which row stays, or gets the copies, is not left to chance."""
+    rnd = random.Random(9)
+    rows = [(i % 7 if i % 3 else None, words(rnd, 20), f"s{i % 2}") for i in range(200)]
+    rows += [(3, rows[5][1], "s0"), (3, rows[5][1], "s0")]
+    def once(seed, stage):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(1 + seed)
+        return Counter(tuple(r) for r in stage(docs).collect())
+
+    for stage in (simhash.one_of_each, mixing.repeat):
+        first = once(0, stage)
+        assert first and once(1, stage) == first and once(4, stage) == first

@@ -1,4 +1,9 @@
-"""Removal of long repeated byte strings by a run-length index of aligned contexts."""
+"""Removal of long repeated byte strings by an index of aligned contexts.
+
+The index follows the runs of the positional Burrows-Wheeler transform: common
+lengths grow inside runs and are sampled where runs end. Letters and order are
+held uncompressed, for one group of contexts at a time; nothing of it is stored.
+"""
 
 from __future__ import annotations
 
@@ -295,7 +300,7 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     return found.mapInArrow(covered, MARKS)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, group_rows: int = 32768) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, group_rows: int = 4096) -> DataFrame:
     """Every row of ``docs`` without the bytes of strings that start elsewhere too.
 
     A byte goes if a string of ``length`` bytes over it, within the UTF-8 bytes of
