@@ -8,6 +8,7 @@ from tests.helpers import plan, put_extract, put_pages, put_zip, settings, unpac
 from tributary.plans.load import create_tables, load, quarantined, register_views
 from tributary.plans.reports import enrollment_report, grade_report, preview
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES
+from tributary.sources.archive import archive_paths, batch_records, read_blocks, unpack
 from tributary.sources.extract import scan_records, split_rows
 
 EXTRACTS = {
@@ -211,3 +212,30 @@ def test_a_failure_on_one_table_leaves_all_as_they_were(spark, tmp_path):
     assert after["org_units"].read().count() == 2
     run(spark, tmp_path, {"org_units": bad["org_units"]}, name="good")
     assert after["org_units"].read().count() == 3
+
+
+def test_duplicates_are_judged_by_batches_of_lines(spark, tmp_path):
+    """As the publisher's loader does: an error within 10,000 lines, the last one across."""
+    def users(first, second):
+        lines = [f"{100 + i},u{i},,,,,,,,,\n" for i in range(20_500)]
+        lines[first], lines[second] = "1,first,,,,,,,,,\n", '1,"last\nof two lines",,,,,,,,,\n'
+        return {"users": "".join(lines)}
+
+    t = run(spark, tmp_path, users(9_999, 10_000), on_duplicate="batch")["users"]
+    assert rows(t.read().where("user_id = 1").select("user_name")) == [("last\nof two lines",)]
+    with pytest.raises(Exception, match="key occurs twice in an extract: 1"):
+        run(spark, tmp_path, users(0, 9_999), name="same", on_duplicate="batch")
+    # A record of two lines moves all that follow by one.
+    early = users(10_000, 5)["users"].replace("u10001,", "u,", 1)
+    t = run(spark, tmp_path, {"users": early.replace("100,u0,", '100,"u\n0",', 1)}, name="moved", on_duplicate="batch")["users"]
+    assert t.state().counts["read"] == 20_500 and rows(t.read().where("user_id = 1").select("user_name")) == [("first",)]
+
+
+def test_batches_count_the_lines_of_all_parts_before(spark, tmp_path):
+    put_extract(f"{tmp_path}/in/a.zip", "1\n2\n" + '"3\n\n"\n' + "4\n")
+    put_extract(f"{tmp_path}/in/b.zip", "5\n6\n")
+    files = archive_paths(spark, f"{tmp_path}/in").orderBy("path").collect()
+    listed = [(7, n, f["path"], f["length"]) for n, f in enumerate(files)]
+    archives = spark.createDataFrame(listed, "seq bigint, part bigint, path string, length bigint")
+    found = batch_records(read_blocks(spark, unpack(archives)), 3).orderBy("part", "row").collect()
+    assert [(r.record, *r.batch) for r in found] == [("1", 7, 0), ("2", 7, 0), ('"3\n\n"', 7, 0), ("4", 7, 1), ("5", 7, 2), ("6", 7, 2)]

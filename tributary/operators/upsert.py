@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 LAST = "last"
 ERROR = "error"
+BATCH = "batch"
 
 
 def last_wins(

@@ -9,27 +9,40 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.upsert import LAST, last_wins
+from tributary.operators.upsert import BATCH, ERROR, LAST, last_wins
 from tributary.schemas import FULL, TABLES, TableSpec, registry
-from tributary.sources.archive import archive_paths, read_blocks, records, unpack
+from tributary.sources.archive import archive_paths, batch_records, read_blocks, records, unpack
 from tributary.sources.extract import BAD, bad_records, keyed_rows, scan_records, split_rows
 from tributary.sources.listing import pages_in_order, read_listing, read_pages, resolve_links, select_data_sets
 from tributary.sources.tables import COPIES, SEQUENCE, KeyedTable, State, one_step
 from tributary.storage import remove_folder
 
+# Fixed value: the lines that the publisher's loader takes in one transaction.
+BATCH_LINES = 10_000
+
 FAIL = "fail"
 QUARANTINE = "quarantine"
 
 
+def extract_records(blocks: DataFrame, on_duplicate: str, batch_lines: int = BATCH_LINES) -> DataFrame:
+    """Records of unpacked extracts, with their batch where duplicates are judged by it."""
+    return batch_records(blocks, batch_lines) if on_duplicate == BATCH else records(blocks)
+
+
 def extract_rows(blocks: DataFrame, spec: TableSpec, on_duplicate: str = LAST) -> DataFrame:
     """Typed rows of unpacked extracts, one per key, with ``_seq`` and the number of its rows."""
-    return unique_rows(keyed_rows(scan_records(records(blocks), spec.schema), spec), spec, on_duplicate)
+    return unique_rows(keyed_rows(scan_records(extract_records(blocks, on_duplicate), spec.schema), spec), spec, on_duplicate)
 
 
 def unique_rows(rows: DataFrame, spec: TableSpec, on_duplicate: str = LAST) -> DataFrame:
-    """One of the typed rows per key, by their position."""
-    unique = last_wins(rows, list(spec.keys), ["seq", "part", "row"], on_duplicate, "seq", COPIES)
-    return unique.withColumnRenamed("seq", SEQUENCE).drop("part", "row")
+    """One of the typed rows per key, by their position.
+
+    ``last``: the last one. ``error``: a key may occur once in an extract. ``batch``:
+    once in each 10,000 physical lines of it, and the last batch wins.
+    """
+    rule, once_in = (ERROR, "batch") if on_duplicate == BATCH else (on_duplicate, "seq")
+    unique = last_wins(rows, list(spec.keys), ["seq", "part", "row"], rule, once_in, COPIES)
+    return unique.withColumnRenamed("seq", SEQUENCE).select(*spec.columns, SEQUENCE, COPIES)
 
 
 def create_tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
@@ -119,7 +132,8 @@ def load(
         aside = table.new_bad_folder()
         path = f"{table.path}/{aside}"
         try:
-            sound, _, number = split_rows(scan_records(records(blocks), spec.schema), spec, path)
+            raw = scan_records(extract_records(blocks, on_duplicate), spec.schema)
+            sound, _, number = split_rows(raw, spec, path)
             state = table.land(unique_rows(sound, spec, on_duplicate), seq, seq, size, bad=(aside, number))
         except BaseException:
             remove_folder(path)

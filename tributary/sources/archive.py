@@ -6,9 +6,11 @@ import io
 import zipfile
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.sources.records import RECORD_END, record_blocks
 from tributary.storage import resolve, work_folder
@@ -127,3 +129,42 @@ def records(blocks: DataFrame) -> DataFrame:
         .where(F.col("pos") < F.col("row_count"))
         .select("seq", "part", (F.col("first_row") + F.col("pos")).alias("row"), "record")
     )
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def first_lines(bodies: pa.Array) -> pa.Array:
+    """Of each record of a block the line of the block that it begins in, and the block's lines at the end."""
+    found = []
+    for body in bodies:
+        text = np.frombuffer(body.as_py().encode(), np.uint8)
+        ends = np.flatnonzero(text == 0)
+        inside = np.searchsorted(np.flatnonzero(text == ord("\n")), ends)  # newlines before a record's end
+        found.append(np.append(0, inside + np.arange(1, len(ends) + 1)).astype(np.int32))
+    return pa.array(found, pa.list_(pa.int32()))
+
+
+def batch_records(blocks: DataFrame, lines: int) -> DataFrame:
+    """Records with ``batch``: their extract and which ``lines`` physical lines of it they begin in.
+
+    A record with quoted newlines takes as many lines as it has. Lines are summed
+    by block, and by part of an extract, on rows without text; a running sum over
+    these gives each block the lines before it.
+    """
+    lined = blocks.withColumn("begins", first_lines("body"))
+    narrow = lined.select("seq", "part", "first_row", F.element_at("begins", -1).cast("bigint").alias("lines"))
+    parts = narrow.groupBy("seq", "part").agg(F.sum("lines").alias("lines"))
+
+    def before(*order: str) -> Column:
+        window = Window.partitionBy("seq", *order[:-1]).orderBy(order[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("lines").over(window), F.lit(0))
+
+    parts = parts.select("seq", "part", before("part").alias("of_parts"))
+    offsets = narrow.select("seq", "part", "first_row", before("part", "first_row").alias("of_blocks")).join(parts, ["seq", "part"])
+    offsets = offsets.select("seq", "part", "first_row", (F.col("of_parts") + F.col("of_blocks")).alias("before"))
+    placed = lined.join(offsets, ["seq", "part", "first_row"])
+    pieces = F.posexplode(F.arrays_zip(F.split("body", RECORD_END).alias("record"), F.col("begins").alias("line"))).alias("pos", "r")
+    rows = placed.select("seq", "part", "first_row", "row_count", "before", pieces).where(F.col("pos") < F.col("row_count"))
+    number = F.floor((F.col("before") + F.col("r.line")) / lines).cast("bigint")
+    return rows.select(
+        "seq", "part", (F.col("first_row") + F.col("pos")).alias("row"), "r.record", F.struct("seq", number.alias("number")).alias("batch")
+    )

@@ -15,6 +15,7 @@ from tributary.sources.ranges import SPLIT_BYTES, unpack_ranges
 MALFORMED = "_malformed"
 RECORD = "_record"
 REASON = "_reason"
+POSITION = ("seq", "part", "row", "batch")
 BAD = "_bad"
 
 # Comma, double quote doubled inside quotes, no escape character, newlines
@@ -72,15 +73,13 @@ def within_width(record: Column, width: int) -> Column:
 
 
 def scan_records(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """The same text columns from unpacked records, with position and raw text."""
+    """The same text columns from unpacked records, with position (and batch) and raw text."""
     kept = within_width(F.col("record"), len(schema.fields))
     fields = F.from_csv(kept, text_schema(schema).simpleString(), READ_OPTIONS)
     # An empty record has no fields; the parser gives no row for it.
     malformed = F.when(F.col("record") == "", F.col("record")).otherwise(F.col(f"fields.{MALFORMED}"))
     return records.withColumn("fields", fields).select(
-        "seq",
-        "part",
-        "row",
+        *[c for c in POSITION if c in records.columns],
         *[F.col("fields").getField(n).alias(n) for n in schema.fieldNames()],
         malformed.alias(MALFORMED),
         F.col("record").alias(RECORD),

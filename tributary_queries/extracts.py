@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.casts import cast_text
 from tributary.schemas import BOOL, DIFFERENTIAL, FULL, NUMBER, WHEN, TableSpec
-from tributary.sources.archive import archive_paths, read_blocks, records, unpack
+from tributary.sources.archive import archive_paths, batch_records, read_blocks, records, unpack
 from tributary.sources.export import csv_records, write_archives, write_listing
 from tributary.sources.extract import scan_csv, scan_records, short_rows, typed_rows, write_csv
 from tributary.sources.listing import pages_in_order, read_listing, read_pages, resolve_links, select_data_sets
@@ -110,6 +110,20 @@ def archive_extract(spark, sf_dir):
     return found.withColumn("c_mktsegment", F.sha2("c_mktsegment", 256))
 
 
+def batch_numbers(spark, sf_dir):
+    """Events in archives that are one extract, some with quoted newlines, numbered by batches of 700 lines."""
+    events = given(spark, sf_dir, "events").select("event_id", "event_type")
+    number = archive_number(events)
+    lines = F.repeat(F.lit("and\n"), (F.col("event_id") % 3).cast("int"))
+    rows = events.withColumn("event_type", F.concat("event_type", lines))
+    landing = work_folder(spark, "landing")
+    write_archives(csv_records(rows.repartitionByRange(number, "event_id").sortWithinPartitions("event_id")), landing, rows.columns)
+    part = F.row_number().over(Window.orderBy("path")).cast("bigint")  # few archives
+    archives = archive_paths(spark, landing).select(F.lit(1).cast("bigint").alias("seq"), part.alias("part"), "path", "length")
+    records = batch_records(read_blocks(spark, unpack(archives)), 700)
+    return records.select(F.split("record", ",")[0].cast("bigint").alias("event_id"), F.col("batch.number").alias("batch"))
+
+
 def csv_scan_typed(spark, sf_dir):
     orders = given(spark, sf_dir, "orders")
     path, schema = work_folder(spark, "csv"), extract_schema(orders)
@@ -249,6 +263,7 @@ QUERIES = {
     "dataset_select_full": dataset_select_full,
     "dataset_select_diff": dataset_select_diff,
     "archive_extract": archive_extract,
+    "batch_numbers": batch_numbers,
     "csv_scan_typed": csv_scan_typed,
     "csv_multiline_quotes": csv_multiline_quotes,
     "csv_scan_ranges": csv_scan_ranges,
@@ -286,6 +301,8 @@ SQL = {
         SELECT * REPLACE (sha256(CASE WHEN c_custkey % 50 = 0 THEN '5" ' || repeat(c_mktsegment, 20000)
                                       ELSE c_mktsegment END) AS c_mktsegment)
         FROM customer""",
+    "batch_numbers": """
+        SELECT event_id, CAST((SUM(1 + event_id % 3) OVER (ORDER BY event_id) - 1 - event_id % 3) // 700 AS BIGINT) AS batch FROM events""",
     "csv_scan_typed": "SELECT * FROM orders",
     "csv_multiline_quotes": """
         SELECT 'document' AS kind, doc_id AS id, text FROM documents
