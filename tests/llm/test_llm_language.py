@@ -115,7 +115,7 @@ def test_boundaries_of_any_two_cuts(seed):
     if seed % 3 == 0:  # long stretches of one to one
         sides[1] = sorted({*sides[0], *rnd.sample(sides[0], 1)} - set(rnd.sample(sides[0][:-1], min(2, len(sides[0]) - 1))))
     common = sorted(set(sides[0]) & set(sides[1]))
-    cuts = alignment.boundaries(*sides)
+    cuts = alignment.boundaries(*map(np.array, sides))
     assert [c.tolist() for c in cuts] == [[side.index(e) + 1 for e in common] for side in sides]
 
 

@@ -23,6 +23,8 @@ from tributary.llm.packing import byte_letters
 LINKS = 1 << 20
 #: Distinct links of documents that are held until their block is closed.
 BLOCK_LINKS = 4 << 20
+#: Ends that are compared first where a stretch may begin.
+PROBE = 8
 #: What marks the start of a word in a piece.
 BLANK = "▁"
 
@@ -51,6 +53,9 @@ class BytePairs:
     def encode(self, text: str) -> np.ndarray:
         return self.coder.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
 
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        return self.coder.decode_bytes(ids.tolist())
+
 
 class Pieces:
     """Ids and bytes by a piece model, which puts the blank before the text itself."""
@@ -67,48 +72,51 @@ class Pieces:
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.coder.encode(text, num_threads=1), np.int64)
 
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        return b"".join([self.tokens[i] for i in ids.tolist()])
+
 
-def boundaries(a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def boundaries(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of either side up to every byte offset where tokens of both end.
 
     Along a diagonal, where one token stands against one, the arrays of ends are
-    equal at the same shift: slices of doubled length are compared until they
+    equal at the same shift: pieces of doubled length are compared until they
     differ, the last one is halved to the place, and the stretch is skipped in
     one step. An irregular group is resolved token by token, which sets the next
     shift. Both sides end at the same byte.
     """
+    a, b = a_ends.tolist(), b_ends.tolist()
+    # Pieces of bytes are compared in one go; an end takes ``width`` of them.
+    kind = np.int32 if not a or a[-1] < 1 << 31 else np.int64
+    width, one, other = np.dtype(kind).itemsize, a_ends.astype(kind).tobytes(), b_ends.astype(kind).tobytes()
     i = j = 0
-    most = len(a_ends)
+    most = len(a)
     a_first, b_first, lengths = [], [], []  # boundaries follow one another in steps of one
     while i < most:
-        x, y = a_ends[i], b_ends[j]
+        x, y = a[i], b[j]
         while x != y:
             if x < y:
                 i += 1
-                x = a_ends[i]
+                x = a[i]
             else:
                 j += 1
-                y = b_ends[j]
+                y = b[j]
         i += 1
         j += 1
         a_first.append(i)
         b_first.append(j)
-        run, size = 0, 1
-        while i + run < most:
-            one, other = a_ends[i + run : i + run + size], b_ends[j + run : j + run + size]
-            if one == other:
-                run += len(one)
-                size *= 2
-                continue
-            while size > 1:
-                size //= 2
-                if one[:size] == other[:size]:
-                    run += size
-                    one, other = one[size:], other[size:]
-            break
-        i += run
-        j += run
-        lengths.append(run + 1)
+        p, q, size = i * width, j * width, PROBE * width
+        while p < len(one) and (piece := one[p : p + size]) == other[q : q + size]:
+            p += len(piece)
+            q += len(piece)
+            size *= 2
+        while size > width:
+            size //= 2
+            if (piece := one[p : p + size]) == other[q : q + size]:
+                p += len(piece)
+                q += len(piece)
+        lengths.append(p // width - i + 1)
+        i, j = p // width, q // width
     many = np.array(lengths, np.int64)
     step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
     return np.repeat(np.array(a_first, np.int64), many) + step, np.repeat(np.array(b_first, np.int64), many) + step
@@ -170,10 +178,9 @@ class Aligner:
             return None
         a, b = self.a.encode(text), self.b.encode(text)
         raw = (" " + text).encode()
-        for ids, tokens in ((a, self.a.tokens), (b, self.b.tokens)):
-            if b"".join([tokens[i] for i in ids.tolist()]) != raw:
-                return None
-        cuts = boundaries(np.cumsum(self.a.sizes[a]).tolist(), np.cumsum(self.b.sizes[b]).tolist())
+        if self.a.bytes_of(a) != raw or self.b.bytes_of(b) != raw:
+            return None
+        cuts = boundaries(np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b]))
         return Aligned(a, b, *cuts)
 
     def written(self, found: Aligned) -> str:
