@@ -201,7 +201,8 @@ def test_only_deltas_are_moved(spark, tmp_path, buckets):
     before = content(table)
     folded = table.fold()
     assert folded.buckets == buckets and content(table) == before and len(before) == 502
-    assert sum(len(parquet_files(f"{table.path}/{folder}")) for folder in folded.folders) <= buckets
+    new = [folder for folder in folded.folders if folder.startswith(folded.base)]
+    assert new and all(len(parquet_files(f"{table.path}/{folder}")) == 1 for folder in new)
 
 
 def parquet_files(folder):
