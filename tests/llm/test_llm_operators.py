@@ -177,8 +177,8 @@ def test_neighbours_against_plain(spark):
 def test_bounds_hold_the_distance():
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=(50, 64)) * 10 ** rng.uniform(-3, 3, (50, 1)), rng.normal(size=(70, 64))
-    least, most = neighbours.bounds(neighbours.Codes(a), neighbours.Codes(b))
-    squared = ((a[:, None] - b[None]) ** 2).sum(2)
+    least, most, unit = neighbours.bounds(neighbours.Codes(a), neighbours.Codes(b))
+    squared = ((a[:, None] - b[None]) ** 2).sum(2) / unit**2
     assert (least <= squared).all() and (squared <= most).all()
 
 
