@@ -214,17 +214,14 @@ def one_of_each(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> D
     """The rows of ``docs`` whose id is the smallest of its near-duplicate group.
 
     Of rows that share such an id the one with the least hash of its values stays,
-    so reruns agree; of rows that are the same in all columns any. Rows without an
-    id stay. What stays is decided on ids, hashes and row numbers; texts move once.
+    the least values if hashes are equal, so reruns agree. Rows without an id stay.
+    Rows that share an id meet as one per task before texts move.
     """
     groups = near_duplicates(docs, shingle_words, max_bits)
     kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    row, mark = "_row", "_mark"
-    while {row, mark} & set(docs.columns):
-        row, mark = f"_{row}", f"_{mark}"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    narrow = numbered.select("doc_id", F.xxhash64(*docs.columns).alias(mark), row).join(kept, "doc_id", "left_semi")
-    chosen = narrow.groupBy("doc_id").agg(F.min(F.struct(mark, row)).alias("least"))
-    chosen = stored(chosen.select(F.col(f"least.{row}").alias(row)), "chosen")
-    named = numbered.join(chosen, row, "left_semi").drop(row)
+    named = docs.join(kept, "doc_id", "left_semi")
+    rest = [c for c in docs.columns if c != "doc_id"]
+    row = F.struct(F.xxhash64(*rest).alias("mark"), F.struct(*rest).alias("rest"))
+    named = named.groupBy("doc_id").agg(F.min(row).alias("row"))
+    named = named.select("doc_id", *[F.col("row.rest").getField(c).alias(c) for c in rest]).select(*docs.columns)
     return named.unionByName(docs.where("doc_id IS NULL"))
