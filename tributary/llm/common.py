@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,6 +37,14 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system; its worker goes on to other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
 def training_side(doc_id: Column, remainder: int = 2, parts: int = 4) -> Column:
     """False for the rows that are held out: crc32 of the id as text mod ``parts``."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts != remainder, F.lit(False))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import stored
+from tributary.llm.common import give_back, stored
 
 #: Bytes of words and ids that a task remembers, beside as many from the time before.
 KNOWN_BYTES = 40 << 20
@@ -164,6 +164,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0) -> DataF
         finally:
             # The worker goes on to other tasks and stages.
             ids_of.forget()
+            give_back()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
