@@ -146,6 +146,14 @@ def test_grades_are_exact_for_every_denominator(spark):
     assert [r[0] for r in found] == wanted and len(fits) > 300
 
 
+def test_a_grade_divides_once(spark, tmp_path):
+    """Numerator, denominator and quotient stand once in the plan, so that none is computed again in a branch."""
+    spark.createDataFrame([("1", "8")], "n string, d string").write.parquet(f"{tmp_path}/pairs")
+    pairs = spark.read.parquet(f"{tmp_path}/pairs").select(F.col("n").cast(NUMBER).alias("n"), F.col("d").cast(NUMBER).alias("d"))
+    text = plan(pairs.select(grade(F.col("n"), F.col("d")).alias("grade")), "simple")
+    assert len(re.findall(r"\(n#\d+L? / d#\d+L?\)", text)) == 1
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("read", [lambda r: r.count(), lambda r: r.select("t").collect(), lambda r: r.collect()])
 @pytest.mark.parametrize("record,about", [("1,maybe,x", "not a boolean"), ("1,t", "fewer than 3 fields"), (",t,x", "NULL in key")])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -23,22 +24,38 @@ def zero_guarded(denominator: Column, value: Column) -> Column:
     return F.when(denominator == 0, F.lit(0)).otherwise(value)
 
 
+def once(made: Callable[[Column], Column], **values: Column) -> Column:
+    """What ``made`` makes of a struct of ``values``, each computed once however often it is named.
+
+    An expression inside a branch is otherwise computed anew wherever it is named,
+    with all that it consists of.
+    """
+    return F.transform(F.array(F.struct(*[v.alias(n) for n, v in values.items()])), made)[0]
+
+
 def below_half(numerator: Column, denominator: Column, halves: Column) -> Column:
-    """Whether ``numerator / denominator`` lies below ``halves / 200``, exactly.
+    """Whether ``numerator / denominator``, less its whole part, lies below ``halves / 200``, exactly.
 
-    Both are positive, the quotient is below 1, ``halves`` is whole and below 200.
+    Both are positive, ``halves`` is whole and below 200.
     The denominator is split into 200 times ``whole`` and ``rest``: what is left of
     the numerator after ``whole * halves`` is compared with ``rest * halves / 200``,
     which is below 200. So no product has more digits than a decimal, whatever
     the denominator.
     """
-    floor = F.floor(denominator)
-    whole = ((floor - floor % 200) / F.lit(200)).cast(WHOLE)
-    rest = denominator % F.lit(Decimal(200)).cast("decimal(3,0)")
-    left = F.floor(numerator) - (whole * halves).cast(WHOLE)
-    small = left.try_cast("decimal(3,0)") + (numerator % F.lit(Decimal(1))).cast("decimal(18,18)")
-    near = small * F.lit(Decimal(200)).cast("decimal(3,0)") < rest.cast("decimal(21,18)") * halves
-    return (left < 0) | ((left < 200) & near)
+
+    def split(v: Column) -> Column:
+        return once(left_over, part=v.n % v.d, floor=F.floor(v.d), rest=v.d % F.lit(Decimal(200)).cast("decimal(3,0)"), halves=v.halves)
+
+    def left_over(v: Column) -> Column:
+        whole = ((v.floor - v.floor % 200) / F.lit(200)).cast(WHOLE)
+        return once(compared, left=F.floor(v.part) - (whole * v.halves).cast(WHOLE), part=v.part, rest=v.rest, halves=v.halves)
+
+    def compared(v: Column) -> Column:
+        small = v.left.try_cast("decimal(3,0)") + (v.part % F.lit(Decimal(1))).cast("decimal(18,18)")
+        near = small * F.lit(Decimal(200)).cast("decimal(3,0)") < v.rest.cast("decimal(21,18)") * v.halves
+        return (v.left < 0) | ((v.left < 200) & near)
+
+    return once(split, n=numerator, d=denominator, halves=halves)
 
 
 def magnitude(value: Column) -> Column:
@@ -52,11 +69,17 @@ def grade(numerator: Column, denominator: Column) -> Column:
     The quotient is itself rounded, so one just below a half may look like it.
     Such a one is told by the remainder, which is exact.
     """
-    quotient = ratio(numerator, denominator)
-    looks_half = F.abs(quotient % F.lit(Decimal("0.01"))) == F.lit(Decimal("0.005"))
-    halves = F.abs((quotient % F.lit(Decimal(1))) * F.lit(Decimal(200))).cast("decimal(3,0)")
-    over = magnitude(denominator)
-    below = below_half(magnitude(numerator) % over, over, halves)
-    rounded = F.round(quotient, 2)
-    down = rounded - F.signum(quotient).cast("decimal(1,0)") * F.lit(Decimal("0.01"))
-    return zero_guarded(denominator, F.when(looks_half & below, down).otherwise(rounded))
+
+    def with_fraction(v: Column) -> Column:
+        # The quotient has six places; a double holds its fraction exactly enough to count them.
+        fraction = F.abs((v.quotient % F.lit(Decimal(1))).cast("double"))
+        return once(settled, n=v.n, d=v.d, quotient=v.quotient, millionths=F.rint(fraction * 1e6).cast("int"))
+
+    def settled(v: Column) -> Column:
+        looks_half = v.millionths % 10_000 == 5_000
+        halves = (v.millionths / 5_000).cast("decimal(3,0)")
+        rounded = F.round(v.quotient, 2)
+        down = rounded - F.signum(v.quotient).cast("decimal(1,0)") * F.lit(Decimal("0.01"))
+        return F.when(looks_half & below_half(magnitude(v.n), magnitude(v.d), halves), down).otherwise(rounded)
+
+    return zero_guarded(denominator, once(with_fraction, n=numerator, d=denominator, quotient=ratio(numerator, denominator)))

@@ -72,8 +72,8 @@ def round_half_wide(spark, sf_dir):
     exact = (unit.cast("decimal(18,0)") * odd.cast("decimal(3,0)")).cast("decimal(20,0)")
     under = F.concat((exact - F.lit(1)).cast("string"), F.lit(".999999999999999999"))
     n = F.when(F.col("l_suppkey") % 2 == 0, under).otherwise(exact.cast("string"))
-    value = grade(n.cast(NUMBER), (unit * 200).cast(NUMBER)).alias("grade")
-    return _with(lines, value)
+    wide = lines.select("l_orderkey", "l_partkey", "l_suppkey", n.cast(NUMBER).alias("n"), (unit * 200).cast(NUMBER).alias("d"))
+    return _with(wide, grade(F.col("n"), F.col("d")).alias("grade"))
 
 
 def grade_report(spark, sf_dir):
