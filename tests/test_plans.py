@@ -76,3 +76,10 @@ def test_a_hot_key_is_split_in_the_joins(spark, stored):
         kept = joined.agg(F.count("payload").alias("n"), F.sum("user_id").alias("s"))
         assert kept.collect()[0]["n"] == 3_000_000
         assert "skew" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_shaped_when_one_is_left_per_key(spark):
+    """What is shuffled are the columns as given: no decimals, no columns the table does not need."""
+    text = plan(domain.grade_results(spark, SF_DIR), "simple")
+    below = text.split("hashpartitioning")[-1]
+    assert "decimal" not in below and "o_totalprice" not in below and "decimal(38,18)" in text

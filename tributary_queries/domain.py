@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,8 +130,16 @@ def ordered_lines(spark, sf_dir):
 
 
 def last_lines(spark, sf_dir, table, position):
-    rows = selected(ordered_lines(spark, sf_dir), table, *position)
-    return last_wins(rows, list(TABLES[table].keys), position).select(*TABLES[table].columns)
+    """The table's rows of the last lines.
+
+    Lines are compared as they are given, without the columns that the table does
+    not need, and shaped when one is left per key: they are narrower then, and
+    fewer.
+    """
+    keys = [COLUMNS[table][k] for k in TABLES[table].keys]
+    named = set(re.findall(r"[lo]_[a-z]+", " ".join(COLUMNS[table].values()))) - {*keys, *position}
+    lines = ordered_lines(spark, sf_dir).select(*keys, *position, *sorted(named))
+    return selected(last_wins(lines, keys, position), table)
 
 
 def grade_results(spark, sf_dir):
