@@ -11,7 +11,7 @@ from tests.helpers import plan, settings
 from tributary.functions.casts import cast_text
 from tributary.functions.grades import grade
 from tributary.schemas import BOOL, INT, LONG, NUMBER, TABLES, WHEN, table_spec
-from tributary.sources.extract import keyed_rows, scan_records
+from tributary.sources.extract import field_count, keyed_rows, scan_records
 
 
 def value(spark, text, kind, name="c"):
@@ -162,3 +162,16 @@ def test_no_choice_of_columns_removes_a_check(spark, record, about, read, ansi):
     records = spark.createDataFrame([(1, 1, 1, "7,t,x"), (1, 1, 2, record)], "seq long, part long, row long, record string")
     with settings(spark, spark__sql__ansi__enabled=ansi), pytest.raises(Exception, match=about):
         read(keyed_rows(scan_records(records, spec.schema), spec))
+
+
+def test_only_texts_that_may_be_too_long_are_matched(spark):
+    """A decimal of few places is told by its length; no pattern is run over it."""
+    records = spark.createDataFrame([(1, 1, 1, "a")], "seq long, part long, row long, record string")
+    text = plan(keyed_rows(scan_records(records, TABLES["grade_results"].schema), TABLES["grade_results"]), "extended")
+    assert "RLIKE(points_numerator" not in text and "contains(points_numerator" in text
+
+
+@pytest.mark.parametrize("record,wanted", [("", 1), ("a", 1), ("a,b", 2), ('"a,b",c', 2), ('"a ""b,"" c",,"d\n,e"', 3), (",,", 3), ('"",""', 2)])
+def test_field_count(spark, record, wanted):
+    frame = spark.createDataFrame([(record,)], "record string")
+    assert frame.select(field_count(F.col("record"))).first()[0] == wanted

@@ -68,7 +68,8 @@ def too_long(text: Column, scale: int) -> Column:
         exponent = F.coalesce(F.regexp_extract(t, "[eE]([+-]?[0-9]+)", 1).try_cast("bigint"), F.lit(0))
         return (kept != "") & (fraction - (F.length(digits) - F.length(kept)) - exponent > scale)
 
-    rare = text.rlike(rf"[eE]|\.[0-9]{{{scale + 1}}}")
+    point = F.instr(text, F.lit("."))
+    rare = F.contains(text, F.lit("e")) | F.contains(text, F.lit("E")) | ((point > 0) & (F.octet_length(text) - point > scale))
     return rare & F.exists(F.array(text), beyond)
 
 

@@ -44,7 +44,7 @@ def write_archives(records: DataFrame, folder: str, header: list[str]) -> int:
         count = 0
         with (
             system.open_output_stream(draft) as sink,
-            zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
+            zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive,
             archive.open(f"extract-{number:08d}.csv", "w", force_zip64=True) as entry,
         ):
             entry.write(first_line)

@@ -68,8 +68,8 @@ def within_width(record: Column, width: int) -> Column:
     """The record, cut to ``width`` fields if it has more than the parser takes."""
     field = r'(?:"[^"]*+"(?:"[^"]*+")*+|[^",]*+)'
     first = F.regexp_extract(record, f"^{field}(?:,{field}){{{width - 1}}}", 0)
-    commas = F.length(record) - F.length(F.replace(record, F.lit(","), F.lit("")))
-    return F.when(commas >= PARSER_COLUMNS, first).otherwise(record)
+    # A record has no more commas than bytes.
+    return F.when((F.octet_length(record) >= PARSER_COLUMNS) & (commas(record) >= PARSER_COLUMNS), first).otherwise(record)
 
 
 def scan_records(records: DataFrame, schema: T.StructType) -> DataFrame:
@@ -88,7 +88,12 @@ def scan_records(records: DataFrame, schema: T.StructType) -> DataFrame:
 
 def field_count(record: Column) -> Column:
     """Fields of a record: the commas outside quotes, and one."""
-    return F.length(F.regexp_replace(record, '"[^"]*"|[^",]+', "")) + 1
+    quoted = F.contains(record, F.lit('"'))
+    return commas(F.when(quoted, F.regexp_replace(record, '"[^"]*+"', "")).otherwise(record)) + 1
+
+
+def commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
 
 
 def is_short(schema: T.StructType) -> Column:
