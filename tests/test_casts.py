@@ -168,7 +168,7 @@ def test_only_texts_that_may_be_too_long_are_matched(spark):
     """A decimal of few places is told by its length; no pattern is run over it."""
     records = spark.createDataFrame([(1, 1, 1, "a")], "seq long, part long, row long, record string")
     text = plan(keyed_rows(scan_records(records, TABLES["grade_results"].schema), TABLES["grade_results"]), "extended")
-    assert "RLIKE(points_numerator" not in text and "contains(points_numerator" in text
+    assert not re.search(r"rlike\(points_numerator", text.lower()) and "instr(points_numerator" in text.lower()
 
 
 @pytest.mark.parametrize("record,wanted", [("", 1), ("a", 1), ("a,b", 2), ('"a,b",c', 2), ('"a ""b,"" c",,"d\n,e"', 3), (",,", 3), ('"",""', 2)])
