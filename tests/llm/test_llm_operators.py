@@ -1,6 +1,7 @@
 """The operators against plain versions, and on the cases at the edges."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -293,6 +294,42 @@ def test_words_have_the_ids_of_the_whole_text(tokenizer):
         assert list(packing.WordIds(tokenizer).encode(texts)) == wanted
 
 
+def test_whole_texts_have_the_ids_of_the_tokenizer(tokenizer):
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(31)
+    parts = ["a", "B", "'", "s", "'S", "'re", "’", "é", "e\u0301", "Σ", "İ", "ß", "ſ", "Ж", "中", "か", "²", "½", "Ⅷ", "٣", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x00"]
+    parts += ["\x85", "\xa0", "\u2028", "\u3000", "\u200b", "!", "?!", "_", "42", "😀", "<|endoftext|>", "<|", "the", "hello", "don't", "ǅ", "\U0001e5d0", "a" * 300, "=" * 260]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    made = packing.WordIds(tokenizer, packing.EndedWords(*packing.ended_words(tokenizer)))
+    whole = Tokenizer.from_file(tokenizer)
+    wanted = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert list(made.encode(texts)) == wanted
+    assert 500 < sum(made.whole.lowered(t) is None for t in texts) < 2500
+
+
+def test_no_word_of_a_plain_text_is_looked_up(tokenizer):
+    rnd = random.Random(32)
+    made = packing.encoder(tokenizer, packing.ended_words(tokenizer))
+    made.forget()
+    list(made.encode([words(rnd, 200, 5000) + ", “Größe” №7 — 中文!\n" for _ in range(20)]))
+    assert not made.known and not made.before
+    list(made.encode(["x<|endoftext|>"]))
+    assert made.known
+    made.forget()
+
+
+def test_only_vocabularies_that_are_joined_alike_are_read_whole(tokenizer, tmp_path):
+    ranks = {b"a": 0, b"b": 1, b"c": 2, b"a ": 3, b"b ": 4, b"c ": 5, b"ab": 6, b"bc ": 7, b"abc ": 8}
+    assert packing.regular(ranks, [(b"a", b"b"), (b"b", b"c "), (b"ab", b"c ")], 6)
+    assert not packing.regular(ranks, [(b"a", b"b"), (b"b", b"c "), (b"a", b"bc ")], 6)  # "ab" comes first
+    with open(tokenizer, encoding="utf-8") as source:
+        made = json.load(source)
+    made["normalizer"]["normalizers"].pop(0)
+    (tmp_path / "t.json").write_text(json.dumps(made))
+    assert packing.EndedWords.of(str(tmp_path / "t.json")) is None
+
+
 def test_packing(spark, tokenizer):
     from tokenizers import Tokenizer
 

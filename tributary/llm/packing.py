@@ -6,9 +6,13 @@ import json
 import os
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
 from unicodedata import is_normalized
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,12 @@ ENTRY = 140
 GROUP = 1 << 20
 #: Cut off a run of letters before it is looked up.
 PUNCTUATION = ".,;:!?*%$&#|"
+#: White space, as Unicode has it.
+WHITE = "\t\n\v\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Words other than runs of letters.
+APART = r"'(?:[stmd]|re|ve|ll)|\p{N}|[^ \p{L}\p{N}]+"
+#: Bytes of the longest word in a text that is encoded in one call, whose time grows with the square of a word.
+LONGEST = 256
 #: Bytes of ids in one batch of pieces.
 BATCH = 4 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
@@ -42,6 +52,124 @@ def plain_letters(word: str) -> bool:
     return word.isalpha() and max(word) < "\u0530" and "\u03a3" not in word and word.lower().isalpha() and is_normalized("NFC", word)
 
 
+def regular(ranks: dict[bytes, int], merges: list[tuple[bytes, bytes]], units: int) -> bool:
+    """Whether joining neighbours of the lowest rank makes each token by its own merge.
+
+    A tokenizer that joins the pairs in ``merges`` only then does the same as one that
+    joins all pairs whose bytes are in ``ranks``. A blank, which ends a word, is one
+    unit with the byte before; ``units`` ranks are those of the units.
+    """
+    for left, right in merges:
+        whole = left + right
+        parts = [bytes([b]) for b in whole.removesuffix(b" ")]
+        if whole.endswith(b" "):
+            parts[-1] += b" "
+        if len(parts) < 2 or ranks[whole] < units or any(ranks.get(p, units) >= units for p in parts):
+            return False
+        while True:
+            rank, at = min((ranks.get(x + y, ranks[whole]), i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank >= ranks[whole]:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if len(parts) == 1:
+                return False
+        if parts != [left, right]:
+            return False
+    return True
+
+
+class EndedWords:
+    """Token ids of whole texts by a vocabulary that marks the ends of words.
+
+    For tokenizers of this ``FORM``. With a blank after every word in place of
+    the mark, a text is encoded in one call. A text that holds a name of a special
+    token, a very long word, or what Unicode's versions or a sigma's place decide is
+    left to the tokenizer itself.
+    """
+
+    WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    FORM = {
+        "normalizer": {
+            "type": "Sequence",
+            "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+        },
+        "pre_tokenizer": {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+        "model": {
+            "type": "BPE",
+            "dropout": None,
+            "unk_token": None,
+            "continuing_subword_prefix": None,
+            "end_of_word_suffix": "</w>",
+            "fuse_unk": False,
+            "byte_fallback": False,
+            "ignore_merges": False,
+        },
+    }
+
+    def __init__(self, ranks: dict[bytes, int], special: list[str]):
+        unused = max(ranks.values()) + 1
+        # Beside the blank, a name without letters that the search for special tokens looks for.
+        self.coder = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks | {b" ": unused}, special_tokens={"\0": unused + 1})
+        self.special = special
+
+    @classmethod
+    def of(cls, path: str) -> tuple[dict[bytes, int], list[str]] | None:
+        """The ranks of byte strings and the special tokens; nothing for a tokenizer of another form."""
+        with open(path, encoding="utf-8") as source:
+            made = json.load(source)
+        model = made["model"]
+        form = {k: made[k] for k in ("normalizer", "pre_tokenizer")} | {"model": {k: v for k, v in model.items() if k not in ("vocab", "merges")}}
+        if form != cls.FORM or any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in made["added_tokens"]):
+            return None
+        letters, mark = {letter: bytes([b]) for b, letter in byte_letters().items()}, cls.FORM["model"]["end_of_word_suffix"]
+
+        def spelt(token: str) -> bytes:
+            core = token.removesuffix(mark)
+            return b"".join(letters[c] for c in core) + b" " * (core != token)
+
+        special = [t["content"] for t in made["added_tokens"]]
+        if any(not letters.keys() >= set(t.removesuffix(mark)) for t in model["vocab"] if t not in special):
+            return None
+        merges = [tuple(map(spelt, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        # No word holds a blank.
+        ranks = {spelt(t): i for t, i in model["vocab"].items() if t not in special and b" " not in spelt(t)[:-1] and spelt(t) != b" "}
+        order = [ranks.get(x + y, -1) for x, y in merges]
+        units = {bytes([b]) + end for b in range(256) if b != 0x20 for end in (b"", b" ")}
+        if not units <= ranks.keys() or -1 in order or order != sorted(set(order)) or len(ranks) != len(units) + len(merges):
+            return None
+        return (ranks, special) if regular(ranks, merges, order[0]) else None
+
+    def lowered(self, text: str) -> str | None:
+        """The text as its words are read; nothing if the tokenizer itself has to read it."""
+        if any(name in text for name in self.special) or "\u03a3" in text or not is_normalized("NFC", text):
+            return None
+        for white in WHITE:
+            text = text.replace(white, " ")
+        return text.lower() if text.isprintable() else None
+
+    def encode(self, lowered: list[str]) -> list[bytes | None]:
+        """Ids of lower-cased texts; nothing for one with a very long word."""
+        ended = pc.replace_substring_regex(pa.array(lowered, pa.large_string()), pattern=APART, replacement=r" \0 ")
+        found = []
+        for text in ended:
+            text = text.as_py() + " "
+            blanks = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 0x20)
+            if np.diff(blanks, prepend=-1).max() > LONGEST:
+                found.append(None)
+            else:
+                found.append(self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes())
+        return found
+
+
+ended_words = cache(EndedWords.of)
+
+
 class WordIds:
     """Token ids of whole texts, as little-endian bytes, word by word.
 
@@ -50,19 +178,22 @@ class WordIds:
     up. If the tokenizer lower-cases and cuts between letters and punctuation,
     a new word of letters goes straight to its merges, without the punctuation
     that ends it; all other words, and all words of other tokenizers, are encoded
-    in full.
+    in full. Texts that ``whole`` can read are encoded by it instead.
     """
 
     LETTERWISE = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "BPE")
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, whole: EndedWords | None = None):
+        self.path, self.whole, self.tokenizer = path, whole, None
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.learned = 0  # letters of the words in ``known``
+
+    def _load(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(self.path)
         made = json.loads(self.tokenizer.to_str())
         steps = [[s["type"] for s in ((made[k] or {}).get(of) or [])] for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.letterwise = (*steps, made["model"]["type"]) == self.LETTERWISE
@@ -70,6 +201,15 @@ class WordIds:
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         for group in _groups(texts):
+            lowered = [self.whole.lowered(text) for text in group] if self.whole else [None] * len(group)
+            done = iter(self.whole.encode([text for text in lowered if text is not None]) if self.whole else [])
+            found = [None if text is None else next(done) for text in lowered]
+            rest = self._by_words([text for text, ids in zip(group, found, strict=True) if ids is None])
+            for ids in found:
+                yield next(rest) if ids is None else ids
+
+    def _by_words(self, group: list[str]) -> Iterator[bytes]:
+        if group:
             # A token has a letter at least, so ids take four bytes a letter at most.
             if ENTRY * len(self.known) + 5 * self.learned > KNOWN_BYTES:
                 self.known, self.before, self.learned = {}, self.known, 0
@@ -92,6 +232,8 @@ class WordIds:
         self.known, self.before, self.learned = {}, {}, 0
 
     def _learn(self, words: set[str]) -> None:
+        if not self.tokenizer:
+            self._load()
         known, before, whole, ended = self.known, self.before, set(), []
         self.learned += sum(map(len, words))
         for word in words:
@@ -135,18 +277,19 @@ def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
 _encoders: dict[str, WordIds] = {}
 
 
-def encoder(path: str) -> WordIds:
+def encoder(path: str, vocabulary: tuple[dict[bytes, int], list[str]] | None = None) -> WordIds:
     """One per worker process; the tokenizer is kept from task to task, the words are not."""
     if path not in _encoders:
-        _encoders[path] = WordIds(path)
+        _encoders[path] = WordIds(path, EndedWords(*vocabulary) if vocabulary else None)
     return _encoders[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0) -> DataFrame:
     """Every document's ids and ``end_id``, cut into pieces of at most ``size``."""
+    vocabulary = ended_words(tokenizer)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer), array("I", [end_id]).tobytes()
+        ids_of, end = encoder(tokenizer, vocabulary), array("I", [end_id]).tobytes()
         try:
             for batch in batches:
                 rows, held = [], 0
