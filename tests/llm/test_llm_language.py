@@ -140,6 +140,48 @@ def test_other_vocabularies_are_refused(tmp_path):
         alignment.BytePairs(str(tmp_path / "other.json"))
 
 
+def test_pieces_by_bytes_are_the_models():
+    rnd = random.Random(33)
+    parts = ["a", "B", "'s", "’", "“", "é", "e\u0301", "Ж", "中", "か", "²", " ", " ", " ", " the", " of", "  ", "\n", "\r\n", "\t", "\x00", "\xa0", "\ufeff", "!", "42", "😀", "<|endoftext|>"]
+    parts += ["<|unused|>", "<s>", "<unk>", "<0x41>", "▁", "hello", "Don't", "가", "執", "—", "\U0010ffff", " " + "a" * 200, "=" * 300]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    pieces = alignment.Pieces(B)
+    asked = []
+    model = pieces.coder
+    wanted = model.encode(texts)
+
+    class Model:
+        def encode(self, text, **how):
+            asked.append(text)
+            return model.encode(text, **how)
+
+    pieces.coder = Model()
+    assert [pieces.encode(t).tolist() for t in texts] == wanted
+    assert 500 < len(asked) < 2500
+    asked.clear()
+    plain = "The — “Größe” of it,\nof Жизнь 7 ways."
+    assert pieces.encode(plain).tolist() == model.encode(plain) and not asked
+
+
+def test_models_that_join_otherwise_are_asked_themselves():
+    pieces = alignment.Pieces(B)
+    changes = [("trainer_spec", "model_type", 1), ("normalizer_spec", "remove_extra_whitespaces", True), ("normalizer_spec", "precompiled_charsmap", b"x")]
+    for spec, field, value in changes:
+        model = alignment.piece_models.ModelProto.FromString(pieces.coder.serialized_model_proto())
+        setattr(getattr(model, spec), field, value)
+        assert pieces._by_bytes(model) is None
+    model = alignment.piece_models.ModelProto.FromString(pieces.coder.serialized_model_proto())
+    model.pieces[300].piece = "a▁b"
+    assert pieces._by_bytes(model) is None
+
+
+def test_unused_special_token_is_plain_text():
+    coder = alignment.BytePairs(A)
+    for text in ("x<|unused|> y", "<|endoftext|>", "a\n\nb"):
+        ids = coder.encode(text)
+        assert coder.bytes_of(ids) == (" " + text).encode() and max(ids) < len(coder.tokens)
+
+
 def test_align_returns_tokens_and_groups(spark):
     docs = spark.createDataFrame([(1, "don't we"), (2, None)], "doc_id bigint, text string")
     one, none = sorted(alignment.align(docs, A, B).collect())

@@ -15,9 +15,10 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2 as piece_models
 
 from tributary.llm.common import run_bounds, stored, whole_groups
-from tributary.llm.packing import byte_letters
+from tributary.llm.packing import LONGEST, byte_letters
 
 #: Links of several groups that are listed at once; the ids of a larger group are counted first.
 LINKS = 1 << 20
@@ -29,6 +30,11 @@ PROBE = 8
 BLANK = "▁"
 
 
+def _unused(number: int) -> dict[str, int]:
+    """A special token, never allowed: the search for none would stop at every letter of a text."""
+    return {"<|unused|>": number}
+
+
 class BytePairs:
     """Ids and bytes by a byte-level vocabulary, special tokens' names being plain text."""
 
@@ -44,8 +50,8 @@ class BytePairs:
         special = {t["content"] for t in model["added_tokens"]}
         known = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if token not in special}
         # Merges in the order of their ids: the id is the rank.
-        self.coder = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
         self.tokens = [b""] * (1 + max(known.values()))
+        self.coder = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens=_unused(len(self.tokens)))
         for token, i in known.items():
             self.tokens[i] = token
         self.sizes = np.array([len(t) for t in self.tokens], np.int64)
@@ -58,7 +64,12 @@ class BytePairs:
 
 
 class Pieces:
-    """Ids and bytes by a piece model, which puts the blank before the text itself."""
+    """Ids and bytes by a piece model, which puts the blank before the text itself.
+
+    If the model joins the pieces of the best score, wherever they stand, a text
+    without doubled blanks and very long words is encoded by the bytes of its
+    pieces; all other texts are left to the model.
+    """
 
     def __init__(self, path: str):
         self.coder = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -68,8 +79,43 @@ class Pieces:
             byte = bytes([int(piece[3:5], 16)]) if self.coder.is_byte(i) else b""
             self.tokens.append(byte or piece.replace(BLANK, " ").encode())
         self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.joined, self.ids = self._by_bytes(piece_models.ModelProto.FromString(self.coder.serialized_model_proto())) or (None, None)
+
+    def _by_bytes(self, model: piece_models.ModelProto) -> tuple[tiktoken.Encoding, np.ndarray] | None:
+        """A byte-level vocabulary and the id of each rank, -1 for parts of letters; nothing for a model of another kind."""
+        trained, read, piece = model.trainer_spec, model.normalizer_spec, model.SentencePiece
+        normal = {p.piece: i for i, p in enumerate(model.pieces) if p.type == piece.NORMAL}
+        bytewise = {self.tokens[i]: i for i, p in enumerate(model.pieces) if p.type == piece.BYTE}
+        # Without doubled blanks no other piece of several letters can be met.
+        longer = sorted((-model.pieces[i].score, i, p) for p, i in normal.items() if len(p) > 1 and BLANK not in p[1:])
+        plain = trained.model_type == trained.BPE and trained.byte_fallback and not trained.treat_whitespace_as_suffix
+        plain &= read.add_dummy_prefix and read.escape_whitespaces and not read.remove_extra_whitespaces and not read.precompiled_charsmap
+        plain &= all(p.type in (piece.NORMAL, piece.BYTE, piece.CONTROL, piece.UNKNOWN) for p in model.pieces)
+        plain &= len(bytewise) == 256 and BLANK in normal and not any(BLANK in p.lstrip(BLANK) for p in normal)
+        if not plain or len({score for score, _, _ in longer}) < len(longer):
+            return None
+        # Bytes first, then what makes letters of them, then the joined pieces by score.
+        letters = {p.replace(BLANK, " ").encode(): i for p, i in normal.items() if len(p) == 1}
+        found = {byte: letters.get(byte, i) for byte, i in sorted(bytewise.items())}
+        found |= {part: -1 for size in (2, 3) for part in sorted({letter[:size] for letter in letters if len(letter) > size})}
+        found |= {letter: i for letter, i in letters.items() if len(letter) > 1}
+        found |= {self.tokens[i]: i for _, i, _ in longer}
+        # A word that is a piece is not joined but looked up.
+        words = [(i, p[1:]) for _, i, p in longer if p[0] == BLANK]
+        if self.coder.encode([w for _, w in words], num_threads=1) != [[i] for i, _ in words]:
+            return None
+        ranks = {token: rank for rank, token in enumerate(found)}
+        coder = tiktoken.Encoding("pieces", pat_str=" [^ ]+", mergeable_ranks=ranks, special_tokens=_unused(len(ranks)))
+        return coder, np.array(list(found.values()), np.int64)
 
     def encode(self, text: str) -> np.ndarray:
+        if self.joined and BLANK not in text:
+            raw = np.frombuffer((" " + text).encode(), np.uint8)
+            sizes = np.diff(np.flatnonzero(raw == 0x20), append=len(raw))
+            if sizes.min() > 1 and sizes.max() <= LONGEST:
+                ids = self.ids[self.joined.encode_to_numpy(" " + text, disallowed_special=())]
+                if ids.min() >= 0:
+                    return ids
         return np.array(self.coder.encode(text, num_threads=1), np.int64)
 
     def bytes_of(self, ids: np.ndarray) -> bytes:
