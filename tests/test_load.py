@@ -5,11 +5,13 @@ from uuid import uuid4
 import pytest
 
 from tests.helpers import plan, put_extract, put_pages, put_zip, settings, unpacked
-from tributary.plans.load import create_tables, load, quarantined, register_views
+from tributary.plans.load import create_tables, load, quarantined, register_views, turns
 from tributary.plans.reports import enrollment_report, grade_report, preview
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES
 from tributary.sources.archive import archive_paths, batch_records, read_blocks, unpack
+from tributary.session import FREED, working_session
 from tributary.sources.extract import scan_records, split_rows
+from tributary.sources.tables import KeyedTable
 
 EXTRACTS = {
     "org_units": '10,Org,Course,"Maths, first",M1,2020-01-01T00:00:00.000Z,,True,2019-12-01T10:11:12.345Z,new column\n'
@@ -239,3 +241,62 @@ def test_batches_count_the_lines_of_all_parts_before(spark, tmp_path):
     archives = spark.createDataFrame(listed, "seq bigint, part bigint, path string, length bigint")
     found = batch_records(read_blocks(spark, unpack(archives)), 3).orderBy("part", "row").collect()
     assert [(r.record, *r.batch) for r in found] == [("1", 7, 0), ("2", 7, 0), ('"3\n\n"', 7, 0), ("4", 7, 1), ("5", 7, 2), ("6", 7, 2)]
+
+
+# --- what a load holds on disk
+
+
+@pytest.mark.parametrize("on_bad", ["fail", "quarantine"])
+def test_evenly_split_archives_are_not_stored_again(spark, tmp_path, monkeypatch, on_bad):
+    stored = []
+    monkeypatch.setattr("tributary.plans.load.unpack", lambda archives, number: stored.append(number) or unpack(archives, number))
+    listing = publish(f"{tmp_path}/in", EXTRACTS, skip=("users",))
+    for number in range(20):
+        put_extract(f"{tmp_path}/in/users/part-{number:02d}.zip", f"1,u{number:02d},,,,,,,,,\n{number + 10},x,,,,,,,,,\n")
+    page = tmp_path / "in/listing/page-0001.json"
+    found = json.loads(page.read_text())
+    found["Objects"].append({"PluginId": next(p for p, t, m in DATA_SETS if t == "users"), "DownloadLink": f"{tmp_path}/in/users"})
+    page.write_text(json.dumps(found))
+    load(spark, listing, "Objects", f"{tmp_path}/tables", FULL, on_bad=on_bad)
+    users = create_tables(spark, f"{tmp_path}/tables")["users"]
+    assert rows(users.read("user_id", "user_name")) == [(1, "u19"), *((n + 10, "x") for n in range(20))]
+    assert users.state().counts["read"] == 40
+    assert sorted(stored) == [1, 1, 1, 1]  # archives that hold all of a table
+
+
+def test_rows_of_a_first_base_move_once(spark, tmp_path, monkeypatch):
+    """Whatever the number of buckets beside the session's eight partitions; no shuffle files are kept."""
+    plans, settled, write = [], [], KeyedTable._write_base
+
+    def write_base(self, state, rows, buckets, *more):
+        plans.append(plan(rows, "simple").count("hashpartitioning"))
+        settled.append(rows.sparkSession.conf.get(FREED))
+        return write(self, state, rows, buckets, *more)
+
+    monkeypatch.setattr(KeyedTable, "_write_base", write_base)
+    monkeypatch.setattr(KeyedTable, "_buckets", lambda self, state, size: 5)
+    t = run(spark, tmp_path)
+    assert plans == [1] * 5 and settled == ["true"] * 5
+    assert t["grade_results"].state().buckets == 5 and t["grade_results"].read().count() == 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_tables_land_in_turns_bounded_by_the_largest():
+    assert turns({"a": 1, "b": 10, "c": 6, "d": 5, "e": 4}, 0) == [["b"], ["c"], ["d", "e", "a"]]
+    assert turns({"a": 3, "b": 3}, 0) == [["a"], ["b"]]
+    assert turns({"a": 0}, 0) == [["a"]]
+    assert turns({"a": 5, "b": 3, "c": 3}, 8) == [["a", "b"], ["c"]]
+    assert turns({"a": 5 << 30, "b": 4 << 30, "c": 3 << 20}) == [["a"], ["b", "c"]]
+    assert turns({"a": 5 << 20, "b": 4 << 20}) == [["a", "b"]]
+
+
+def test_a_working_session_keeps_no_shuffle_files(spark, tmp_path):
+    def files():
+        return spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString().count("shuffle_")
+
+    with settings(spark, spark__sql__ansi__enabled="false"):
+        own = working_session(spark, spark__sql__shuffle__partitions="3")
+    assert (own.conf.get("spark.sql.ansi.enabled"), own.conf.get("spark.sql.shuffle.partitions")) == ("false", "3")
+    before = files()
+    own.range(100).repartition(3, "id").write.parquet(f"{tmp_path}/out")
+    assert files() <= before and own.read.parquet(f"{tmp_path}/out").count() == 100

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from concurrent.futures import Future, ThreadPoolExecutor
+from functools import cache, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tributary.operators.upsert import BATCH, ERROR, LAST, last_wins
 from tributary.schemas import FULL, TABLES, TableSpec, registry
-from tributary.sources.archive import archive_paths, batch_records, read_blocks, records, unpack
+from tributary.session import working_session
+from tributary.sources.archive import archive_paths, batch_records, evenly_split, inflated, read_blocks, records, unpack
 from tributary.sources.extract import BAD, bad_records, keyed_rows, scan_records, split_rows
 from tributary.sources.listing import pages_in_order, read_listing, read_pages, resolve_links, select_data_sets
 from tributary.sources.tables import COPIES, SEQUENCE, KeyedTable, State, one_step
@@ -19,6 +20,8 @@ from tributary.storage import remove_folder
 
 # Fixed value: the lines that the publisher's loader takes in one transaction.
 BATCH_LINES = 10_000
+# Tables whose archives hold up to so many bytes land at the same time.
+TOGETHER_BYTES = 256 << 20
 
 FAIL = "fail"
 QUARANTINE = "quarantine"
@@ -75,6 +78,23 @@ def chosen_archives(spark: SparkSession, chosen: list, seq: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).withColumn("part", part)
 
 
+def turns(sizes: dict[str, int], together: int = TOGETHER_BYTES) -> list[list[str]]:
+    """Names in turns: the largest first, then as many at a time as are no larger together.
+
+    What tables hold on disk while they land is so bounded by what the largest does.
+    Up to ``together`` bytes are one turn.
+    """
+    names = sorted(sizes, key=lambda name: (-sizes[name], name))
+    found, room = [], 0
+    for name in names:
+        if not found or sizes[name] > room:
+            found.append([])
+            room = max(sizes[names[0]], together)
+        found[-1].append(name)
+        room -= sizes[name]
+    return found
+
+
 def quarantined(table: KeyedTable) -> DataFrame:
     """Bad records of all loads: ``seq, part, row, reason, record``."""
     return bad_records(table.spark, [f"{table.path}/{folder}" for folder in table.state().bad])
@@ -108,23 +128,43 @@ def load(
     chosen = select_data_sets(registry(spark) if data_sets is None else data_sets, links, mode).collect()
     seq = 1 + max(table.state().last_seq for table in tables.values())
 
-    archives = chosen_archives(spark, chosen, seq)
-    found = archives.groupBy("table").agg(F.sum("length").alias("bytes"), F.count("path").alias("number")).collect()
-    sizes = {r["table"]: (r["bytes"], r["number"]) for r in found}
+    found = chosen_archives(spark, chosen, seq).groupBy("table")
+    found = found.agg(F.sum("length").alias("bytes"), F.count("path").alias("number"), F.max("length").alias("largest")).collect()
+    sizes = {r["table"]: r for r in found}
     missing = [row["link"] for row in chosen if row["table"] not in sizes]
     if missing:
         raise FileNotFoundError(f"no archive at {', '.join(missing)}")
 
-    def land(name: str) -> State:
-        size, number = sizes[name]
-        folder = unpack(archives.where(F.col("table") == name), number)
-        try:
-            if on_bad == FAIL:
-                rows = extract_rows(read_blocks(spark, folder), tables[name].spec, on_duplicate)
-                return tables[name].land(rows, seq, seq, size)
-            return land_sound(name, read_blocks(spark, folder), size)
-        finally:
+    @cache
+    def session_of(partitions: int) -> SparkSession:
+        return working_session(spark, spark__sql__shuffle__partitions=str(partitions))
+
+    def own_table(name: str) -> KeyedTable:
+        """The table in a session that dedupes rows in the partitions that they are written in."""
+        return KeyedTable(session_of(tables[name].writers(sizes[name]["bytes"])), root, tables[name].spec)
+
+    def archives(name: str) -> DataFrame:
+        return chosen_archives(tables[name].spark, [row for row in chosen if row["table"] == name], seq)
+
+    def stored_blocks(name: str) -> str | None:
+        """The folder of the table's records; None if the task that inflates an archive may parse it as well."""
+        size, number, largest = (sizes[name][c] for c in ("bytes", "number", "largest"))
+        # Batches of lines are counted in a pass of its own.
+        if on_duplicate != BATCH and evenly_split(size, largest, spark.sparkContext.defaultParallelism):
+            return None
+        return unpack(archives(name), number)
+
+    def land(name: str, stored: Future) -> State:
+        table, folder = tables[name], stored.result()
+        blocks = read_blocks(table.spark, folder) if folder else inflated(archives(name), sizes[name]["number"])
+        size = sizes[name]["bytes"]
+        if on_bad == FAIL:
+            state = table.land(extract_rows(blocks, table.spec, on_duplicate), seq, seq, size)
+        else:
+            state = land_sound(name, blocks, size)
+        if folder:
             remove_folder(folder)
+        return state
 
     def land_sound(name: str, blocks: DataFrame, size: int) -> State:
         """The sound rows landed, the bad records kept for as long as the table is."""
@@ -142,7 +182,17 @@ def load(
         return state
 
     names = [row["table"] for row in chosen]
+    tables = {name: own_table(name) for name in names}
+    states = {}
     # The tables do not depend on each other: while a large archive is still
     # inflated in one task, the other tables use the rest of the cluster.
-    with one_step([tables[name] for name in names]), ThreadPoolExecutor(max_workers=len(names)) as pool:
-        return dict(zip(names, pool.map(inheritable_thread_target(spark)(land), names)))
+    with one_step(list(tables.values())), ThreadPoolExecutor(max_workers=len(names)) as pool:
+        stored = {name: pool.submit(inheritable_thread_target(spark)(stored_blocks), name) for name in names}
+        try:
+            for turn in turns({name: sizes[name]["bytes"] for name in names}):
+                states.update(zip(turn, pool.map(inheritable_thread_target(spark)(land), turn, [stored[name] for name in turn])))
+        finally:
+            for folder in (s.result() for s in stored.values() if not s.exception()):
+                if folder:
+                    remove_folder(folder)
+    return {name: states[name] for name in names}

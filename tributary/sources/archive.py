@@ -31,6 +31,8 @@ BLOCKS_PER_FILE = 16384
 # Text is dear to parse for its size: small row groups let the readers share
 # even one archive's records.
 ROW_GROUP_BYTES = 8 << 20
+# An archive of up to so many bytes may be parsed by the task that inflates it.
+STREAMED_BYTES = 256 << 20
 
 # The zip reader asks for small pieces; a remote file is fetched in large ones.
 FETCH_BYTES = 4 << 20
@@ -94,10 +96,24 @@ def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def write_blocks(blocks: DataFrame, out: str) -> None:
-    writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE)
+    writer = blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE).option("compression", "zstd")
     writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
 
 
+def inflated(archives: DataFrame, number: int | None = None) -> DataFrame:
+    """The blocks of the ``number`` archives (``ARCHIVE_COLUMNS``), a task per archive."""
+    archives = archives.select(*ARCHIVE_COLUMNS)
+    tasks = max(1, archives.count() if number is None else number)
+    # The largest archive is the first to start.
+    spread = archives.repartitionByRange(tasks, F.desc("length"), "path")
+    return spread.mapInArrow(unpack_batches, BLOCK_DDL)
+
+
+def evenly_split(total: int, largest: int, cores: int) -> bool:
+    """Whether archives are split well enough to be parsed as they are inflated: none is over a core's share."""
+    return largest <= min(STREAMED_BYTES, total // cores)
+
+
 def unpack(archives: DataFrame, number: int | None = None) -> str:
     """Unpack the ``number`` archives (``ARCHIVE_COLUMNS``) into a stored block table.
 
@@ -107,11 +123,7 @@ def unpack(archives: DataFrame, number: int | None = None) -> str:
     later work is split evenly whatever the size of an archive.
     """
     out = work_folder(archives.sparkSession, "records")
-    archives = archives.select(*ARCHIVE_COLUMNS)
-    tasks = max(1, archives.count() if number is None else number)
-    # The largest archive is the first to start.
-    spread = archives.repartitionByRange(tasks, F.desc("length"), "path")
-    write_blocks(spread.mapInArrow(unpack_batches, BLOCK_DDL), out)
+    write_blocks(inflated(archives, number), out)
     return out
 
 

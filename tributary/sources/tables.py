@@ -46,6 +46,7 @@ PENDING_SHARE = 0.1
 PENDING_DELTAS = 16
 # Sorted rows in row groups and pages of few keys, so that a lookup reads few of them.
 BASE_FILES = {
+    "compression": "zstd",
     "parquet.block.size": str(8 << 20),
     "parquet.bloom.filter.enabled#{key}": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
@@ -456,6 +457,12 @@ class KeyedTable:
         # A growing table gets more buckets rarely, a shrinking load no fewer.
         return state.buckets if state.base is not None and wanted < 4 * state.buckets else min(most, wanted)
 
+    def writers(self, size: int) -> int:
+        """Partitions in which the rows of a first base need not move again to be written, else the session's."""
+        state, tasks = self.create(), self._tasks()
+        buckets = self._buckets(state, size)
+        return tasks if state.base else buckets * math.ceil(tasks / buckets)
+
     def _first_base(self, state: State, rows: DataFrame, size: int | None) -> State:
         """Rows come deduped in the session's number of partitions.
 
@@ -463,6 +470,7 @@ class KeyedTable:
         buckets are still written by many tasks.
         """
         tasks, buckets = self._tasks(), self._buckets(state, size)
+        # The same for ``tasks`` that ``writers`` gave.
         writers = buckets * math.ceil(tasks / buckets)
         dealt = rows if writers == tasks else rows.repartition(writers, *self.keys)
         seen = Observation()
@@ -482,7 +490,7 @@ class KeyedTable:
         for option, value in BASE_FILES.items():
             writer = writer.option(option.format(key=self.keys[0]), value)
         writer.option("path", path).saveAsTable(draft)
-        self.spark.sql(f"DROP TABLE `{draft}`")  # the files stay
+        rows.sparkSession.sql(f"DROP TABLE `{draft}`")  # the files stay
         written = self._written(path)
         gone = set(written if touched is None else touched)
         kept = {} if touched is None else {f: [n for n in slots if n not in gone] for f, slots in state.slots.items()}

@@ -165,10 +165,10 @@ DOMAIN = {
 DERIVED = ("grade_results", "user_enrollments")
 
 
-def stored(rows: DataFrame) -> DataFrame:
+def stored(rows: DataFrame, path: str | None = None) -> DataFrame:
     """The same rows, written once where they are read several times."""
-    path = work_folder(rows.sparkSession, "stored")
-    rows.write.parquet(path)
+    path = path or work_folder(rows.sparkSession, "stored")
+    rows.write.parquet(path, compression="zstd")
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -11,10 +11,11 @@ from tributary.operators.keys import duplicate_keys, null_keys
 from tributary.operators.upsert import last_wins
 from tributary.plans.load import QUARANTINE, create_tables, load, quarantined
 from tributary.schemas import DATA_SETS, DIFFERENTIAL, FULL, TABLES, TableSpec, registry
+from tributary.session import working_session
 from tributary.sources.export import csv_records, header_record, write_archives, write_listing
 from tributary.sources.extract import WRITE_OPTIONS, as_text, field_count
 from tributary.sources.tables import BUCKET_BYTES, COPIES, SEQUENCE, KeyedTable
-from tributary.storage import work_folder
+from tributary.storage import remove_folder, work_folder
 from tributary.streaming.incremental import follow
 from tributary_queries import domain
 from tributary_queries.domain import COLUMNS, DERIVED, DOMAIN, extract_schema, given, plain, stored
@@ -199,21 +200,28 @@ def with_added_column(rows: DataFrame) -> DataFrame:
     return rows.withColumn("added_later", F.lit('x, "y"'))
 
 
-def publish(spark: SparkSession, extracts: dict[str, DataFrame], mode: str) -> str:
-    """Extracts as archives, and the listing that links to them."""
-    links = []
+def publish(spark: SparkSession, extracts: dict[str, DataFrame], mode: str, landing: str | None = None) -> str:
+    """Extracts as archives below ``landing``, and the listing that links to them."""
+    landing, links = landing or work_folder(spark, "landing"), []
     for plugin, table, published in DATA_SETS:
         if published != mode:
             continue
         rows = with_added_column(extracts[table])
-        folder = work_folder(spark, table)
+        folder = f"{landing}/{table}"
         write_archives(csv_records(rows), folder, rows.columns)
         links.append(("000000000001", plugin, folder))
-    listing = work_folder(spark, "listing")
+    listing = f"{landing}/listing"
     write_listing(spark.createDataFrame(links, "page string, plugin string, link string"), listing, ITEMS)
     return listing
 
 
+def load_published(spark: SparkSession, extracts: dict[str, DataFrame], root: str, mode: str) -> None:
+    """Extracts published and loaded; their archives go when the tables hold them."""
+    landing = work_folder(spark, "landing")
+    load(spark, publish(spark, extracts, mode, landing), ITEMS, root, mode)
+    remove_folder(landing)
+
+
 def publish_domain(spark, sf_dir) -> str:
     return publish(spark, {name: rows(spark, sf_dir) for name, rows in DOMAIN.items()}, FULL)
 
@@ -252,15 +260,16 @@ def load_full_flow(spark, sf_dir):
 
 def load_differential_flow(spark, sf_dir):
     """A full load, then a differential one with roles changed and users added."""
-    enrollments = stored(domain.user_enrollments(spark, sf_dir))
-    rows = {name: table(spark, sf_dir) for name, table in DOMAIN.items()}
-    root = work_folder(spark, "tables")
+    own, root, path = working_session(spark), work_folder(spark, "tables"), work_folder(spark, "stored")
+    enrollments = stored(domain.user_enrollments(own, sf_dir), path)
+    rows = {name: table(own, sf_dir) for name, table in DOMAIN.items()}
     rows["user_enrollments"] = enrollments.where("role_name <> '1-URGENT'")
-    load(spark, publish(spark, rows, FULL), ITEMS, root, FULL)
+    load_published(own, rows, root, FULL)
     rows["user_enrollments"] = enrollments.where("role_name IN ('1-URGENT', '2-HIGH')").withColumn(
         "role_name", F.concat(F.lit(CHANGED), "role_name")
     )
-    load(spark, publish(spark, rows, DIFFERENTIAL), ITEMS, root, DIFFERENTIAL)
+    load_published(own, rows, root, DIFFERENTIAL)
+    remove_folder(path)
     return create_tables(spark, root)["user_enrollments"].read()
 
 
