@@ -6,7 +6,7 @@ from uuid import uuid4
 
 import pytest
 
-from tributary_queries.tables import load_differential_flow
+from tributary_queries.tables import load_differential_flow, load_full_flow
 
 DAY = datetime(2020, 1, 2)
 TABLES = {
@@ -43,3 +43,9 @@ def test_a_differential_flow_leaves_tables_only(spark, tables, tmp_path):
     found = load_differential_flow(spark, tables).select("org_unit_id", "user_id", "role_name").collect()
     assert sorted(map(tuple, found)) == [(7, 1, "changed 2-HIGH"), (7, 2, "changed 1-URGENT")]
     assert left(tmp_path) == ["tables"]
+
+
+def test_a_full_flow_leaves_tables_only(spark, tables, tmp_path):
+    found = load_full_flow(spark, tables).groupBy("table_name").count().collect()
+    assert {r["table_name"]: r["count"] for r in found} == {"users": 2, "org_units": 1, "grade_objects": 1, "grade_results": 2, "user_enrollments": 2}
+    assert left(tmp_path) == ["tables"]

@@ -222,14 +222,10 @@ def load_published(spark: SparkSession, extracts: dict[str, DataFrame], root: st
     remove_folder(landing)
 
 
-def publish_domain(spark, sf_dir) -> str:
-    return publish(spark, {name: rows(spark, sf_dir) for name, rows in DOMAIN.items()}, FULL)
-
-
 def full_load(spark, sf_dir) -> tuple[str, dict[str, KeyedTable]]:
     """Root and tables after a full load of the domain tables."""
-    root = work_folder(spark, "tables")
-    load(spark, publish_domain(spark, sf_dir), ITEMS, root, FULL)
+    own, root = working_session(spark), work_folder(spark, "tables")
+    load_published(own, {name: rows(own, sf_dir) for name, rows in DOMAIN.items()}, root, FULL)
     return root, create_tables(spark, root)
 
 
