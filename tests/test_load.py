@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from uuid import uuid4
 
 import pytest
@@ -292,11 +293,14 @@ def test_tables_land_in_turns_bounded_by_the_largest():
 
 def test_a_working_session_keeps_no_shuffle_files(spark, tmp_path):
     def files():
-        return spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString().count("shuffle_")
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {name for name in found.splitlines() if "/shuffle_" in name}
 
     with settings(spark, spark__sql__ansi__enabled="false"):
         own = working_session(spark, spark__sql__shuffle__partitions="3")
     assert (own.conf.get("spark.sql.ansi.enabled"), own.conf.get("spark.sql.shuffle.partitions")) == ("false", "3")
-    before = files()
+    before, until = files(), time.monotonic() + 10
     own.range(100).repartition(3, "id").write.parquet(f"{tmp_path}/out")
-    assert files() <= before and own.read.parquet(f"{tmp_path}/out").count() == 100
+    while files() - before and time.monotonic() < until:  # the files go a moment after the query
+        time.sleep(0.1)
+    assert not files() - before and own.read.parquet(f"{tmp_path}/out").count() == 100
